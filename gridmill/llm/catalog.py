@@ -1,9 +1,10 @@
 """The queries of the corpus operators and the SQL that some of them have."""
 
-from gridmill.llm import exact_dedup, simhash
+from gridmill.llm import exact_dedup, pieces, simhash
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op7_sentencepiece": pieces.op7_sentencepiece,
     "op10_simhash": simhash.op10_simhash,
 }
 
