@@ -1,10 +1,13 @@
 """The queries of the corpus operators and the SQL that some of them have."""
 
-from gridmill.llm import exact_dedup, pieces, simhash
+from gridmill.llm import exact_dedup, language, pieces, quality, simhash, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op5_quality": quality.op5_quality,
     "op7_sentencepiece": pieces.op7_sentencepiece,
+    "op9_language": language.op9_language,
     "op10_simhash": simhash.op10_simhash,
 }
 
