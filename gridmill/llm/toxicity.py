@@ -33,7 +33,7 @@ PER_CLASS = 3000
 THRESHOLD = 0.3
 STEM = range(3, 9)
 #: A word or stem is learned if its likelihood ratio statistic is at least this.
-SIGNIFICANT = 30.0
+SIGNIFICANT = 20.0
 
 # Fixed word lists, by class.
 INSULTS = "idiot idiots moron morons stupid scum trash loser losers pathetic worthless disgusting clown fool dumb imbecile dummkopf trottel abschaum imbécile ordure estúpido imbécil basura".split()
