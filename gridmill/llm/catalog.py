@@ -1,10 +1,11 @@
 """The queries of the corpus operators and the SQL that some of them have."""
 
-from gridmill.llm import exact_dedup, language, pieces, quality, simhash, toxicity
+from gridmill.llm import exact_dedup, language, pieces, quality, secrets, simhash, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_secrets": secrets.op4_secrets,
     "op5_quality": quality.op5_quality,
     "op7_sentencepiece": pieces.op7_sentencepiece,
     "op9_language": language.op9_language,
