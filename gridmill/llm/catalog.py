@@ -1,13 +1,15 @@
 """The queries of the corpus operators and the SQL that some of them have."""
 
-from gridmill.llm import exact_dedup, language, pieces, quality, secrets, simhash, toxicity
+from gridmill.llm import exact_dedup, language, packing, pieces, quality, rules, secrets, simhash, toxicity
 
 QUERIES = {
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_secrets": secrets.op4_secrets,
     "op5_quality": quality.op5_quality,
+    "op6_packing": packing.op6_packing,
     "op7_sentencepiece": pieces.op7_sentencepiece,
+    "op8_rules": rules.op8_rules,
     "op9_language": language.op9_language,
     "op10_simhash": simhash.op10_simhash,
 }

@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmill.llm.common import documents
+from gridmill.llm.units import Store
 
 SPACE = "▁"
-STORE = 400_000
 LOW = float("-inf")
 #: Piece types of the public model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -144,6 +144,13 @@ class Model:
                 raise ValueError(f"the agenda and the library differ on {unit!r}: {a} and {b[len(lead) :]}")
         return ours
 
+    def values(self, parts: list[str]) -> list[tuple[int, str, bytes]]:
+        """For each part its number of ids, the ids in decimal and the bytes they spell."""
+        return [(len(ids), " ".join(map(str, ids)), self.decoded(ids)) for ids in self.checked(parts)]
+
+    def joined(self, values: list[tuple]) -> tuple[int, str, bytes]:
+        return sum([v[0] for v in values]), " ".join([v[1] for v in values]), b"".join([v[2] for v in values])
+
     def decoded(self, ids: list[int]) -> bytes:
         """The UTF-8 text that the ids spell, before the leading mark is taken off; ids with no text spell nothing."""
         return b"".join(self.raw.get(i, b"") for i in ids)
@@ -160,58 +167,6 @@ def model(path: str) -> Model:
     return Model(path)
 
 
-class Store:
-    """For each unit its number of ids, the ids in decimal and the bytes they spell.
-
-    Units and parts are kept in two generations of bounded size; what was not asked
-    for during a whole generation is forgotten.
-    """
-
-    def __init__(self, of: Model, most: int = STORE):
-        self.of, self.most = of, most
-        self.done: dict[str, tuple] = {}
-        self.before: dict[str, tuple] = {}
-        self.part: dict[str, tuple] = {}
-        self.part_before: dict[str, tuple] = {}
-
-    def add(self, units: list[str]) -> None:
-        """Makes sure that all the units are in the store."""
-        done = self.done
-        new = {u for u in units if u not in done}
-        if len(done) + len(new) > self.most:
-            self.before, self.done = done, {}
-            done, new = self.done, set(units)
-        cut: dict[str, list[str]] = {}
-        for u in new:
-            had = self.before.get(u)
-            if had is None:
-                cut[u] = self.of.parts(u)
-            else:
-                done[u] = had
-        if not cut:
-            return
-        known = self.part
-        if len(known) > self.most:
-            self.part_before, self.part = known, {}
-            known = self.part
-        asked = []
-        for p in {p for ps in cut.values() for p in ps}:
-            if p not in known:
-                had = self.part_before.get(p)
-                if had is None:
-                    asked.append(p)
-                else:
-                    known[p] = had
-        for p, ids in zip(asked, self.of.checked(asked) if asked else []):
-            known[p] = (len(ids), " ".join(map(str, ids)), self.of.decoded(ids))
-        for u, ps in cut.items():
-            if len(ps) == 1:
-                done[u] = known[ps[0]]
-            else:
-                ks = [known[p] for p in ps]
-                done[u] = (sum([k[0] for k in ks]), " ".join([k[1] for k in ks]), b"".join([k[2] for k in ks]))
-
-
 @lru_cache(maxsize=2)
 def store(path: str) -> Store:
     """The worker's own store; a reused worker finds it filled."""
@@ -232,11 +187,7 @@ def encoded(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFra
             rows: list[tuple] = []
             for text in batch.column(1).to_pylist():
                 units = m.units(text or "")
-                try:  # most often all are there
-                    parts = [kept.done[u] for u in units]
-                except KeyError:
-                    kept.add(units)
-                    parts = [kept.done[u] for u in units]
+                parts = kept.of_units(units)
                 ids = " ".join([p[1] for p in parts] + [end])
                 text_back = m.text_of(b"".join([p[2] for p in parts]))
                 rows.append((sum([p[0] for p in parts]) + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text_back.encode()).hexdigest(), *((list(map(int, ids.split(" "))), text_back) if with_ids else ())))

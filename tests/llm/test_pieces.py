@@ -7,6 +7,7 @@ import sentencepiece
 from llm_cases import ODD
 
 from gridmill.llm import pieces
+from gridmill.llm.units import Store
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -38,7 +39,7 @@ def test_odd_texts(odd_docs, no_docs, library):
 
 def test_random_strings_and_a_small_store(library):
     m = pieces.Model(PATH)
-    kept = pieces.Store(m, most=50)
+    kept = Store(m, most=50)
     rng = random.Random(3)
     letters = list("abeth ▁nrs日é\n\t.,'0123<>😀") + ["  ", " the", "�", "‍"]
     for _ in range(400):
