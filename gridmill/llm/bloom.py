@@ -86,7 +86,9 @@ def repeats(hashes: DataFrame, column: str, log2_bits: int, hot: int = 255):
                     places, more = np.unique(at, return_counts=True)
                     had[places] = np.minimum(had[places] + more, 255)
         for block, had in counts.items():
-            packed = [np.packbits(had >= n, bitorder="little").tobytes() for n in (2, hot)]
+            # Where a block is so full that many counts are high by chance, nothing in it is called frequent.
+            marks = (had >= 2, had >= (hot if had.mean() * 8 < hot else 256))
+            packed = [np.packbits(m, bitorder="little").tobytes() for m in marks]
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(pa.array([p], pa.binary()) for p in packed)], ["block", "twice", "hot"])
 
     parts = min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))

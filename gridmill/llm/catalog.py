@@ -1,8 +1,9 @@
 """The queries of the corpus operators and the SQL that some of them have."""
 
-from gridmill.llm import exact_dedup, language, packing, pieces, quality, rules, secrets, simhash, toxicity
+from gridmill.llm import exact_dedup, language, packing, pieces, quality, rules, secrets, simhash, substrings, toxicity
 
 QUERIES = {
+    "op1_suffix_dedup": substrings.op1_suffix_dedup,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_secrets": secrets.op4_secrets,
