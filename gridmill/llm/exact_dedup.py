@@ -54,7 +54,8 @@ def exact_groups(docs: DataFrame, most_log2_bits: int = MOST_LOG2_BITS) -> DataF
     rows = slim.mapInArrow(flagged, "doc_id long, text_sha256 string, again boolean")
     once = rows.filter(~F.col("again")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     again = rows.filter("again").select("doc_id", "text_sha256")
-    groups = again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # Stored, so that the join below is one that adaptive execution can split where a group is large.
+    groups = stored(again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
     several = again.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return once.unionByName(several)
 

@@ -11,6 +11,12 @@ full Hamming check. Keys with very many members are split further by parts of th
 third and fourth segment, and what is still large is compared block by block; so no
 task holds more than a bounded number of fingerprints, and no link is lost.
 
+For a similarity of 0.8 on five-word shingles three bits are far too few: such texts
+differ in about 15 % of all bits. ``similar_groups`` serves that case with prints of
+256 bits, whose differing share gives the angle between two texts to about two
+percent; texts meet under any of eight least shingle hashes, which texts that similar
+share with near certainty.
+
 Equal fingerprints are collapsed to one class before anything is compared, and a
 bucket sends out a spanning forest of its links, never all its pairs.
 """
@@ -25,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import documents, raw_texts, stored
+from gridmill.llm.common import documents, mixed, raw_texts, stored
 from gridmill.llm.components import components
 
 SEED = 42
@@ -99,12 +105,21 @@ def _linked(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
     return ring & (np.bitwise_count(x) <= bits)
 
 
-def _forest(node: np.ndarray, r: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _ring(bits: int):
+    return lambda a, b: _linked(a, b, bits)
+
+
+def _wide(most: int):
+    """Prints of several words a row (the last axis) that differ in ``most`` bits at most."""
+    return lambda a, b: np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32) <= most
+
+
+def _forest(node: np.ndarray, r: np.ndarray, linked) -> tuple[np.ndarray, np.ndarray]:
     """Links that join what is linked in one bucket: each member to the least member of its part."""
     n = len(node)
     near = np.zeros((n, n), bool)
-    for i in range(0, n, 256):
-        near[i : i + 256] = _linked(r[i : i + 256, None], r[None, :], bits)
+    for i in range(0, n, 64):
+        near[i : i + 64] = linked(r[i : i + 64, None], r[None, :])
     label = np.arange(n)
     while True:
         new = np.where(near, label[None, :], n).min(axis=1)
@@ -118,14 +133,15 @@ def _forest(node: np.ndarray, r: np.ndarray, bits: int) -> tuple[np.ndarray, np.
     return node[other], rank[label][other]
 
 
-def bucket_links(keyed: DataFrame, bits: int = BITS) -> DataFrame:
-    """(u, v) links within the buckets of (key, node, r); every bucket is of bounded size."""
+def bucket_links(keyed: DataFrame, linked, words: int = 0) -> DataFrame:
+    """(u, v) links within the buckets of (key, node, r); every bucket is of bounded size. ``r`` is a long, or binary of ``words`` words."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in _with_end(batches):
             if batch is not None:
-                now = tuple(batch.column(i).to_numpy() for i in range(3))
+                prints = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, words) if words else batch.column(2).to_numpy().view(np.uint64)
+                now = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), prints)
                 now = now if rest is None else tuple(np.concatenate(p) for p in zip(rest, now))
                 end = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
             elif rest is None:
@@ -134,7 +150,6 @@ def bucket_links(keyed: DataFrame, bits: int = BITS) -> DataFrame:
                 now, end = rest, len(rest[0])
             rest = tuple(x[end:] for x in now)
             key, node, r = (x[:end] for x in now)
-            r = r.view(np.uint64)
             if not end:
                 continue
             starts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1))
@@ -143,10 +158,10 @@ def bucket_links(keyed: DataFrame, bits: int = BITS) -> DataFrame:
             us, vs = [], []
             for d in range(1, 8):
                 i = np.flatnonzero((key[:-d] == key[d:]) & (size[:-d] <= 8)) if end > d else np.empty(0, int)
-                i = i[_linked(r[i], r[i + d], bits)]
+                i = i[linked(r[i], r[i + d])]
                 us.append(node[i]), vs.append(node[i + d])
             for at, n in zip(starts[sizes > 8], sizes[sizes > 8]):
-                u, v = _forest(node[at : at + n], r[at : at + n], bits)
+                u, v = _forest(node[at : at + n], r[at : at + n], linked)
                 us.append(u), vs.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us), pa.int64()), pa.array(np.concatenate(vs), pa.int64())], ["u", "v"])
 
@@ -167,14 +182,19 @@ def fingerprint_links(classes: DataFrame, bits: int = BITS, most: int = MOST_IN_
         raise ValueError("the ring of four segments serves distances from 0 to 3")
     small, large = _sized(_keys(classes), most)
     fitting, dense = _sized(_narrower(large), most)
+    return _all_links(small, fitting, dense, most, _ring(bits))
+
+
+def _all_links(small: DataFrame, fitting: DataFrame, dense: DataFrame, most: int, linked, words: int = 0) -> DataFrame:
+    """Links of two sets of small buckets, and of large ones taken block against block."""
     blocks = F.ceil(F.col("n") * 2 / most).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     spread = dense.select("key", "node", "r", blocks.alias("b"), own.alias("own"))
     spread = spread.select("key", "node", "r", "own", F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("other"))
     blocked = spread.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "r")
-    found = bucket_links(small.select("key", "node", "r"), bits)
+    found = bucket_links(small.select("key", "node", "r"), linked, words)
     for more in (fitting.select("key", "node", "r"), blocked):
-        found = found.unionByName(bucket_links(more, bits))
+        found = found.unionByName(bucket_links(more, linked, words))
     return found
 
 
@@ -193,9 +213,59 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> Da
     return prints.join(joined, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def without_near_copies(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, that with the smallest id; all columns kept."""
-    lost = near_groups(docs, shingle, bits).filter("doc_id <> component_id").select("doc_id")
+WORDS = 4
+MEETINGS = 8
+
+
+def wide_print(raw: bytes, shingle: int) -> tuple[bytes, list[int]]:
+    """A SimHash of 256 bits and the least hash of the shingles under each of eight orders."""
+    words = raw.lower().split()
+    if not words:
+        return bytes(8 * WORDS), [0] * MEETINGS
+    runs = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
+    n = max(1, len(words) - shingle + 1)
+    h = np.fromiter((xxhash.xxh64_intdigest(run, SEED) for run in runs), np.uint64, n)
+    ones, least = np.zeros((WORDS, 64), np.int64), np.full(MEETINGS, (1 << 64) - 1, np.uint64)
+    for at in range(0, n, 1 << 15):
+        part = h[at : at + (1 << 15)]
+        for k in range(MEETINGS):
+            turned = mixed(part + np.uint64((k * 0x9E3779B97F4A7C15) & ((1 << 64) - 1)))
+            least[k] = min(least[k], turned.min())
+            if k < WORDS:
+                ones[k] += np.unpackbits(turned.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > n, bitorder="little").tobytes(), (mixed(least + np.arange(MEETINGS, dtype=np.uint64)) >> np.uint64(1)).tolist()
+
+
+def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, most: int = MOST_IN_BUCKET) -> DataFrame:
+    """doc_id and component_id (the smallest doc_id reachable) of every row, linking texts whose shingle sets have about ``similarity`` (Jaccard) or more.
+
+    The similarity is read from prints of 256 bits, with 30 % of slack in the number
+    of differing bits, so that few pairs at the very limit are missed. Null and empty
+    texts are alike. Rows that repeat a doc_id each get a row; an empty table gives none.
+    """
+    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    linked = _wide(int(64 * WORDS * angle * 1.3))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [wide_print(raw, shingle) for raw in raw_texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64()))], ["doc_id", "fp", "keys"])
+
+    prints = stored(docs.select("doc_id", "text").mapInArrow(hashed, "doc_id long, fp binary, keys array<long>"))
+    classes = stored(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "keys")).alias("m")).select("fp", F.col("m.doc_id").alias("node"), F.col("m.keys").alias("keys")).filter("node is not null"))
+    keyed = classes.select("node", F.col("fp").alias("r"), "keys", F.explode("keys").alias("key"))
+    small, large = _sized(keyed, most)
+    # Members of a large bucket meet again under pairs of keys: texts alike share most of their other keys, too.
+    paired = large.select("node", "r", "key", F.explode("keys").alias("second")).filter("key <> second").select("node", "r", F.xxhash64(F.least("key", "second"), F.greatest("key", "second")).alias("key")).distinct()
+    fitting, dense = _sized(paired, most)
+    found = components(_all_links(small, fitting, dense, most, linked, WORDS))
+    joined = classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(joined, "fp", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one document of each group of similar texts, that with the smallest id; all columns kept."""
+    lost = similar_groups(docs, shingle, similarity).filter("doc_id <> component_id").select("doc_id")
     return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
 
 
