@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TAG = r"<[a-zA-Z!/][^>]*>"
 # Fixed entity names that are decoded; the ampersand goes last.
@@ -27,7 +28,7 @@ def strip_html(c: Column) -> Column:
     return F.when(c.rlike(TAG), html_to_text(c)).otherwise(c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
