@@ -40,7 +40,7 @@ from gridmill.llm.common import documents, mixed, raw_texts
 SPAN = 100
 GRAM = 24
 #: Bytes of text worked on at once; a longer text is taken in overlapping tiles.
-TILE = 1 << 20
+TILE = 1 << 18
 LOG2_BITS = 28
 HOT = 200
 
@@ -167,45 +167,49 @@ def candidates(docs: DataFrame, seen) -> DataFrame:
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             order, raws = np.lexsort((tags, ids)), list(raw_texts(batch.column(2)))
-            had: dict[int, None] = {}
+            # What has been met before in this batch of texts, taken in corpus order, is a repeat for sure.
+            stretches, strings = Family(), Family()
             for own, firsts, led in tiles(order.tolist(), [raws[i] for i in order]):
-                own, firsts = np.array(own, np.int64), np.array(firsts, np.int64)
                 twice = np.flatnonzero(seen.value.maybe(led.key))
                 if not len(twice):
                     continue
+                own, firsts = np.array(own, np.int64), np.array(firsts, np.int64)
+                where = lambda text, start: (ids[own[text]], tags[own[text]], firsts[text] + start - led.begins[text])
                 hot = seen.value.frequent(led.key[twice])
-                # Stretches met before in this batch of texts, which comes in corpus order, are repeats for sure.
-                at = twice[~hot]
-                again = np.array([_met(had, x) for x in led.stretches()[at].tolist()], bool)
-                where = lambda i: (ids[own[led.text[i]]], tags[own[led.text[i]]], firsts[led.text[i]] + led.start[i] - led.begins[led.text[i]])
-                if again.any():
-                    i = at[again]
-                    yield _sent(mixed(led.start[i].astype(np.uint64) ^ ids[own[led.text[i]]].astype(np.uint64)), *where(i), led.count[i], None, REPEAT)
-                i = at[~again]
+                known = [np.empty((3, 0), np.int64)]
+                i = twice[~hot]
+                again = repeats_in(led.stretches()[i], stretches)
+                known.append(np.stack([led.text[i[again]], led.start[i[again]], led.count[i[again]]]))
+                i = i[~again]
                 if len(i):
                     blob = led.x.tobytes()
-                    yield _sent(led.key[i], *where(i), led.count[i], [blob[a : a + n + SPAN - 1] for a, n in zip(led.start[i].tolist(), led.count[i].tolist())], STRETCH)
+                    yield _sent(led.key[i], *where(led.text[i], led.start[i]), led.count[i], [blob[a : a + n + SPAN - 1] for a, n in zip(led.start[i].tolist(), led.count[i].tolist())], STRETCH)
                 i = twice[hot]
                 if len(i):
-                    rows, marks, starts = where(i)
                     n = led.count[i]
-                    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    inner = np.repeat(led.start[i], n) + step
+                    inner = np.repeat(led.start[i], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    text = np.repeat(led.text[i], n)
                     k = stretch_hash(led.total, inner, inner + SPAN)
-                    again = np.array([_met(had, x) for x in k.tolist()], bool)
-                    rows, marks, starts = np.repeat(rows, n), np.repeat(marks, n), np.repeat(starts, n) + step
-                    for which, kind, key in ((again, REPEAT, mixed(k ^ rows.astype(np.uint64) ^ starts.astype(np.uint64))), (~again, SINGLE, k)):
-                        if which.any():
-                            yield _sent(key[which], rows[which], marks[which], starts[which], np.ones(int(which.sum()), np.int32), None, kind)
+                    again = repeats_in(k, strings)
+                    known.append(np.stack([text[again], inner[again], np.ones(int(again.sum()), np.int64)]))
+                    if not again.all():
+                        yield _sent(k[~again], *where(text[~again], inner[~again]), np.ones(int((~again).sum()), np.int32), None, SINGLE)
+                text, start, count = _adjoined(np.concatenate(known, axis=1))
+                if len(text):
+                    row, tag, begin = where(text, start)
+                    yield _sent(mixed(row.astype(np.uint64) ^ begin.astype(np.uint64)), row, tag, begin, count, None, REPEAT)
 
     return docs.select("row", "tag", "text").mapInArrow(run, SENT)
 
 
-def _met(had: dict, x: int) -> bool:
-    if x in had:
-        return True
-    had[x] = None
-    return False
+def _adjoined(runs: np.ndarray) -> np.ndarray:
+    """Runs (text, start, count) in order, those that follow on each other as one."""
+    runs = runs[:, np.lexsort((runs[1], runs[0]))]
+    text, start, count = runs
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (start[1:] != start[:-1] + count[:-1])
+    at = np.flatnonzero(new)
+    return np.stack([text[at], start[at], np.add.reduceat(count, at) if len(at) else count])
 
 
 class Family:
