@@ -53,7 +53,7 @@ def top(df: DataFrame, n: int, count: str, *ties: str) -> DataFrame:
 
 def counts_matrix(df: DataFrame, row: Column, name: str, column: str, values: list[str]) -> DataFrame:
     """Counts by row and column value, zero where there is none."""
-    return df.groupBy(row.alias(name)).pivot(column, values).agg(F.count("*")).na.fill(0, values)
+    return df.groupBy(row.alias(name)).pivot(column, values).agg(F.count(F.lit(1))).na.fill(0, values)
 
 
 def json_field_counts(df: DataFrame, column: str, field: str) -> DataFrame:
@@ -113,7 +113,7 @@ def resample_daily(df: DataFrame, time: str, value: str) -> DataFrame:
 def weekday_hour_profile(df: DataFrame, time: str, value: str) -> DataFrame:
     """The mean by hour (rows) and weekday, Monday first (columns)."""
     names = ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]
-    wide = df.groupBy(F.hour(time).alias("hour")).pivot("_w", list(range(7))).agg(F.avg(value)) if "_w" in df.columns else df.withColumn("_w", F.weekday(time)).groupBy(F.hour(time).alias("hour")).pivot("_w", list(range(7))).agg(F.avg(value))
+    wide = df.withColumn("_w", F.weekday(time)).groupBy(F.hour(time).alias("hour")).pivot("_w", list(range(7))).agg(F.avg(value))
     return wide.select("hour", *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
 
 
