@@ -23,22 +23,21 @@ class Store:
 
     def of_units(self, units: list[str]) -> list[tuple]:
         """The values of the units."""
-        try:
-            return [self.done[u] for u in units]
-        except KeyError:
-            self.add(units)
-            return [self.done[u] for u in units]
-
-    def add(self, units: list[str]) -> None:
-        """Makes sure that all the units are in the store."""
-        done = self.done
-        new = {u for u in units if u not in done}
-        if len(done) + len(new) > self.most:
-            self.before, self.done = done, {}
-            done, new = self.done, set(units)
+        distinct = set(units)
+        new = distinct.difference(self.done)
+        if new:
+            self.add(new, distinct)
+        return [*map(self.done.__getitem__, units)]
+
+    def add(self, new: set[str], needed: set[str]) -> None:
+        """Puts units into the store that are not in it. If it is full, all that are ``needed`` move to the new generation."""
+        if len(self.done) + len(new) > self.most:
+            self.before, self.done = self.done, {}
+            new = needed
+        done, before = self.done, self.before
         cut: dict[str, list[str]] = {}
         for u in new:
-            had = self.before.get(u)
+            had = before.get(u)
             if had is None:
                 cut[u] = self.of.parts(u)
             else:
@@ -50,13 +49,12 @@ class Store:
             self.part_before, self.part = known, {}
             known = self.part
         asked = []
-        for p in {p for ps in cut.values() for p in ps}:
-            if p not in known:
-                had = self.part_before.get(p)
-                if had is None:
-                    asked.append(p)
-                else:
-                    known[p] = had
+        for p in {p for ps in cut.values() for p in ps}.difference(known):
+            had = self.part_before.get(p)
+            if had is None:
+                asked.append(p)
+            else:
+                known[p] = had
         known.update(zip(asked, self.of.values(asked) if asked else []))
         for u, ps in cut.items():
             done[u] = known[ps[0]] if len(ps) == 1 else self.of.joined([known[p] for p in ps])

@@ -45,8 +45,7 @@ def test_random_strings_and_a_small_store(library):
     for _ in range(400):
         text = "".join(rng.choices(letters, k=rng.choice([1, 3, 10, 60, 300])))
         units = m.units(text)
-        kept.add(units)
-        assert library.encode(text) == [int(i) for u in units for i in kept.done[u][1].split()]
+        assert library.encode(text) == [int(i) for v in kept.of_units(units) for i in v[1].split()]
         for u in units:
             for p in m.parts(u):
                 assert m.merged(p) == m._merged_long(p)
