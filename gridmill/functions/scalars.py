@@ -49,7 +49,7 @@ def normalize_unit(c: Column) -> Column:
 
 def split_values(c: Column, sep: str = ";") -> Column:
     """The trimmed non-blank items of a delimited list; null gives an empty list."""
-    return F.coalesce(F.filter(F.transform(F.split(c, sep), F.trim), lambda x: x != ""), F.array().cast("array<string>"))
+    return F.coalesce(F.filter(F.transform(F.split(c, sep), lambda x: F.trim(x)), lambda x: x != ""), F.array().cast("array<string>"))
 
 
 def parse_themes(c: Column) -> Column:

@@ -39,10 +39,10 @@ class DatasetRef:
 
 
 def read_dataset(spark: SparkSession, root: str, ref: str, schema: StructType | None = None) -> DataFrame:
-    """The dataset's partition alone; columns of all parts by name. A missing dataset is an empty frame of the schema given, else an error."""
+    """The dataset's partition alone; columns of all its parts by name (datasets of one layer may differ). A missing dataset is an empty frame of the schema given, else an error."""
     path, part = DatasetRef.parse(ref).under(root)
     try:
-        df = spark.read.option("mergeSchema", True).parquet(path)
+        df = spark.read.option("mergeSchema", True).option("basePath", path).parquet("/".join([path, *(f"{k}={v}" for k, v in part.items())]))
     except AnalysisException:
         if schema is None:
             raise
