@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from gridmill.llm import bloom
 from gridmill.llm.common import documents, raw_texts, stored
@@ -43,8 +44,7 @@ def exact_groups(docs: DataFrame, most_log2_bits: int = MOST_LOG2_BITS) -> DataF
     then every member stays. An empty table gives an empty result. Other columns of
     ``docs`` are not looked at.
     """
-    slim = stored(fingerprints(docs))
-    seen = bloom.repeats(slim, "h", bloom.size_for(slim.count(), most_log2=most_log2_bits))
+    slim, seen = _first_pass(docs, most_log2_bits)
 
     def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -54,16 +54,37 @@ def exact_groups(docs: DataFrame, most_log2_bits: int = MOST_LOG2_BITS) -> DataF
     rows = slim.mapInArrow(flagged, "doc_id long, text_sha256 string, again boolean")
     once = rows.filter(~F.col("again")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
     again = rows.filter("again").select("doc_id", "text_sha256")
-    # Stored, so that the join below is one that adaptive execution can split where a group is large.
-    groups = stored(again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
-    several = again.join(groups, "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    several = again.join(_groups(again), "text_sha256").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     return once.unionByName(several)
 
 
-def without_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row for each distinct text, all columns kept."""
-    lost = exact_groups(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+def _first_pass(docs: DataFrame, most_log2_bits: int):
+    """The hashes of all rows, stored, and the filter over them."""
+    slim = stored(fingerprints(docs))
+    return slim, bloom.repeats(slim, "h", bloom.size_for(slim.count(), most_log2=most_log2_bits))
+
+
+def _groups(again: DataFrame) -> DataFrame:
+    """Keeper and size of each group. Stored, so that a join with it is one that adaptive execution can split where a group is large."""
+    return stored(again.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")))
+
+
+def without_copies(docs: DataFrame, most_log2_bits: int = MOST_LOG2_BITS) -> DataFrame:
+    """``docs`` with the keeper of each distinct text, all columns kept. Only rows that may have a copy are shuffled; the others pass straight through."""
+    _, seen = _first_pass(docs, most_log2_bits)
+    columns, place = docs.columns, docs.columns.index("text")
+
+    def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [hashlib.sha256(raw.lower()).digest() for raw in raw_texts(batch.column(place))]
+            h = np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([d.hex() for d in digests], pa.string()), pa.array(seen.value.maybe(h), pa.bool_())], [*columns, "text_sha256_", "again_"])
+
+    rows = docs.mapInArrow(flagged, StructType([*docs.schema.fields, StructField("text_sha256_", StringType()), StructField("again_", BooleanType())]))
+    again = rows.filter("again_")
+    groups = _groups(again.select("doc_id", F.col("text_sha256_").alias("text_sha256")))
+    kept = again.join(groups.select(F.col("text_sha256").alias("text_sha256_"), F.col("keep_id").alias("keep_id_")), "text_sha256_").filter(F.col("doc_id").eqNullSafe(F.col("keep_id_")))
+    return rows.filter(~F.col("again_")).select(*columns).unionByName(kept.select(*columns))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

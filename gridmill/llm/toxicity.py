@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmill.llm.common import documents, held_out, labels, raw_texts, stored
-from gridmill.llm.samples import labelled_sample, logistic
+from gridmill.llm.samples import labelled_sample, logistic, sigmoid
 
 PER_CLASS = 3000
 THRESHOLD = 0.3
@@ -139,7 +139,16 @@ def features(weights: list[float], n_chars: int) -> tuple[float, float, float]:
     return math.log1p(total), total / math.log2(64 + n_chars), max(weights, default=0.0)
 
 
+def _of_text(text: str | None, lexicon: Lexicon, automaton) -> tuple[float, float, float, int]:
+    """The features of a text and how many clauses matched."""
+    low = (text or "").lower()
+    weights = lexicon.clauses(low, automaton)
+    return (*features(weights, len(low)), len(weights))
+
+
 class Grader:
+    """What was learned: the words and the curve over the features, intercept first."""
+
     def __init__(self, lexicon: Lexicon, curve: list[float]):
         self.lexicon, self.curve = lexicon, curve
 
@@ -216,11 +225,7 @@ def _measured(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                low = (text or "").lower()
-                weights = lexicon.clauses(low, automaton)
-                rows.append((*features(weights, len(low)), len(weights)))
+            rows = [_of_text(text, lexicon, automaton) for text in batch.column(1).to_pylist()]
             a, b, c, n = zip(*rows) if rows else ((), (), (), ())
             made = [batch.column(0).cast(pa.int64()), *([batch.column(2).cast(pa.int32())] if extra else []), pa.array(a, pa.float64()), pa.array(b, pa.float64()), pa.array(c, pa.float64()), pa.array(n, pa.int64())]
             yield pa.RecordBatch.from_arrays(made, ["doc_id", *(["y"] if extra else []), "a", "b", "c", "n_clauses"])
@@ -237,9 +242,18 @@ def scored(docs: DataFrame, grader: Grader) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, marks: DataFrame, usable: F.Column) -> DataFrame:
-    """``docs`` without the rows that are predicted toxic; all columns kept."""
-    lost = scored(docs, fit(docs, marks, usable)).filter("predicted = 1").select("doc_id")
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that are predicted toxic; all columns kept, nothing shuffled."""
+    grader = fit(docs, marks, usable)
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = grader.lexicon.automaton()
+        for batch in batches:
+            rows = [_of_text(text, grader.lexicon, automaton) for text in batch.column(place).to_pylist()]
+            z = np.array([[1.0, *r[:3]] for r in rows]).reshape(-1, 4) @ np.array(grader.curve)
+            yield batch.filter(pa.array(sigmoid(z) < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
