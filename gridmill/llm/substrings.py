@@ -108,7 +108,8 @@ class Led:
         last[:-1] &= new[1:] | ~good[1:]
         self.start = np.flatnonzero(new)
         self.count = np.flatnonzero(last) - self.start + 1
-        self.key = h[at[self.start]]
+        # An anchor's hash is the least of many, so its high bits say little; mixed once more they are even again.
+        self.key = mixed(h[at[self.start]] ^ np.uint64(0x9E3779B97F4A7C15))
         self.text = text[self.start]
 
     def stretches(self) -> np.ndarray:

@@ -84,3 +84,10 @@ def test_levels_of_the_family_stay_few():
         assert substrings.repeats_in(prints, family).tolist() == want
         sizes = [len(x) for x in family.levels]
         assert all(a > 2 * b for a, b in zip(sizes, sizes[1:]))
+
+
+def test_anchor_hashes_are_even():
+    raw = np.random.default_rng(3).bytes(200_000).hex().encode()
+    keys = next(substrings.tiles([0], [raw]))[2].key
+    share = np.bincount((keys >> np.uint64(60)).astype(int), minlength=16) / len(keys)
+    assert len(keys) > 3000 and share.max() < 0.12
