@@ -17,4 +17,6 @@ QUERIES = {
 
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
+    "op4_secrets": secrets.OP4_SQL,
+    "op8_rules": rules.OP8_SQL,
 }

@@ -88,8 +88,28 @@ def ruled(docs: DataFrame) -> DataFrame:
     verdicts = host_verdicts(judged).select("host", F.col("rate").alias("host_rate"), "rejected")
     joined = judged.join(verdicts, "host", "left")
     kept = ~F.col("base_failed") & ~F.coalesce("rejected", F.lit(False))
-    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "rule_failed", "host_rate")
+    return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "rule_failed", F.round("host_rate", 9).alias("host_rate"))
 
 
 def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ruled(documents(spark, sf_dir, "doc_id", "text", "source"))
+
+
+OP8_SQL = r"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, source, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+ list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+i AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 6, 1))) AS i FROM w),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS n FROM i),
+r AS (SELECT doc_id, sum(step) AS n_repeat_words FROM (SELECT doc_id, least(8, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 8)) AS step FROM g WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+ len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+f AS (SELECT *, base_failed OR n_symbols > 0.1 * word_chars OR n_dup_lines > 0.3 * n_lines AS rule_failed FROM b),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (rule_failed) AS k FROM f WHERE source IS NOT NULL GROUP BY source),
+p AS (SELECT avg(k / n) AS m, var_samp(k / n) AS v FROM h),
+s AS (SELECT m, CASE WHEN v > 0 THEN greatest(1.0, m * (1 - m) / v - 1) ELSE 1000.0 END AS strength FROM p),
+v AS (SELECT source, (k + m * strength) / (n + strength) AS rate FROM h, s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(rate > 0.5, false) AS kept, rule_failed, round(rate, 9) AS host_rate
+FROM f LEFT JOIN v USING (source)
+"""

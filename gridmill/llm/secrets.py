@@ -142,3 +142,22 @@ def without_secrets(docs: DataFrame) -> DataFrame:
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(Ledger(spark).scan(documents(spark, sf_dir, "doc_id", "text")))
+
+
+def _rule_sql(rank: int, kind: str, pattern: str, group: int, least: int, needs: str | None) -> str:
+    """The spans of one rule in SQL: the lengths of what stands between the matches and of the matches, summed up."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, {rank} AS rank, '{kind}' AS kind, k, length(whole[k]) AS len, length(gap[k]) AS gap, length(part[k]) >= {least} AS good FROM
+ (SELECT doc_id, whole, part, gap, unnest(range(1, len(whole) + 1)) AS k FROM (SELECT doc_id, regexp_extract_all(text, '{quoted}') AS whole, regexp_extract_all(text, '{quoted}', {group}) AS part, regexp_split_to_array(text, '{quoted}') AS gap FROM t))"""
+
+
+OP4_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({" UNION ALL ".join(_rule_sql(i, *rule) for i, rule in enumerate(RULES))}),
+s AS (SELECT doc_id, rank, kind, good, len, CAST(sum(gap + len) OVER (PARTITION BY doc_id, rank ORDER BY k) AS BIGINT) AS stop FROM m),
+g AS (SELECT doc_id, rank, kind, kind || ':' || (stop - len) || ':' || stop AS span, stop - len AS start, stop FROM s WHERE good),
+a AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in ("assign", "access", "hex"))},
+ coalesce(string_agg(span, ',' ORDER BY start, rank, stop) FILTER (rank < 3), '') AS base, string_agg(span, ',' ORDER BY start, rank, stop) AS spans FROM g GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN a USING (doc_id)
+"""
