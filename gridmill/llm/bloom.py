@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 BLOCK_LOG2 = 18
 HASHES = 3
+#: Hashes that a map task gathers before it sends them off.
+HELD = 2_000_000
 
 
 def size_for(n: int, bits_per_hash: int = 12, most_log2: int = 28) -> int:
@@ -62,17 +64,24 @@ def repeats(hashes: DataFrame, column: str, log2_bits: int, hot: int = 255):
     blocks = 1 << (log2_bits - BLOCK_LOG2)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             h = batch.column(0).drop_null().to_numpy(zero_copy_only=False).view(np.uint64)
-            if not len(h):
-                continue
-            block = _block(h, log2_bits)
-            order = np.argsort(block, kind="stable")
-            block, h = block[order], h[order]
-            cuts = np.flatnonzero(np.diff(block)) + 1
-            parts = np.split(h, cuts)
-            firsts = block[np.concatenate(([0], cuts))]
-            yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["block", "hs"])
+            held.append(h)
+            size += len(h)
+            if size >= HELD:
+                yield by_block(np.concatenate(held))
+                held, size = [], 0
+        if size:
+            yield by_block(np.concatenate(held))
+
+    def by_block(h: np.ndarray) -> pa.RecordBatch:
+        block = _block(h, log2_bits)
+        order = np.argsort(block, kind="stable")
+        block, h = block[order], h[order]
+        cuts = np.flatnonzero(np.diff(block)) + 1
+        firsts = block[np.concatenate(([0], cuts))]
+        return pa.RecordBatch.from_arrays([pa.array(firsts, pa.int32()), pa.array([p.tobytes() for p in np.split(h, cuts)], pa.binary())], ["block", "hs"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, np.ndarray] = {}
@@ -95,7 +104,7 @@ def repeats(hashes: DataFrame, column: str, log2_bits: int, hot: int = 255):
     rows = hashes.select(column).mapInArrow(dealt, "block int, hs binary").repartition(parts, "block").mapInArrow(counted, "block int, twice binary, hot binary")
     twice, often = np.zeros(1 << (log2_bits - 3), np.uint8), np.zeros(1 << (log2_bits - 3), np.uint8)
     width = 1 << (BLOCK_LOG2 - 3)
-    for row in rows.toLocalIterator():
+    for row in rows.collect():  # of fixed size in all, see above
         twice[row.block * width : (row.block + 1) * width] = np.frombuffer(row.twice, np.uint8)
         often[row.block * width : (row.block + 1) * width] = np.frombuffer(row.hot, np.uint8)
     return spark.sparkContext.broadcast(Repeats(log2_bits, twice, often))
