@@ -39,13 +39,14 @@ def encode(df: DataFrame, text: str, encoder: Callable[[list[str]], np.ndarray],
 
 
 def hashing_vectors(df: DataFrame, text: str, width: int = 64) -> DataFrame:
-    """The default encoder, in the JVM: hashed word counts, scaled to length one."""
+    """The default encoder, in the JVM: hashed word counts, scaled to length one; a text without words has the zero vector."""
+    from pyspark.ml.feature import HashingTF, Normalizer
+    from pyspark.ml.functions import vector_to_array
+
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda w: w != "")
-    slots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(width)).cast("int"))
-    counted = df.withColumn("_slots", F.array_sort(slots))
-    vector = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.size(F.filter("_slots", lambda s: s == i)).cast("double"))
-    norm = F.sqrt(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x))
-    return counted.withColumn("_v", vector).withColumn("embedding", F.when(norm > 0, F.transform("_v", lambda x: x / norm)).otherwise(F.col("_v"))).drop("_slots", "_v")
+    counts = HashingTF(numFeatures=width, inputCol="_words", outputCol="_counts").transform(df.withColumn("_words", words))
+    scaled = Normalizer(p=2.0, inputCol="_counts", outputCol="_scaled").transform(counts)
+    return scaled.withColumn("embedding", vector_to_array("_scaled")).drop("_words", "_counts", "_scaled")
 
 
 def embed_status(total: Column, fresh: Column) -> Column:
@@ -62,15 +63,20 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
-def cosine_topk(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """The k nearest rows of ``base`` for each query row, ties by key.
+def cosine_topk(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, block: int = 64) -> DataFrame:
+    """The k nearest rows of ``base`` for each row of the stated query set, ties by key.
 
-    Every stated query is held against all rows. Each task keeps the best k of its rows
-    for every query, so what is shuffled is k rows a query and task at most. Queries
-    come packed in one row; their number is the caller's bound.
+    Queries are packed into blocks, and every block meets every part of the base once;
+    nothing is broadcast that grows with the data unless Spark finds it small. Before
+    the ranking's shuffle each task keeps the best k of its rows for every query.
     """
-    packed = queries.agg(F.collect_list(F.struct(F.col(key).alias("query"), F.col(vector).alias("qv"))).alias("_qs"))
-    scored = base.join(F.broadcast(packed)).select(F.explode("_qs").alias("q"), F.col(key).alias("match"), F.col(vector).alias("v"))
+    spark = base.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-queries.count() // block))
+    packed = queries.groupBy(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")).agg(F.collect_list(F.struct(F.col(key).alias("query"), F.col(vector).alias("qv"))).alias("_qs"))
+    everywhere = packed.select("_qs", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+    dealt = base.select(F.col(key).alias("match"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("_part"))
+    scored = dealt.join(everywhere, "_part").select(F.explode("_qs").alias("q"), "match", "v")
     pairs = scored.filter(F.col("q.query") != F.col("match")).select("q.query", "match", cosine(F.col("q.qv"), F.col("v")).alias("similarity"))
     return numbered(pairs, ["query"], F.desc("similarity"), F.asc("match")).filter(F.col("rn") <= k).withColumnRenamed("rn", "rank")
 
