@@ -15,7 +15,8 @@ For a similarity of 0.8 on five-word shingles three bits are far too few: such t
 differ in about 15 % of all bits. ``similar_groups`` serves that case with prints of
 256 bits, whose differing share gives the angle between two texts to about two
 percent; texts meet under any of eight least shingle hashes, which texts that similar
-share with near certainty.
+share with near certainty. Keys and prints only choose who is compared: what a bucket
+holds as candidates becomes a link by the Jaccard similarity of the whole shingle sets.
 
 Equal fingerprints are collapsed to one class before anything is compared, and a
 bucket sends out a spanning forest of its links, never all its pairs.
@@ -23,6 +24,7 @@ bucket sends out a spanning forest of its links, never all its pairs.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmill.llm import bloom
 from gridmill.llm.common import documents, mixed, raw_texts, stored
 from gridmill.llm.components import components
 
@@ -114,9 +117,9 @@ def _wide(most: int):
     return lambda a, b: np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32) <= most
 
 
-def _forest(node: np.ndarray, r: np.ndarray, linked) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join what is linked in one bucket: each member to the least member of its part."""
-    n = len(node)
+def _labels(r: np.ndarray, linked) -> np.ndarray:
+    """The part of each member of one bucket: its first member that is reached by links."""
+    n = len(r)
     near = np.zeros((n, n), bool)
     for i in range(0, n, 64):
         near[i : i + 64] = linked(r[i : i + 64, None], r[None, :])
@@ -125,41 +128,56 @@ def _forest(node: np.ndarray, r: np.ndarray, linked) -> tuple[np.ndarray, np.nda
         new = np.where(near, label[None, :], n).min(axis=1)
         new = np.minimum(new[new], new)
         if (new == label).all():
-            break
+            return label
         label = new
-    rank = np.full(n, np.iinfo(np.int64).max)
+
+
+def _forest(node: np.ndarray, r: np.ndarray, linked) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join what is linked in one bucket: each member to the least member of its part."""
+    label = _labels(r, linked)
+    rank = np.full(len(node), np.iinfo(np.int64).max)
     np.minimum.at(rank, label, node)
     other = rank[label] != node
     return node[other], rank[label][other]
 
 
+def _buckets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Key, node and print of whole buckets, many at a time, with the buckets' starts and sizes."""
+    rest = None
+    for batch in _with_end(batches):
+        if batch is not None:
+            prints = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, words) if words else batch.column(2).to_numpy().view(np.uint64)
+            now = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), prints)
+            now = now if rest is None else tuple(np.concatenate(p) for p in zip(rest, now))
+            end = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
+        elif rest is None:
+            return
+        else:
+            now, end = rest, len(rest[0])
+        rest = tuple(x[end:] for x in now)
+        key, node, r = (x[:end] for x in now)
+        if end:
+            starts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1))
+            yield key, node, r, starts, np.diff(np.concatenate((starts, [end])))
+
+
+def _pairs(key: np.ndarray, r: np.ndarray, sizes: np.ndarray, linked) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all linked pairs of buckets of at most eight members."""
+    end, size, firsts, seconds = len(key), np.repeat(sizes, sizes), [], []
+    for d in range(1, 8):
+        i = np.flatnonzero((key[:-d] == key[d:]) & (size[:-d] <= 8)) if end > d else np.empty(0, int)
+        i = i[linked(r[i], r[i + d])]
+        firsts.append(i), seconds.append(i + d)
+    return np.concatenate(firsts), np.concatenate(seconds)
+
+
 def bucket_links(keyed: DataFrame, linked, words: int = 0) -> DataFrame:
     """(u, v) links within the buckets of (key, node, r); every bucket is of bounded size. ``r`` is a long, or binary of ``words`` words."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in _with_end(batches):
-            if batch is not None:
-                prints = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, words) if words else batch.column(2).to_numpy().view(np.uint64)
-                now = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), prints)
-                now = now if rest is None else tuple(np.concatenate(p) for p in zip(rest, now))
-                end = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
-            elif rest is None:
-                return
-            else:
-                now, end = rest, len(rest[0])
-            rest = tuple(x[end:] for x in now)
-            key, node, r = (x[:end] for x in now)
-            if not end:
-                continue
-            starts = np.concatenate(([0], np.flatnonzero(np.diff(key)) + 1))
-            sizes = np.diff(np.concatenate((starts, [end])))
-            size = np.repeat(sizes, sizes)
-            us, vs = [], []
-            for d in range(1, 8):
-                i = np.flatnonzero((key[:-d] == key[d:]) & (size[:-d] <= 8)) if end > d else np.empty(0, int)
-                i = i[linked(r[i], r[i + d])]
-                us.append(node[i]), vs.append(node[i + d])
+        for key, node, r, starts, sizes in _buckets(batches, words):
+            i, j = _pairs(key, r, sizes, linked)
+            us, vs = [node[i]], [node[j]]
             for at, n in zip(starts[sizes > 8], sizes[sizes > 8]):
                 u, v = _forest(node[at : at + n], r[at : at + n], linked)
                 us.append(u), vs.append(v)
@@ -168,6 +186,26 @@ def bucket_links(keyed: DataFrame, linked, words: int = 0) -> DataFrame:
     return keyed.select("key", "node", "r").repartition("key").sortWithinPartitions("key").mapInArrow(links, "u long, v long")
 
 
+def bucket_groups(keyed: DataFrame, linked, words: int = 0) -> DataFrame:
+    """(g, node): the members of each bucket's parts of two or more. ``g`` follows from the members, so parts met in several buckets are the same."""
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, node, r, starts, sizes in _buckets(batches, words):
+            own = mixed(node.view(np.uint64))
+            i, j = _pairs(key, r, sizes, linked)
+            g = mixed(own[i] + own[j])
+            gs, nodes = [g, g], [node[i], node[j]]
+            for at, n in zip(starts[sizes > 8], sizes[sizes > 8]):
+                label, inside = _labels(r[at : at + n], linked), slice(at, at + n)
+                total = np.zeros(n, np.uint64)
+                np.add.at(total, label, own[inside])
+                several = np.bincount(label, minlength=n)[label] > 1
+                gs.append(mixed(total)[label][several]), nodes.append(node[inside][several])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(gs).view(np.int64)), pa.array(np.concatenate(nodes), pa.int64())], ["g", "node"])
+
+    return keyed.select("key", "node", "r").repartition("key").sortWithinPartitions("key").mapInArrow(groups, "g long, node long").distinct()
+
+
 def _with_end(batches):
     yield from batches
     yield None
@@ -185,16 +223,20 @@ def fingerprint_links(classes: DataFrame, bits: int = BITS, most: int = MOST_IN_
     return _all_links(small, fitting, dense, most, _ring(bits))
 
 
-def _all_links(small: DataFrame, fitting: DataFrame, dense: DataFrame, most: int, linked, words: int = 0) -> DataFrame:
-    """Links of two sets of small buckets, and of large ones taken block against block."""
+def _blocked(dense: DataFrame, most: int) -> DataFrame:
+    """The rows of large buckets, dealt to buckets of block against block."""
     blocks = F.ceil(F.col("n") * 2 / most).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     spread = dense.select("key", "node", "r", blocks.alias("b"), own.alias("own"))
     spread = spread.select("key", "node", "r", "own", F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("other"))
-    blocked = spread.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "r")
-    found = bucket_links(small.select("key", "node", "r"), linked, words)
-    for more in (fitting.select("key", "node", "r"), blocked):
-        found = found.unionByName(bucket_links(more, linked, words))
+    return spread.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "r")
+
+
+def _all_links(small: DataFrame, fitting: DataFrame, dense: DataFrame, most: int, linked) -> DataFrame:
+    """Links of two sets of small buckets, and of large ones taken block against block."""
+    found = bucket_links(small, linked)
+    for more in (fitting, _blocked(dense, most)):
+        found = found.unionByName(bucket_links(more, linked))
     return found
 
 
@@ -217,14 +259,25 @@ WORDS = 4
 MEETINGS = 8
 
 
-def wide_print(raw: bytes, shingle: int) -> tuple[bytes, list[int]]:
-    """A SimHash of 256 bits and the least hash of the shingles under each of eight orders."""
+def shingle_set(raw: bytes, shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles, sorted."""
     words = raw.lower().split()
     if not words:
-        return bytes(8 * WORDS), [0] * MEETINGS
+        return np.empty(0, np.uint64)
     runs = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
-    n = max(1, len(words) - shingle + 1)
-    h = np.fromiter((xxhash.xxh64_intdigest(run, SEED) for run in runs), np.uint64, n)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(run, SEED) for run in runs), np.uint64, max(1, len(words) - shingle + 1)))
+
+
+def set_id(h: np.ndarray) -> int:
+    """64 bits that stand for a whole shingle set."""
+    return int.from_bytes(hashlib.blake2b(h.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def wide_print(h: np.ndarray) -> tuple[bytes, list[int]]:
+    """A SimHash of 256 bits of a shingle set and its least hash under each of eight orders."""
+    n = len(h)
+    if not n:
+        return bytes(8 * WORDS), [0] * MEETINGS
     ones, least = np.zeros((WORDS, 64), np.int64), np.full(MEETINGS, (1 << 64) - 1, np.uint64)
     for at in range(0, n, 1 << 15):
         part = h[at : at + (1 << 15)]
@@ -236,31 +289,95 @@ def wide_print(raw: bytes, shingle: int) -> tuple[bytes, list[int]]:
     return np.packbits(ones * 2 > n, bitorder="little").tobytes(), (mixed(least + np.arange(MEETINGS, dtype=np.uint64)) >> np.uint64(1)).tolist()
 
 
+def exact_links(nodes: list[int], sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that join all of ``nodes`` whose sets have the similarity or more: members not reached yet are held against each one reached."""
+    sizes = np.array([len(h) for h in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    begins = np.cumsum(sizes) - sizes
+    held, open_, found = np.zeros(int(ids.max()) + 1, bool), np.ones(len(nodes), bool), []
+    while open_.any():
+        reached = [int(np.flatnonzero(open_)[0])]
+        open_[reached] = False
+        while reached and open_.any():
+            i = reached.pop()
+            own = ids[begins[i] : begins[i] + sizes[i]]
+            held[own] = True
+            common = np.add.reduceat(held[ids], begins, dtype=np.int64)
+            held[own] = False
+            near = np.flatnonzero(open_ & (common / (sizes + sizes[i] - common) >= similarity)).tolist()
+            open_[near] = False
+            reached += near
+            found += [(nodes[i], nodes[j]) for j in near]
+    return found
+
+
+def confirmed_links(groups: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(u, v) links within groups (g, node), by the sets (node, hs) of their members. A group is of bounded size."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, nodes, held = None, [], []
+        for batch in _with_end(batches):
+            found = []
+            rows = [(None, None, None)] if batch is None else zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
+            for g, node, hs in rows:
+                if g != group:
+                    if len(nodes) > 1:
+                        found += exact_links(nodes, held, similarity)
+                    group, nodes, held = g, [], []
+                if g is not None:
+                    nodes.append(node), held.append(np.frombuffer(hs.as_py(), np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    return groups.join(sets, "node").select("g", "node", "hs").repartition("g").sortWithinPartitions("g").mapInArrow(links, "u long, v long")
+
+
+def _sets_of(docs: DataFrame, marks: DataFrame, shingle: int) -> DataFrame:
+    """(node, hs): the shingle sets of texts whose hash is in ``marks``. A Bloom filter of bounded size tells them, so a few others come along."""
+    seen = bloom.repeats(marks.unionByName(marks), "mark", bloom.size_for(2 * marks.count()))
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = batch.filter(pa.array(seen.value.maybe(batch.column(0).to_numpy().view(np.uint64)), pa.bool_()))
+            sets = [shingle_set(raw, shingle) for raw in raw_texts(wanted.column(1))]
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(h) for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())], ["node", "hs"])
+
+    return docs.select(F.xxhash64("text").alias("mark"), "text").mapInArrow(made, "node long, hs binary").dropDuplicates(["node"])
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, most: int = MOST_IN_BUCKET) -> DataFrame:
-    """doc_id and component_id (the smallest doc_id reachable) of every row, linking texts whose shingle sets have about ``similarity`` (Jaccard) or more.
+    """doc_id and component_id (the smallest doc_id reachable) of every row, linking texts whose shingle sets have ``similarity`` (Jaccard) or more.
 
-    The similarity is read from prints of 256 bits, with 30 % of slack in the number
-    of differing bits, so that few pairs at the very limit are missed. Null and empty
-    texts are alike. Rows that repeat a doc_id each get a row; an empty table gives none.
+    Candidates share a key and differ in as many bits of 256 as are expected at that
+    similarity, and seven standard deviations more; a link is what the whole sets
+    confirm. Null and empty texts are alike. Rows that repeat a doc_id each get a row;
+    an empty table gives none.
     """
-    angle = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    linked = _wide(int(64 * WORDS * angle * 1.3))
+    bits, angle = 64 * WORDS, np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    linked = _wide(int(bits * angle + 7 * np.sqrt(bits * angle * (1 - angle))))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [wide_print(raw, shingle) for raw in raw_texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64()))], ["doc_id", "fp", "keys"])
-
-    prints = stored(docs.select("doc_id", "text").mapInArrow(hashed, "doc_id long, fp binary, keys array<long>"))
-    classes = stored(prints.groupBy("fp").agg(F.min(F.struct("doc_id", "keys")).alias("m")).select("fp", F.col("m.doc_id").alias("node"), F.col("m.keys").alias("keys")).filter("node is not null"))
-    keyed = classes.select("node", F.col("fp").alias("r"), "keys", F.explode("keys").alias("key"))
+            ids, made = [], []
+            for raw in raw_texts(batch.column(1)):
+                h = shingle_set(raw, shingle)
+                ids.append(set_id(h)), made.append(wide_print(h))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(ids, pa.int64()), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64()))], ["doc_id", "mark", "node", "fp", "keys"])
+
+    prints = stored(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(hashed, "doc_id long, mark long, node long, fp binary, keys array<long>"))
+    classes = stored(prints.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("mark").alias("mark"), F.first("fp").alias("r"), F.first("keys").alias("keys")))
+    keyed = classes.select("node", "r", "keys", F.explode("keys").alias("key"))
     small, large = _sized(keyed, most)
     # Members of a large bucket meet again under pairs of keys: texts alike share most of their other keys, too.
     paired = large.select("node", "r", "key", F.explode("keys").alias("second")).filter("key <> second").select("node", "r", F.xxhash64(F.least("key", "second"), F.greatest("key", "second")).alias("key")).distinct()
     fitting, dense = _sized(paired, most)
-    found = components(_all_links(small, fitting, dense, most, linked, WORDS))
-    joined = classes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(joined, "fp", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    groups = bucket_groups(small.select("key", "node", "r").unionByName(fitting.select("key", "node", "r")).unionByName(_blocked(dense, most)), linked, WORDS)
+    groups = stored(groups)
+    marks = stored(groups.select("node").distinct().join(classes, "node").select("mark"))
+    found = components(confirmed_links(groups, _sets_of(docs, marks, shingle), similarity))
+    members = found.join(classes, "node").select("node", "component", "doc_id")
+    least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    joined = classes.select("node", "doc_id").join(members.join(least, "component").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return prints.join(joined, "node", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:

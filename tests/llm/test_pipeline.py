@@ -77,6 +77,27 @@ def test_similar_texts_meet_and_others_do_not(docs_of):
                     assert rows[i] != rows[j]
 
 
+def test_links_are_exact_at_the_limit(docs_of):
+    """Pairs of sets of one size that share just 0.8 of their union, or one shingle less; chains of the latter do not join, either."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    texts, want = [], []
+    for at in range(60):
+        # 180 shingles; 20 changed at the end leave 160 of 200 (0.8), 21 leave 159 of 201.
+        base, below = fresh(184), at % 2
+        texts += [" ".join(base), " ".join(base[: 164 - below] + fresh(20 + below))]
+        want += [2 * at, 2 * at + below]
+    sets = [shingles(t) for t in texts]
+    for i in range(0, len(texts), 2):
+        assert (alike(sets[i], sets[i + 1]) >= 0.8) == (want[i] == want[i + 1])
+    chain = fresh(184 + 21 * 7)
+    texts += [" ".join(chain[21 * k : 21 * k + 184]) for k in range(8)]
+    want += range(120, 128)
+    for most in (2, 1024):
+        rows = {r.doc_id: r.component_id for r in simhash.similar_groups(docs_of(texts), most=most).collect()}
+        assert [rows[i] for i in range(len(texts))] == want
+
+
 def test_stages_stand_odd_texts(spark, sf, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for name, stage in corpus_pipeline.STAGES:
