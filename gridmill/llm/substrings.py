@@ -167,10 +167,13 @@ def candidates(docs: DataFrame, seen) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            order, raws = np.lexsort((tags, ids)), list(raw_texts(batch.column(2)))
+            raws, alike = list(raw_texts(batch.column(2))), {}
+            for i in np.lexsort((tags, ids)).tolist():
+                alike.setdefault((ids[i], tags[i], raws[i]), i)
+            order = list(alike.values())
             # What has been met before in this batch of texts, taken in corpus order, is a repeat for sure.
             stretches, strings = Family(), Family()
-            for own, firsts, led in tiles(order.tolist(), [raws[i] for i in order]):
+            for own, firsts, led in tiles(order, [raws[i] for i in order]):
                 twice = np.flatnonzero(seen.value.maybe(led.key))
                 if not len(twice):
                     continue
@@ -255,7 +258,7 @@ def repeated_runs(sent: DataFrame) -> DataFrame:
     """(row, tag, start, count): runs of starts of repeated strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = Family()
+        family, last = Family(), np.full((4, 1), -1)
         for batch in batches:
             kind = batch.column(6).to_numpy()
             row, tag, start, count = (batch.column(i).to_numpy() for i in (1, 2, 3, 4))
@@ -265,6 +268,12 @@ def repeated_runs(sent: DataFrame) -> DataFrame:
             if done.all():
                 continue
             at = np.flatnonzero(~done)
+            # Rows alike, of which each batch of texts sends its own, are one text: their stretches follow on each other.
+            places = np.stack([batch.column(0).to_numpy(), row, tag, start])[:, at]
+            new = (places != np.concatenate((last, places[:, :-1]), axis=1)).any(axis=0)
+            last, at = places[:, -1:], at[new]
+            if not len(at):
+                continue
             bodies = batch.column(5).take(pa.array(at)).to_pylist()
             n = count[at].astype(np.int64)
             own = np.repeat(np.arange(len(at)), n)
@@ -281,14 +290,14 @@ def repeated_runs(sent: DataFrame) -> DataFrame:
             prints[~whole[own]] = batch.column(0).to_numpy().view(np.uint64)[at[~whole]]
             bad = repeats_in(prints, family)
             # Runs of repeats, which end where the stretch does.
-            new, last = bad.copy(), bad.copy()
-            new[1:] &= ~bad[:-1] | (own[1:] != own[:-1])
-            last[:-1] &= ~bad[1:] | (own[1:] != own[:-1])
-            a, b = np.flatnonzero(new), np.flatnonzero(last)
+            opens, closes = bad.copy(), bad.copy()
+            opens[1:] &= ~bad[:-1] | (own[1:] != own[:-1])
+            closes[:-1] &= ~bad[1:] | (own[1:] != own[:-1])
+            a, b = np.flatnonzero(opens), np.flatnonzero(closes)
             if len(a):
                 yield _runs(row[at][own[a]], tag[at][own[a]], start[at][own[a]] + step[a], b - a + 1)
 
-    return sent.repartition("k").sortWithinPartitions("row", "tag", "start").mapInArrow(run, "row long, tag int, start long, count int")
+    return sent.repartition("k").sortWithinPartitions("row", "tag", "start", "k").mapInArrow(run, "row long, tag int, start long, count int")
 
 
 def _runs(row, tag, start, count) -> pa.RecordBatch:

@@ -72,6 +72,23 @@ def test_odd_texts(spark, odd_docs, no_docs):
     assert substrings.without_repeats(twice).count() == 2 * len(ODD)
 
 
+def test_rows_alike_count_as_one_text(spark, docs_of, monkeypatch):
+    texts = planted()
+    want = by_hand(dict(enumerate(texts)))
+    docs = docs_of(texts)
+    for hot in (substrings.HOT, 3):
+        monkeypatch.setattr(substrings, "HOT", hot)
+        for doubled in (docs.unionByName(docs), docs.unionByName(docs).repartition(4), docs.unionByName(docs).coalesce(1)):
+            rows = substrings.without_repeats(doubled).collect()
+            assert len(rows) == 2 * len(texts)
+            assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == {(d, *w) for d, w in want.items()}
+    long = texts[4]
+    nulls = spark.createDataFrame([(None, long), (None, long), (7, long), (8, None), (8, None)], "doc_id long, text string")
+    got = [(r.doc_id, r.n_removed, r.kept_sha256) for r in substrings.without_repeats(nulls).collect()]
+    whole, none = hashlib.sha256(long.encode()).hexdigest(), hashlib.sha256(b"").hexdigest()
+    assert sorted(got, key=str) == sorted([(None, 0, whole)] * 2 + [(7, 3000, none)] + [(8, 0, none)] * 2, key=str)
+
+
 def test_levels_of_the_family_stay_few():
     family, rng = substrings.Family(), np.random.default_rng(2)
     seen = set()
