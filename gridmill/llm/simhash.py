@@ -349,9 +349,15 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, m
 
     Candidates share a key and differ in as many bits of 256 as are expected at that
     similarity, and seven standard deviations more; a link is what the whole sets
-    confirm. Null and empty texts are alike. Rows that repeat a doc_id each get a row;
-    an empty table gives none.
+    confirm. Members of buckets larger than ``most`` are compared block against block.
+    Null and empty texts are alike. Rows that repeat a doc_id each get a row, by their
+    own text; an empty table gives none.
     """
+    return _similar(docs, shingle, similarity, most).select("doc_id", "component_id")
+
+
+def _similar(docs: DataFrame, shingle: int, similarity: float, most: int) -> DataFrame:
+    """doc_id, mark (a hash of the text), node (its shingle set), component_id and keeper, the node that stays."""
     bits, angle = 64 * WORDS, np.arccos(2 * similarity / (1 + similarity)) / np.pi
     linked = _wide(int(bits * angle + 7 * np.sqrt(bits * angle * (1 - angle))))
 
@@ -365,25 +371,24 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, m
 
     prints = stored(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(hashed, "doc_id long, mark long, node long, fp binary, keys array<long>"))
     classes = stored(prints.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("mark").alias("mark"), F.first("fp").alias("r"), F.first("keys").alias("keys")))
-    keyed = classes.select("node", "r", "keys", F.explode("keys").alias("key"))
+    keyed = classes.select("node", "r", F.explode(F.array_distinct("keys")).alias("key"))
     small, large = _sized(keyed, most)
-    # Members of a large bucket meet again under pairs of keys: texts alike share most of their other keys, too.
-    paired = large.select("node", "r", "key", F.explode("keys").alias("second")).filter("key <> second").select("node", "r", F.xxhash64(F.least("key", "second"), F.greatest("key", "second")).alias("key")).distinct()
-    fitting, dense = _sized(paired, most)
-    groups = bucket_groups(small.select("key", "node", "r").unionByName(fitting.select("key", "node", "r")).unionByName(_blocked(dense, most)), linked, WORDS)
+    groups = bucket_groups(small.select("key", "node", "r").unionByName(_blocked(large, most)), linked, WORDS)
     groups = stored(groups)
     marks = stored(groups.select("node").distinct().join(classes, "node").select("mark"))
     found = components(confirmed_links(groups, _sets_of(docs, marks, shingle), similarity))
     members = found.join(classes, "node").select("node", "component", "doc_id")
-    least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    joined = classes.select("node", "doc_id").join(members.join(least, "component").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return prints.join(joined, "node", "left").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = members.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("least"))
+    joined = members.join(least, "component").select("node", F.col("least.doc_id").alias("least_id"), F.col("least.node").alias("least_node"))
+    joined = classes.select("node", F.col("doc_id").alias("own_id")).join(joined, "node", "left").select("node", F.coalesce("least_id", "own_id").alias("component_id"), F.coalesce("least_node", "node").alias("keeper"))
+    return prints.join(joined, "node", "left").select("doc_id", "mark", "node", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("keeper", "node").alias("keeper"))
 
 
-def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each group of similar texts, that with the smallest id; all columns kept."""
-    lost = similar_groups(docs, shingle, similarity).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, most: int = MOST_IN_BUCKET) -> DataFrame:
+    """``docs`` with one document of each group of similar texts, that with the smallest id; all columns kept. Of rows that repeat a doc_id only those with a similar text go."""
+    lost = _similar(docs, shingle, similarity, most).filter("doc_id <> component_id or (doc_id is not null and node <> keeper)")
+    lost = lost.select(F.col("doc_id").alias("lost_id_"), F.col("mark").alias("lost_mark_"))
+    return docs.join(lost, (F.col("doc_id") == F.col("lost_id_")) & (F.xxhash64("text") == F.col("lost_mark_")), "left_anti").select(*docs.columns)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

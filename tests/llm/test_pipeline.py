@@ -98,6 +98,26 @@ def test_links_are_exact_at_the_limit(docs_of):
         assert [rows[i] for i in range(len(texts))] == want
 
 
+def test_one_hot_key_is_enough_and_other_texts_of_an_id_stay(spark, monkeypatch):
+    rng = random.Random(13)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    base = fresh(184)
+    alone = " ".join(fresh(184))
+    twin = " ".join(base[:180] + fresh(4))
+    other = " ".join(base[:178] + fresh(6))
+    rows = [(3, " ".join(base)), (5, alone), (5, twin), (3, other), (9, " ".join(fresh(90)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(tuple(r) for r in simhash.without_near_copies(docs).collect())
+    # One of the two similar texts under id 3 stays.
+    assert len(kept) == 3 and (5, alone) in kept and rows[4] in kept and sum(k[0] == 3 for k in kept) == 1
+    # Texts that share the first of their keys only, in a bucket of more than ``most``.
+    made = simhash.wide_print
+    monkeypatch.setattr(simhash, "wide_print", lambda *a: (lambda fp, keys: (fp, [1, *(k + i for i, k in enumerate([hash(fp) >> 8] * 7))]))(*made(*a)))
+    texts = [(i, " ".join(base[:170] + fresh(14))) for i in range(6)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert {r.component_id for r in simhash.similar_groups(docs, most=2).collect()} == {0}
+
+
 def test_stages_stand_odd_texts(spark, sf, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for name, stage in corpus_pipeline.STAGES:
