@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,14 +24,37 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path below the shared checkpoint folder. Where no folder is set (local tests), a temporary one is."""
+    """A new path below the shared checkpoint folder.
+
+    Where no folder is set a temporary one is, but only for a local master, whose one
+    machine shares it with itself; on a cluster the setting is asked for.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/corpus-{uuid.uuid4().hex}"
 
 
+def quoted(name: str) -> str:
+    """A column's name as it may stand in an expression, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, each made longer until no column has it (in any case)."""
+    taken = {c.lower() for c in columns}
+    made = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        made.append(name)
+    return made
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here and lost executors cost nothing."""
     path = shared_dir(df.sparkSession)

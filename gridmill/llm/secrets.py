@@ -2,9 +2,14 @@
 
 A text (any version of a document) is a blob, addressed by its SHA-256. The ledger, a
 Parquet table, has a row for every blob and rule version scanned so far. A scan takes
-the blobs of its documents, drops those that the ledger has under the current version
-of the rules, scans one copy of each that is left, appends the findings to the ledger
-and joins them back to every document that holds the blob.
+the blobs of its documents, scans one copy of each that the ledger does not have under
+the current version of the rules, appends the findings to the ledger and joins them
+back to every document that holds the blob.
+
+Texts stay where they lie. A pass over the addresses marks in a bitmap of bounded size
+those that occur twice or are in the ledger; a text with an unmarked address is new and
+alone, and is scanned in place. Only texts with a marked address are shuffled, to find
+the unseen ones and one copy of each.
 
 Positions count code points from 0 and ends are exclusive. They come from splitting a
 text at a rule's matches: the lengths of the parts between and of the matches add up.
@@ -15,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import documents, shared_dir
+from gridmill.llm import bitmaps
+from gridmill.llm.common import documents, fresh, quoted, shared_dir, stored
 
 #: Fixed patterns. Kind, pattern, the group whose length counts, its least length, and a text that any match holds (for a cheap look beforehand; none for ``assign`` and ``hex``).
 BASE = (
@@ -83,23 +89,45 @@ class Ledger:
         rows.write.mode("append").parquet(self.path)
 
     def rows(self, version: str) -> DataFrame:
-        """blob, spans of all blobs scanned under the version; a blob that two runs scanned counts once."""
+        """blob, spans of all blobs scanned under the version; a blob that two runs scanned at the same time counts once."""
         return self.spark.read.schema(LEDGER).parquet(self.path).filter(F.col("version") == version).groupBy("blob").agg(F.first("spans").alias("spans"))
 
+    def update(self, docs: DataFrame, version: str = VERSION) -> DataFrame:
+        """Scans the blobs of ``docs`` that are new to the ledger. Gives doc_id, blob of every row, stored."""
+        blobs = docs.select("doc_id", _text().alias("text"), _address().alias("blob"))
+        paths = stored(blobs.select("doc_id", "blob"))
+        known = self.spark.read.schema(LEDGER).parquet(self.path).filter(F.col("version") == version).select("blob")
+        log2 = bitmaps.size_for(paths.count() + known.count())
+        seen = bitmaps.bitmap(paths.select("blob").unionByName(known).select(F.xxhash64("blob").alias("h")), "h", log2, least=2)
+        # What the ledger has, had one mark from there and has one from here.
+        tested = bitmaps.tested(blobs.select("text", "blob"), F.xxhash64("blob"), seen, log2, "again")
+        again = tested.filter("again").select("text", "blob")
+        # Equal blobs have equal texts, so that of any row will do.
+        new = tested.filter(~F.col("again")).select("text", "blob").unionByName(again.join(known.distinct(), "blob", "left_anti").dropDuplicates(["blob"]).select("text", "blob"))
+        self._append(new.select("blob", F.lit(version).alias("version"), findings(F.col("text")).alias("spans")))
+        return paths
+
+    def found(self, version: str = VERSION) -> DataFrame:
+        """blob, spans of the blobs that have spans. Stored, so that a join with it is one that adaptive execution can split where many documents hold one blob."""
+        return stored(self.rows(version).filter(F.size("spans") > 0))
+
     def scan(self, docs: DataFrame, version: str = VERSION) -> DataFrame:
         """doc_id, blob, spans for every row of ``docs``; only blobs new to the ledger are scanned.
 
-        Null texts are the blob of the empty text. Rows that share a doc_id are joined
-        by blob, so each gets its own text's findings; an empty table gives none.
+        Null texts are the blob of the empty text. Rows that share a doc_id, or have
+        none, are joined by blob, so each gets its own text's findings; repeated rows
+        each get a row; an empty table gives none. Other columns are not looked at.
         """
-        text = F.coalesce(F.col("text"), F.lit(""))
-        blobs = docs.select("doc_id", text.alias("text"), F.sha2(text.cast("binary"), 256).alias("blob"))
-        paths = blobs.select("doc_id", "blob")
-        known = self.spark.read.schema(LEDGER).parquet(self.path).filter(F.col("version") == version).select("blob").distinct()
-        # One copy of each unseen blob: equal blobs have equal texts, so that of any row will do.
-        unseen = blobs.select("blob", "text").join(known, "blob", "left_anti").dropDuplicates(["blob"])
-        self._append(unseen.select("blob", F.lit(version).alias("version"), findings(F.col("text")).alias("spans")))
-        return paths.join(self.rows(version), "blob").select("doc_id", "blob", "spans")
+        paths = self.update(docs, version)
+        return paths.join(self.found(version), "blob", "left").select("doc_id", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+
+
+def _text() -> F.Column:
+    return F.coalesce(F.col("text"), F.lit(""))
+
+
+def _address() -> F.Column:
+    return F.sha2(_text().cast("binary"), 256)
 
 
 def joined(spans: F.Column) -> F.Column:
@@ -128,16 +156,26 @@ def redacted(text: F.Column, spans: F.Column, mark: str = "[secret]") -> F.Colum
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with secrets redacted and n_chars (where there is one) set to the new length; no row is lost."""
-    found = Ledger(docs.sparkSession).scan(docs).filter(F.size("spans") > 0).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"])
-    address = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    marked = docs.withColumn("_address", address).join(found, F.col("_address") == F.col("_blob"), "left")
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("_spans")))
-    marked = marked.withColumn("_clean", clean)
-    made = {"text": F.col("_clean").alias("text")}
+    """``docs`` with secrets redacted and n_chars (where there is one) set to the new length; no row is lost.
+
+    A null or empty text stays as it is, and so does n_chars of a text without a
+    secret; repeated rows are redacted each; an empty table gives none. Columns of any
+    name are kept. Only texts that may hold a secret are shuffled.
+    """
+    ledger = Ledger(docs.sparkSession)
+    ledger.update(docs)
+    found = ledger.found()
+    log2 = bitmaps.size_for(found.count())
+    bits = bitmaps.bitmap(found.select(F.xxhash64("blob").alias("h")), "h", log2)
+    address, flag, blob, spans, clean = fresh(docs.columns, "address", "flag", "blob", "spans", "clean")
+    rows = bitmaps.tested(docs.withColumn(address, _address()), F.xxhash64(address), bits, log2, flag)
+    names = [F.col(quoted(c)) for c in docs.columns]
+    hit = rows.filter(flag).join(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), F.col(address) == F.col(blob), "left")
+    hit = hit.withColumn(clean, F.when(F.col(spans).isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col(spans))))
+    made = {"text": F.col(clean).alias("text")}
     if "n_chars" in docs.columns:
-        made["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_clean")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    return marked.select(*[made.get(c, F.col(f"`{c}`")) for c in docs.columns])
+        made["n_chars"] = F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length(clean)).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return rows.filter(~F.col(flag)).select(*names).union(hit.select(*[made.get(c, F.col(quoted(c))) for c in docs.columns]))
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
