@@ -5,9 +5,14 @@ its first piece may be short. The pieces are dealt by hash into blocks of bounde
 size. Every block is evolved on several islands that start from different seeds. The
 genes of the algorithm are whole bins: crossover injects well-filled bins of one
 parent into the other, drops the bins that hold the same pieces, and best-fits the
-displaced pieces again. After each epoch the best packing of every island migrates
+displaced pieces again. Fewer bins are fitter; of as many, those are whose room is left
+in as few bins as can be. After each epoch the best packing of every island migrates
 to the next island of its block, and at the end the best of all islands is taken.
 
+A block's last bins may be half empty. The bins that are not all but full are therefore
+taken up again, those of all blocks together, as the pieces of a further round with
+fewer blocks, until one block is left.
+
 An epoch is one Spark job over (block, island) groups; the packings between epochs
 are rows of a stored table.
 """
@@ -15,20 +20,16 @@ are rows of a stored table.
 from __future__ import annotations
 
 import json
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmill.llm.common import documents, stored
-from gridmill.llm.units import Store
 
 ROOM = 2048
 BLOCK = 8192
@@ -38,19 +39,21 @@ POPULATION = 4
 GENERATIONS = 5
 #: A bin is well filled, and may be injected, from this share of the room on.
 WELL = 0.98
+#: A bin filled less than this is taken up again with those of other blocks.
+CLOSED = 0.998
 
-#: The word pattern of byte-level BPE vocabularies of this family.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Where a space follows white space, words next to it cannot be told apart by the space alone.
-RUNS = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
+#: The word pattern of byte-level BPE vocabularies of this family (fixed), with possessive runs.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+#: Of the texts one in so many, chosen by its bytes, and the first of each Arrow batch are compared with the library's ids.
+CHECKED = 64
 
 
-class Words:
-    """Token ids of words of a byte-level BPE vocabulary; a text is cut before each space that has something visible before it.
+class Tokens:
+    """Token ids of texts under a byte-level BPE vocabulary file of the tokenizers library.
 
-    The vocabulary file is that of the tokenizers library. Where its merges are in the
-    order of their ids, as is usual, single words are encoded by the faster tiktoken
-    over the same table, and ``whole`` by the library itself.
+    Where the file's merges are in the order of their ids, as is usual, texts are
+    encoded over the same table by tiktoken, which is some four times as fast; texts
+    with special tokens, and all texts under other files, by the library itself.
     """
 
     def __init__(self, path: str):
@@ -60,13 +63,14 @@ class Words:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            spec = json.load(file)
+        model, before = spec["model"], spec.get("pre_tokenizer") or {}
         ids = model["vocab"]
         merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         ranks = [ids[m] for m in merges]
-        self.match = regex.compile(PATTERN)
         self.fast = None
-        if ranks == sorted(ranks) and not model.get("ignore_merges"):
+        plain = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec.get("normalizer")
+        if plain and ranks == sorted(ranks) and not model.get("ignore_merges"):
             # The printable stand-ins of bytes: visible Latin-1 characters stand for themselves, the others from U+0100 on.
             seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
             byte = {chr(b): b for b in seen} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in seen)}
@@ -76,43 +80,16 @@ class Words:
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def plain(self, text: str) -> bool:
-        """Whether the text may be tokenised by units: no space after white space, no special token, no NUL."""
-        return "\0" not in text and not any(s in text for s in self.special) and not any(r in text for r in RUNS)
-
-    @staticmethod
-    def units(text: str) -> list[str]:
-        """What stands between single spaces; the first, which has no space before it, is marked by a NUL."""
-        units = text.split(" ")
-        units[0] = "\0" + units[0]
-        return units
-
-    def parts(self, unit: str) -> list[str]:
-        if unit[:1] == "\0":
-            return self.match.findall(unit[1:])
-        if unit.isalpha():
-            return [" " + unit]
-        if unit[-1:] in (".", ",") and unit[:-1].isalpha():
-            return [" " + unit[:-1], unit[-1]]
-        return self.match.findall(" " + unit)
-
-    def values(self, parts: list[str]) -> list[bytes]:
-        if self.fast is not None:
-            encode, pack = self.fast.encode_ordinary, {n: struct.Struct(f"<{n}I").pack for n in range(1, 9)}
-            return [pack[len(ids)](*ids) if 0 < len(ids) < 9 else np.array(ids, "<u4").tobytes() for ids in map(encode, parts)]
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(parts, add_special_tokens=False)]
-
-    def joined(self, values: list[bytes]) -> bytes:
-        return b"".join(values)
-
-    def encoded(self, text: str, store: Store) -> bytes:
-        return b"".join(store.of_units(self.units(text))) if self.plain(text) else self.whole(text)
+    def encoded(self, text: str) -> bytes:
+        """The ids, four bytes each."""
+        if self.fast is None or any(s in text for s in self.special):
+            return self.whole(text)
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
 @lru_cache(maxsize=2)
-def words(path: str) -> tuple[Words, Store]:
-    made = Words(path)
-    return made, Store(made)
+def tokens(path: str) -> Tokens:
+    return Tokens(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, room: int = ROOM) -> DataFrame:
@@ -122,14 +99,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, room: int = ROOM) -> DataFrame:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        library, kept = words(tokenizer_path)
+        library = tokens(tokenizer_path)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = text or ""
-                ids = library.encoded(text, kept)
-                if not rows and ids != library.whole(text):
-                    raise ValueError("the words of a text and the whole of it are encoded differently")
+            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = value.as_py() or ""
+                ids = library.encoded(text)
+                if (not rows or zlib.crc32(text.encode()) % CHECKED == 0) and ids != library.whole(text):
+                    raise ValueError(f"the two encoders differ on a text of {len(text)} characters")
                 ids += b"\0\0\0\0"
                 n = len(ids) // 4
                 cuts = [0, *range(n % room or room, n, room), n]
@@ -226,8 +203,18 @@ def from_genome(sizes: list[int], room: int, blob: bytes) -> Bins:
     return made
 
 
-def evolved(sizes: list[int], room: int, seed: int, migrants: list[bytes], population: int = POPULATION, generations: int = GENERATIONS) -> Bins:
-    """The best packing after some generations; the first members are the migrants, best fit in falling order, and best fit in orders near it."""
+def settled(p: Bins, total: int) -> bool:
+    """Whether nothing can be gained: as few bins as there can be, and room in one of them only."""
+    return len(p.bins) * p.room - total < p.room and sum(1 for left in p.left if left) <= 1
+
+
+def evolved(sizes: list[int], room: int, seed: int, migrants: list[bytes], population: int = POPULATION, generations: int = GENERATIONS) -> tuple[Bins, int]:
+    """The best packing after some generations, and how many crossovers were made.
+
+    The first members are the migrants, best fit in falling order, and best fit in
+    orders near it. Sizes are taken in falling order, so a packing of the same sizes
+    is found again whatever their order was.
+    """
     rng = np.random.default_rng(seed)
     members = [from_genome(sizes, room, m) for m in migrants]
     weights = np.array(sizes, float)
@@ -236,74 +223,112 @@ def evolved(sizes: list[int], room: int, seed: int, migrants: list[bytes], popul
         noise = 0.0 if k == 0 and not migrants else 0.1
         first.best_fit(np.argsort(-weights * (1 + noise * rng.standard_normal(len(sizes))), kind="stable").tolist())
         members.append(first)
-    total = sum(sizes)
+    total, crossings = sum(sizes), 0
     members.sort(key=fitness, reverse=True)
     for _ in range(generations):
-        if len(members[0].bins) * room - total < room:
-            break  # as few bins as there can be
+        if settled(members[0], total):
+            break
         a, b = rng.choice(len(members), 2, replace=len(members) < 2)
         child = crossed(members[a], members[b], rng)
+        crossings += 1
         if len(members) >= population:
             members.pop()
         members.append(child)
         members.sort(key=fitness, reverse=True)
-    return members[0]
+    return members[0], crossings
+
+
+ITEM = "block int, doc_id long, piece int, start long, length long, ids_crc32 long"
+GENOMES = "block int, island int, bins int, fill double, crossings int, genome binary"
+PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-def _ordered(items: pd.DataFrame) -> pd.DataFrame:
-    return items.sort_values(["doc_id", "piece", "length", "ids_crc32"], kind="stable")
+def _ordered(items: pa.Table) -> pa.Table:
+    """The items in an order of their own, whatever order they came in."""
+    return items.sort_by([(c, "ascending") for c in ("doc_id", "piece", "length", "ids_crc32", "start")])
 
 
-GENOMES = "block int, island int, bins int, fill double, genome binary"
+def _arrow(schema: str) -> pa.Schema:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in (f.split(" ") for f in schema.split(", "))])
 
 
 def _epoch(room: int, epoch: int):
     """Evolves the packing of one block on one island, with the packings that it starts from."""
 
-    def run(key, items: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
-        if not len(items):
-            return pd.DataFrame({"block": [], "island": [], "bins": [], "fill": [], "genome": []})
-        seed = (int(key[0]) * 1_000_003 + int(key[1]) * 1_009 + epoch) % (1 << 31)
-        found = evolved(_ordered(items)["length"].tolist(), room, seed, list(came["genome"]))
+    def run(key, items: pa.Table, came: pa.Table) -> pa.Table:
+        block, island = (k.as_py() for k in key)
+        if not items.num_rows:
+            return _arrow(GENOMES).empty_table()
+        seed = (block * 1_000_003 + island * 1_009 + epoch) % (1 << 31)
+        found, crossings = evolved(_ordered(items).column("length").to_pylist(), room, seed, came.column("genome").to_pylist())
         bins, fill = fitness(found)
-        return pd.DataFrame({"block": [key[0]], "island": [key[1]], "bins": [-bins], "fill": [fill], "genome": [genome(found)]})
+        return pa.Table.from_pylist([{"block": block, "island": island, "bins": -bins, "fill": fill, "crossings": crossings, "genome": genome(found)}], _arrow(GENOMES))
 
     return run
 
 
-def packed(parts: DataFrame, room: int = ROOM, block: int = BLOCK, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
-    """The rows of ``parts`` (see ``pieces``) with sequence_id and offset. No piece is lost; none may be longer than ``room``."""
-    parts = stored(parts)
-    blocks = max(1, -(-parts.count() // block))
-    dealt = parts.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(blocks)).cast("int"))
-    slim = dealt.select("block", "doc_id", "piece", "length", "ids_crc32")
-    on_islands = slim.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
-    best = parts.sparkSession.createDataFrame([], GENOMES)
+def evolution(dealt: DataFrame, room: int, islands: int, epochs: int) -> DataFrame:
+    """Every block's packings (see GENOMES) after all epochs, stored; ``crossings`` counts over the epochs of an island."""
+    on_islands = dealt.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))))
+    best = dealt.sparkSession.createDataFrame([], GENOMES)
     for epoch in range(epochs):
         # An island goes on from its own best packing and that of the island before it.
         moved = best.unionByName(best.withColumn("island", ((F.col("island") + 1) % islands).cast("int"))).dropDuplicates(["block", "island", "genome"])
-        best = stored(on_islands.groupBy("block", "island").cogroup(moved.groupBy("block", "island")).applyInPandas(_epoch(room, epoch), GENOMES))
-    chosen = best.groupBy("block").agg(F.min_by("genome", F.struct("bins", -F.col("fill"), "island")).alias("genome"))
+        made = on_islands.groupBy("block", "island").cogroup(moved.groupBy("block", "island")).applyInArrow(_epoch(room, epoch), GENOMES)
+        before = best.groupBy("block", "island").agg(F.sum("crossings").alias("crossed"))
+        best = stored(made.join(before, ["block", "island"], "left").select("block", "island", "bins", "fill", (F.col("crossings") + F.coalesce("crossed", F.lit(0))).cast("int").alias("crossings"), "genome"))
+    return best
+
 
-    def placed(key, items, winner):
+def _placed(room: int, round_: int, last: bool):
+    """The items of a block in their bins. But for the last round, bins that are not closed have no sequence."""
+
+    def run(key, items: pa.Table, winner: pa.Table) -> pa.Table:
+        if not items.num_rows:
+            return _arrow(PLACED).empty_table()
         items = _ordered(items)
-        if not len(items):
-            return pd.DataFrame({c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")})
-        at = np.frombuffer(winner["genome"].iloc[0], np.int32)
+        at, length = np.frombuffer(winner.column("genome")[0].as_py(), np.int32), items.column("length").to_numpy()
         order = np.argsort(at, kind="stable")
-        ends = np.cumsum(items["length"].to_numpy()[order])
-        begins = ends - items["length"].to_numpy()[order]
+        ends = np.cumsum(length[order])
+        begins = ends - length[order]
         first = np.concatenate(([True], np.diff(at[order]) > 0))
-        offset = np.empty(len(items), np.int64)
+        offset = np.empty(len(at), np.int64)
         offset[order] = begins - np.maximum.accumulate(np.where(first, begins, 0))
-        return items.assign(sequence_id=(np.int64(key[0]) << 32) + at, offset=offset)[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
+        sequence = (np.int64(round_) << 58) + (np.int64(key[0].as_py()) << 26) + at
+        open_ = np.zeros(len(at), bool) if last else np.bincount(at, length)[at] < CLOSED * room
+        made = [items.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
+        return pa.Table.from_arrays([*made, pa.array(sequence, pa.int64(), mask=open_), pa.array(offset)], schema=_arrow(PLACED))
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return dealt.groupBy("block").cogroup(chosen.groupBy("block")).applyInPandas(placed, schema)
+    return run
+
+
+def packed(parts: DataFrame, room: int = ROOM, block: int = BLOCK, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
+    """The rows of ``parts`` (see ``pieces``) with sequence_id and offset. No piece is lost; none may be longer than ``room``."""
+    left, done, round_, before = stored(parts), None, 0, None
+    while True:
+        n = left.count()
+        blocks = max(1, -(-n // block))
+        dealt = left.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32", F.lit(round_)), F.lit(blocks)).cast("int")).select(*[f.split(" ")[0] for f in ITEM.split(", ")])
+        chosen = evolution(dealt, room, islands, epochs).groupBy("block").agg(F.min_by("genome", F.struct("bins", -F.col("fill"), "island")).alias("genome"))
+        # A round in one block is the last, and so is one that had more than half of the pieces of the round before it.
+        last = blocks == 1 or (before is not None and 2 * n > before)
+        placed = dealt.groupBy("block").cogroup(chosen.groupBy("block")).applyInArrow(_placed(room, round_, last), PLACED)
+        if last:
+            return placed if done is None else done.unionByName(placed)
+        placed = stored(placed)
+        full = placed.filter("sequence_id is not null")
+        done = full if done is None else done.unionByName(full)
+        left = placed.filter("sequence_id is null").select("doc_id", "piece", "start", "length", "ids_crc32")
+        round_, before = round_ + 1, n
 
 
 def packed_documents(docs: DataFrame, tokenizer_path: str, room: int = ROOM) -> DataFrame:
-    """The pieces of all rows of ``docs``, packed. Null and empty texts are one piece of one id; an empty table gives none; repeated rows are packed each."""
+    """The pieces of all rows of ``docs``, packed.
+
+    Null and empty texts are one piece of one id; a null doc_id stays null; repeated
+    rows are packed each; an empty table gives none; other columns are not looked at.
+    """
     return packed(pieces(docs, tokenizer_path, room), room)
 
 

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 from llm_cases import ODD
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridmill.llm import packing
@@ -46,21 +47,43 @@ def test_odd_texts(spark, odd_docs, no_docs):
     assert packing.packed_documents(no_docs, packing.default_tokenizer()).count() == 0
 
 
-def test_units_match_the_library():
-    library = packing.Words(packing.default_tokenizer())
-    store = packing.Store(library, most=40)
+def test_ids_match_the_library():
+    library = packing.Tokens(packing.default_tokenizer())
+    assert library.fast is not None
     rng = random.Random(5)
-    letters = list("abeth nrs日é\n\t.,'0123<>😀") + ["  ", " the", "'ll", " \n ", "<|endoftext|>", "　", " "]
-    for _ in range(600):
+    letters = list("abeth nrs日é\n\t.,'0123<>😀") + ["  ", " the", "'ll", " \n ", "<|endoftext|>", "　", "\u2009", "\x00", "'S", "\u0301"]
+    for _ in range(3000):
         text = "".join(rng.choices(letters, k=rng.choice([1, 3, 10, 60, 300])))
-        assert library.encoded(text, store) == library.whole(text), text
+        assert library.encoded(text) == library.whole(text), text
+    for text in (" " * 200_000, "a" * 200_000, "a " * 100_000, "\n" * 5000 + "x"):
+        assert library.encoded(text) == library.whole(text)
+
+
+def test_crossovers_are_made_and_blocks_share_their_last_bins(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    parts = packing.stored(packing.pieces(docs, packing.default_tokenizer()))
+    dealt = parts.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(2)).cast("int"))
+    made = packing.evolution(dealt, packing.ROOM, packing.ISLANDS, packing.EPOCHS).collect()
+    assert sum(r.crossings for r in made) > 0
+    rows = packing.packed(parts, block=1500).collect()
+    assert len(rows) == parts.count()
+    # Eight blocks of their own would each leave up to one bin's room.
+    assert len({r.sequence_id for r in rows}) <= -(-sum(r.length for r in rows) // packing.ROOM) + 1
+
+
+def test_large_ids_beside_a_null_id(spark):
+    ids = [1152921504606846977, None, 9007199254740993, -1152921504606846977]
+    docs = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(ids)], "doc_id long, text string")
+    rows = packing.packed_documents(docs, packing.default_tokenizer()).collect()
+    assert sorted((r.doc_id for r in rows), key=str) == sorted(ids, key=str)
 
 
 def test_evolution_keeps_every_piece_and_uses_few_bins():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 2049, 800).tolist()
-    a = packing.evolved(sizes, 2048, 1, [])
-    b = packing.evolved(sizes, 2048, 2, [packing.genome(a)])
+    a, made = packing.evolved(sizes, 2048, 1, [])
+    b, _ = packing.evolved(sizes, 2048, 2, [packing.genome(a)])
+    assert made > 0
     child = packing.crossed(a, b, rng)
     for p in (a, b, child):
         assert sorted(i for items in p.bins for i in items) == list(range(800))
