@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from gridmill.llm import bloom
-from gridmill.llm.common import documents, raw_texts, stored
+from gridmill.llm.common import documents, fresh, quoted, raw_texts, stored
 
 MOST_LOG2_BITS = 28
 
@@ -70,21 +70,28 @@ def _groups(again: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, most_log2_bits: int = MOST_LOG2_BITS) -> DataFrame:
-    """``docs`` with the keeper of each distinct text, all columns kept. Only rows that may have a copy are shuffled; the others pass straight through."""
+    """``docs`` with the keeper of each distinct text, all columns kept, whatever their names.
+
+    Only rows that may have a copy are shuffled; the others pass straight through. Null
+    texts equal empty ones; a null doc_id goes unless its whole group has none; repeated
+    rows with the keeping id all stay; an empty table gives none.
+    """
     _, seen = _first_pass(docs, most_log2_bits)
     columns, place = docs.columns, docs.columns.index("text")
+    digest, again, other, keeper = fresh(columns, "digest", "again", "other", "keeper")
 
     def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests = [hashlib.sha256(raw.lower()).digest() for raw in raw_texts(batch.column(place))]
             h = np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([d.hex() for d in digests], pa.string()), pa.array(seen.value.maybe(h), pa.bool_())], [*columns, "text_sha256_", "again_"])
-
-    rows = docs.mapInArrow(flagged, StructType([*docs.schema.fields, StructField("text_sha256_", StringType()), StructField("again_", BooleanType())]))
-    again = rows.filter("again_")
-    groups = _groups(again.select("doc_id", F.col("text_sha256_").alias("text_sha256")))
-    kept = again.join(groups.select(F.col("text_sha256").alias("text_sha256_"), F.col("keep_id").alias("keep_id_")), "text_sha256_").filter(F.col("doc_id").eqNullSafe(F.col("keep_id_")))
-    return rows.filter(~F.col("again_")).select(*columns).unionByName(kept.select(*columns))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([d.hex() for d in digests], pa.string()), pa.array(seen.value.maybe(h), pa.bool_())], [*columns, digest, again])
+
+    rows = docs.mapInArrow(flagged, StructType([*docs.schema.fields, StructField(digest, StringType()), StructField(again, BooleanType())]))
+    names = [F.col(quoted(c)) for c in columns]
+    several = rows.filter(again)
+    groups = _groups(several.select("doc_id", F.col(digest).alias("text_sha256"))).select(F.col("text_sha256").alias(other), F.col("keep_id").alias(keeper))
+    kept = several.join(groups, F.col(digest) == F.col(other)).filter(F.col("doc_id").eqNullSafe(F.col(keeper)))
+    return rows.filter(~F.col(again)).select(*names).union(kept.select(*names))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,10 +13,13 @@ task holds more than a bounded number of fingerprints, and no link is lost.
 
 For a similarity of 0.8 on five-word shingles three bits are far too few: such texts
 differ in about 15 % of all bits. ``similar_groups`` serves that case with prints of
-256 bits, whose differing share gives the angle between two texts to about two
-percent; texts meet under any of eight least shingle hashes, which texts that similar
-share with near certainty. Keys and prints only choose who is compared: what a bucket
-holds as candidates becomes a link by the Jaccard similarity of the whole shingle sets.
+256 bits, a ring of sixteen 16-bit segments, whose differing share gives the angle
+between two texts to about two percent. With budgets of several bits no segment need be
+equal, so segments can't be keys; texts meet under any of eight least shingle hashes,
+which texts that similar share with near certainty. Pairs that meet go through the ring:
+from some segment on, the running differences of a chain have to stay within the
+proportional budgets, or the pair is dropped before the full Hamming check. What passes
+becomes a link by the Jaccard similarity of the whole shingle sets.
 
 Equal fingerprints are collapsed to one class before anything is compared, and a
 bucket sends out a spanning forest of its links, never all its pairs.
@@ -33,14 +36,16 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm import bloom
-from gridmill.llm.common import documents, mixed, raw_texts, stored
+from gridmill.llm import bitmaps, bloom
+from gridmill.llm.common import documents, fresh, mixed, quoted, raw_texts, stored
 from gridmill.llm.components import components
 
 SEED = 42
 SHINGLE = 3
 BITS = 3
 MOST_IN_BUCKET = 1024
+#: Segments that a chain over wide prints is followed for.
+CHAIN = 3
 
 
 def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
@@ -112,9 +117,27 @@ def _ring(bits: int):
     return lambda a, b: _linked(a, b, bits)
 
 
+def _chained(x: np.ndarray, most: int) -> np.ndarray:
+    """Whether differences (several words each, the last axis) have a chain: from some 16-bit segment on, the running sums over 1, 2, ... ``CHAIN`` segments stay within their shares of ``most``. No difference of ``most`` bits or less lacks one."""
+    segments = np.bitwise_count(np.ascontiguousarray(x).view(np.uint16)).astype(np.int16)
+    n = segments.shape[-1]
+    running, good = np.zeros_like(segments), np.ones(segments.shape, bool)
+    for k in range(CHAIN):
+        running += np.roll(segments, -k, axis=-1)
+        good &= running * n <= (k + 1) * most
+    return good.any(axis=-1)
+
+
 def _wide(most: int):
-    """Prints of several words a row (the last axis) that differ in ``most`` bits at most."""
-    return lambda a, b: np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int32) <= most
+    """Prints of several words a row (the last axis) that have a chain and then differ in ``most`` bits at most."""
+
+    def linked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = a ^ b
+        near = _chained(x, most)
+        near[near] = np.bitwise_count(x[near]).sum(axis=-1, dtype=np.int32) <= most
+        return near
+
+    return linked
 
 
 def _labels(r: np.ndarray, linked) -> np.ndarray:
@@ -356,6 +379,13 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, m
     return _similar(docs, shingle, similarity, most).select("doc_id", "component_id")
 
 
+def _by_size(keyed: DataFrame, similarity: float) -> DataFrame:
+    """The rows of large buckets under the key and a class of set sizes. Sets that similar have sizes in one class or in two that follow on each other, so each row is in its own and the next."""
+    # Classes are a touch wider than the similarity asks, so that rounding can't part two sizes at the limit.
+    own = F.floor(F.log(F.greatest("size", F.lit(1))) / float(-np.log(similarity) * (1 + 1e-9))).cast("int")
+    return keyed.select("node", "r", "key", F.explode(F.array(own, own + 1)).alias("class")).select("node", "r", F.xxhash64("key", "class").alias("key"))
+
+
 def _similar(docs: DataFrame, shingle: int, similarity: float, most: int) -> DataFrame:
     """doc_id, mark (a hash of the text), node (its shingle set), component_id and keeper, the node that stays."""
     bits, angle = 64 * WORDS, np.arccos(2 * similarity / (1 + similarity)) / np.pi
@@ -363,17 +393,18 @@ def _similar(docs: DataFrame, shingle: int, similarity: float, most: int) -> Dat
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, made = [], []
+            ids, made, sizes = [], [], []
             for raw in raw_texts(batch.column(1)):
                 h = shingle_set(raw, shingle)
-                ids.append(set_id(h)), made.append(wide_print(h))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(ids, pa.int64()), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64()))], ["doc_id", "mark", "node", "fp", "keys"])
+                ids.append(set_id(h)), made.append(wide_print(h)), sizes.append(len(h))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(ids, pa.int64()), pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["doc_id", "mark", "node", "fp", "keys", "size"])
 
-    prints = stored(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(hashed, "doc_id long, mark long, node long, fp binary, keys array<long>"))
-    classes = stored(prints.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("mark").alias("mark"), F.first("fp").alias("r"), F.first("keys").alias("keys")))
-    keyed = classes.select("node", "r", F.explode(F.array_distinct("keys")).alias("key"))
+    prints = stored(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(hashed, "doc_id long, mark long, node long, fp binary, keys array<long>, size long"))
+    classes = stored(prints.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("mark").alias("mark"), F.first("fp").alias("r"), F.first("keys").alias("keys"), F.first("size").alias("size")))
+    keyed = classes.select("node", "r", "size", F.explode(F.array_distinct("keys")).alias("key"))
     small, large = _sized(keyed, most)
-    groups = bucket_groups(small.select("key", "node", "r").unionByName(_blocked(large, most)), linked, WORDS)
+    fitting, dense = _sized(_by_size(large, similarity), most)
+    groups = bucket_groups(small.select("key", "node", "r").unionByName(fitting.select("key", "node", "r")).unionByName(_blocked(dense, most)), linked, WORDS)
     groups = stored(groups)
     marks = stored(groups.select("node").distinct().join(classes, "node").select("mark"))
     found = components(confirmed_links(groups, _sets_of(docs, marks, shingle), similarity))
@@ -385,10 +416,21 @@ def _similar(docs: DataFrame, shingle: int, similarity: float, most: int) -> Dat
 
 
 def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, most: int = MOST_IN_BUCKET) -> DataFrame:
-    """``docs`` with one document of each group of similar texts, that with the smallest id; all columns kept. Of rows that repeat a doc_id only those with a similar text go."""
-    lost = _similar(docs, shingle, similarity, most).filter("doc_id <> component_id or (doc_id is not null and node <> keeper)")
-    lost = lost.select(F.col("doc_id").alias("lost_id_"), F.col("mark").alias("lost_mark_"))
-    return docs.join(lost, (F.col("doc_id") == F.col("lost_id_")) & (F.xxhash64("text") == F.col("lost_mark_")), "left_anti").select(*docs.columns)
+    """``docs`` with one document of each group of similar texts, that with the smallest id; all columns kept, whatever their names.
+
+    Of rows that repeat a doc_id only those with a similar text go; rows with a null
+    doc_id are no links of others and stay; null and empty texts are alike; an empty
+    table gives none. Only texts that may go are shuffled.
+    """
+    lost = stored(_similar(docs, shingle, similarity, most).filter("doc_id <> component_id or (doc_id is not null and node <> keeper)").select("doc_id", "mark"))
+    log2 = bitmaps.size_for(lost.count())
+    bits = bitmaps.bitmap(lost, "mark", log2)
+    flag, mark, lost_id, lost_mark = fresh(docs.columns, "flag", "mark", "lost_id", "lost_mark")
+    names = [F.col(quoted(c)) for c in docs.columns]
+    rows = bitmaps.tested(docs.withColumn(mark, F.xxhash64("text")), F.col(mark), bits, log2, flag)
+    going = lost.select(F.col("doc_id").alias(lost_id), F.col("mark").alias(lost_mark))
+    stays = rows.filter(flag).join(going, (F.col("doc_id") == F.col(lost_id)) & (F.col(mark) == F.col(lost_mark)), "left_anti")
+    return rows.filter(~F.col(flag)).select(*names).union(stays.select(*names))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

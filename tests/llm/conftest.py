@@ -8,6 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from llm_cases import ODD  # noqa: E402
 
+ODD_NAMES = "h key node fp score start kind block words n a.b a`b flag flag_ mark lost_id lost_mark_ address blob spans clean _clean digest again again_ other keeper text_sha256_ keep_id_ place slot bits p y part x size class".split(" ")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 @pytest.fixture
@@ -23,7 +24,7 @@ def docs_of(spark):
 def odd_docs(docs_of):
     """The odd texts, with extra columns whose names an operator might use itself."""
     docs = docs_of(ODD)
-    for name in ("h", "key", "node", "fp", "score", "start", "kind", "block", "words", "n"):
+    for name in ODD_NAMES:
         docs = docs.withColumn(name, F.lit("clash"))
     return docs
 

@@ -3,11 +3,12 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 from test_dedup import exact_by_hand
 from test_packing import holds
 from test_secrets import base_by_hand
 
-from gridmill.llm import simhash, toxicity
+from gridmill.llm import exact_dedup, simhash, toxicity
 from gridmill.llm.common import held_out, labels
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -126,3 +127,31 @@ def test_stages_stand_odd_texts(spark, sf, odd_docs, no_docs):
                 assert made.select("doc_id").distinct().count() == docs.count()
             else:
                 assert made.count() <= docs.count() and made.columns == docs.columns
+                if made.columns != COLUMNS:
+                    assert all(v == "clash" for r in made.drop(*COLUMNS).collect() for v in r)
+
+
+def test_chains_lose_no_near_print():
+    rng = np.random.default_rng(3)
+    prints = rng.integers(0, 1 << 63, (400, 4), dtype=np.uint64)
+    for most in (20, 78):
+        for i in range(400):
+            x = np.zeros(256, np.uint8)
+            x[rng.choice(256, rng.integers(most // 2, most + 3), replace=False)] = 1
+            other = prints[i] ^ np.packbits(x, bitorder="little").view(np.uint64)
+            assert simhash._wide(most)(prints[i : i + 1], other[None])[0] == (x.sum() <= most)
+
+
+def test_recall_against_all_pairs(spark):
+    """All pairs of five-word shingle sets at 0.8 or more of a whole table, by an inverted index, also where every bucket counts as large."""
+    docs = exact_dedup.without_copies(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    holders = {}
+    for d, s in sets.items():
+        for g in s:
+            holders.setdefault(g, []).append(d)
+    pairs = {(a, b) for ds in holders.values() for a in ds for b in ds if a < b}
+    pairs = [(a, b) for a, b in pairs if alike(sets[a], sets[b]) >= 0.8]
+    for most in (4, 1024):
+        rows = {r.doc_id: r.component_id for r in simhash.similar_groups(docs, most=most).collect()}
+        assert sum(rows[a] == rows[b] for a, b in pairs) >= 0.99 * len(pairs) and len(pairs) > 10
