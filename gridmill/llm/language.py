@@ -4,8 +4,12 @@ Every language has a codeword; for each of its bits a binary classifier is learn
 that tells the languages with a one from those with a zero. A classifier is linear:
 for each hashed trigram the log-odds between the two sides, from the counts of all
 training texts, gathered in one Spark aggregation. A text's language is the codeword
-with the least loss against its margins, weighted by each bit's own accuracy on the
-training texts; where the two nearest codewords are close the answer is flagged.
+with the least loss against its margins, each bit weighted by the least margin that it
+is expected to have on any language; where the two nearest codewords are close the
+answer is flagged.
+
+Weights are whole numbers (of 2^-20), so sums over a text are exact and a text's score
+follows from the text alone, whatever texts it is taken with.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from gridmill.llm.common import documents, held_out, raw_texts
 BUCKETS_LOG2 = 14
 LETTER = re.compile(r"[^\W\d_]")
 PIECE = 1 << 20
+UNIT = 1 << 20
 #: A flag is set where the best codeword has less than this share against the second best.
 AMBIGUOUS = 0.6
 
@@ -44,10 +49,14 @@ def codewords(n: int, seed: int = 5) -> np.ndarray:
 
 
 def _trigrams(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed trigrams of the texts, each between two spaces, and how many each has."""
-    x = np.frombuffer(b"".join(b" " + r + b" " for r in raws) + b"  ", np.uint8).astype(np.uint32)
+    """Hashed trigrams of the texts, each between two spaces, and how many each text has: as many as bytes. None spans two texts."""
+    x = np.frombuffer(b"".join(b" " + r + b" " for r in raws), np.uint8).astype(np.uint32)
+    sizes = np.array([len(r) for r in raws], np.int64)
     code = (x[:-2] | (x[1:-1] << np.uint32(8)) | (x[2:] << np.uint32(16))) * np.uint32(0x9E3779B1)
-    return (code >> np.uint32(32 - BUCKETS_LOG2)).astype(np.int32), np.array([len(r) + 2 for r in raws], np.int64)
+    inside = np.ones(len(x), bool)
+    ends = np.cumsum(sizes + 2)
+    inside[ends - 1] = inside[ends - 2] = False
+    return (code >> np.uint32(32 - BUCKETS_LOG2)).astype(np.int32)[inside[: len(code)]], sizes
 
 
 def _portions(raws: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
@@ -72,12 +81,13 @@ class Code:
     def margins(self, raws: list[bytes]) -> np.ndarray:
         """The mean weight over each text's trigrams, for every bit."""
         found = np.zeros((len(raws), self.words.shape[1]))
+        columns = np.ascontiguousarray(self.weights.T)
         for start, part in _portions(raws):
             grams, sizes = _trigrams(part)
             ends = np.cumsum(sizes)
-            for bit in range(self.words.shape[1]):
-                total = np.concatenate(([0.0], np.cumsum(self.weights[:, bit][grams], dtype=np.float64)))
-                found[start : start + len(part), bit] = (total[ends] - total[ends - sizes]) / sizes
+            for bit, weight in enumerate(columns):
+                total = np.concatenate(([0], np.cumsum(weight[grams], dtype=np.int64)))
+                found[start : start + len(part), bit] = (total[ends] - total[ends - sizes]) / (np.maximum(sizes, 1) * float(UNIT))
         return found
 
     def decode(self, margins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,7 +102,7 @@ class Code:
 
 
 def fit(docs: DataFrame, usable: F.Column) -> Code:
-    """Learns from text and lang of all usable rows. The driver gets one count for each language and bucket, whatever the number of rows."""
+    """Learns from text and lang of all usable rows; null texts and languages teach nothing, repeated rows count each. The driver gets one count for each language and bucket, whatever the number of rows."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & usable).select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +115,7 @@ def fit(docs: DataFrame, usable: F.Column) -> Code:
                 of = np.repeat(np.arange(start, start + len(part)), sizes)
                 names, place = np.unique(langs[start : start + len(part)].astype(str), return_inverse=True)
                 own = place[of - start]
-                hist = np.bincount(own * (1 << BUCKETS_LOG2) + grams[: len(own)], minlength=len(names) << BUCKETS_LOG2).reshape(len(names), -1)
+                hist = np.bincount(own * (1 << BUCKETS_LOG2) + grams, minlength=len(names) << BUCKETS_LOG2).reshape(len(names), -1)
                 for name, h in zip(names, hist):
                     totals[name] = totals.get(name, 0) + h
         for name, h in totals.items():
@@ -115,7 +125,7 @@ def fit(docs: DataFrame, usable: F.Column) -> Code:
     counts = rows.mapInArrow(counted, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(counts.column("lang").to_pylist()))
     if not langs:
-        return Code([], np.zeros((0, 0), np.int8), np.zeros((1 << BUCKETS_LOG2, 0)), np.zeros(0))
+        return Code([], np.zeros((0, 0), np.int8), np.zeros((1 << BUCKETS_LOG2, 0), np.int32), np.zeros(0))
     table = np.full((len(langs), 1 << BUCKETS_LOG2), 0.5)
     place = {x: i for i, x in enumerate(langs)}
     np.add.at(table, (np.array([place[x] for x in counts.column("lang").to_pylist()]), counts.column("bucket").to_numpy()), counts.column("n").to_numpy())
@@ -127,14 +137,16 @@ def fit(docs: DataFrame, usable: F.Column) -> Code:
         weights[:, bit] = np.log(ones) - np.log(zeros)
         expected = share @ weights[:, bit] * words[:, bit]
         strength[bit] = 1 / (1 + np.exp(-10 * expected.min()))
-    return Code(langs, words, np.clip(weights, -4, 4).astype(np.float32), strength / max(strength.sum(), 1e-9) * 2)
+    return Code(langs, words, np.rint(np.clip(weights, -4, 4) * UNIT).astype(np.int32), strength / max(strength.sum(), 1e-9) * 2)
 
 
 def predicted(docs: DataFrame, code: Code) -> DataFrame:
     """doc_id, lang_pred, score, ambiguous for every row of ``docs``.
 
     ``und`` with score 0 where the text is null or has no letter, or nothing was
-    learned; with one language learned it is the answer for every other text.
+    learned; with one language learned it is the answer for every other text. Repeated
+    rows and null ids each get a row; an empty table gives none; other columns are not
+    looked at.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(code)
@@ -150,7 +162,7 @@ def predicted(docs: DataFrame, code: Code) -> DataFrame:
             else:
                 best, score = np.zeros(len(raws), int), np.ones(len(raws))
             langs = [c.langs[b] if ok else "und" for b, ok in zip(best, letters)]
-            score = np.where(letters, score, 0.0)
+            score = np.round(np.where(letters, score, 0.0), 9)
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(letters & (score < AMBIGUOUS))], ["doc_id", "lang_pred", "score", "ambiguous"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")

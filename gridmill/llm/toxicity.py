@@ -1,11 +1,18 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five small transducers read the tokens of a clause side by side. Those for insults
-and threats put out weights; those for targets, negation and reported speech keep a
-state that scales what the others put out. Their composition, a transducer over the
-product of the states, is built once. Only clauses that hold an insult or a threat
-are run through it, so a word that happens to look bad counts for little alone: a
-clause scores by how its matches combine.
+Five transducers read the tokens of a clause side by side:
+
+* insult: an insult counts half alone, in full with a target shortly before it, and
+  more with a target shortly after it;
+* threat: a threat verb counts by what led to it (a target, a modal verb, both) and
+  more with a target as its object;
+* target: once someone is spoken of, all matches count more;
+* negation: matches shortly after a negation count a quarter;
+* reported speech: matches after a verb of saying count less.
+
+The first two put out amounts, the others factors. Their composition, a transducer over
+the product of the states, is built once, and each clause with an insult or a threat is
+run through it. So a clause is scored by how its matches combine, not by its words.
 
 Insult words and stems (a stem counts only with an ending) and their weights are
 learned from a bounded sample of labelled texts; fixed lists give the closed word
@@ -40,42 +47,69 @@ INSULTS = "idiot idiots moron morons stupid scum trash loser losers pathetic wor
 THREATS = "kill killed hurt destroy burn beat shoot stab die töten vernichten umbringen tuer détruire frapper matar destruir golpear".split()
 TARGETS = "you your yours yourself he she they him her them du dich dir dein ihr euch tu toi te vous tú ti usted ustedes él ella".split()
 NEGATIONS = "not no never nobody nothing isn don doesn won nicht kein keine nie niemals pas jamais aucun nunca jamás ningún".split()
+MODALS = "will would shall should must can could may might gonna going want werde wirst wird werden sollst soll muss vais vas va devrais dois voy vas debes".split()
 REPORTS = "said says say told wrote writes claimed quoted sagte schrieb behauptete dit écrit affirme dijo escribió afirma".split()
 
 WORD = re.compile(r"[^\W\d_]+")
 STOP = re.compile(r"[.!?;:\n|]+")
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, MODAL = CLASS = range(7)
+#: How many tokens apart a target and an insult, or the parts of a threat, may be; how far a negation reaches.
+REACH, NEGATED = 3, 3
+#: Amounts: an insult alone (of its weight), a target after an insult, a threat verb (alone, after a target, after a modal, after both), its object.
+LONE, AFTER, VERB, OBJECT = 0.5, 0.5, (0.1, 0.3, 0.4, 0.7), 0.6
+#: Factors of a negation, of reported speech, and of a clause with a target.
+DENIED, REPORTED, AIMED = 0.25, 0.6, 1.4
 
 
 class Transducer:
-    """States from 0; ``arcs[state][token class]`` is (next state, factor on what matches next)."""
+    """States from 0; ``arcs[state][token class]`` is (next state, share of the token's own weight put out, amount put out, factor on what is put out)."""
 
-    def __init__(self, arcs: list[list[tuple[int, float]]]):
+    def __init__(self, arcs: list[list[tuple[int, float, float, float]]]):
         self.arcs = arcs
 
     def beside(self, other: Transducer) -> Transducer:
-        """The composition: both read the same tokens, and their factors multiply."""
+        """The composition: both read the same tokens; what they put out adds up, and their factors multiply."""
         n = len(other.arcs)
-        arcs = []
-        for a in self.arcs:
-            for b in other.arcs:
-                arcs.append([(x * n + y, p * q) for (x, p), (y, q) in zip(a, b)])
-        return Transducer(arcs)
+        return Transducer([[(x * n + y, w + v, p + q, f * g) for (x, w, p, f), (y, v, q, g) in zip(a, b)] for a in self.arcs for b in other.arcs])
+
+
+def _insults() -> Transducer:
+    """State (t, i): for how many tokens a target, and an insult without a target since, are near."""
+    arcs = []
+    for t in range(REACH + 1):
+        for i in range(REACH + 1):
+            row = [(max(0, t - 1) * (REACH + 1) + max(0, i - 1), 0.0, 0.0, 1.0) for _ in CLASS]
+            row[INSULT] = (max(0, t - 1) * (REACH + 1) + REACH, 1.0 if t else LONE, 0.0, 1.0)
+            row[TARGET] = (REACH * (REACH + 1), 0.0, AFTER if i else 0.0, 1.0)
+            arcs.append(row)
+    return Transducer(arcs)
 
 
-def _negation(reach: int = 3, factor: float = 0.25) -> Transducer:
-    """A negation weakens matches among the next ``reach`` tokens."""
-    return Transducer([[(reach if c == NEGATION else max(0, s - 1), factor if s else 1.0) for c in range(6)] for s in range(reach + 1)])
+def _threats() -> Transducer:
+    """State 0, or a stage (1 target, 2 modal, 3 target and modal, 4 verb) and for how many tokens it lasts."""
+    at = lambda stage, left=REACH: 1 + (stage - 1) * REACH + left - 1 if stage and left else 0
+    arcs = []
+    for stage, left in [(0, 0), *((s, k) for s in range(1, 5) for k in range(1, REACH + 1))]:
+        row = [(at(stage, left - 1) if stage else 0, 0.0, 0.0, 1.0) for _ in CLASS]
+        row[TARGET] = (at(1), 0.0, OBJECT if stage == 4 else 0.0, 1.0)
+        row[MODAL] = (at(3 if stage in (1, 3) else 2), 0.0, 0.0, 1.0)
+        row[THREAT] = (at(4), 0.0, VERB[stage if stage < 4 else 0], 1.0)
+        arcs.append(row)
+    return Transducer(arcs)
 
 
-def _flag(of: int, factor: float, without: float = 1.0) -> Transducer:
+def _negation() -> Transducer:
+    return Transducer([[(NEGATED if c == NEGATION else max(0, s - 1), 0.0, 0.0, DENIED if s else 1.0) for c in CLASS] for s in range(NEGATED + 1)])
+
+
+def _flag(of: int, factor: float) -> Transducer:
     """Once a token of the class has been read, matches are scaled by ``factor``."""
-    return Transducer([[(1 if c == of else s, factor if s else without) for c in range(6)] for s in range(2)])
+    return Transducer([[(1 if c == of else s, 0.0, 0.0, factor if s else 1.0) for c in CLASS] for s in range(2)])
 
 
-GRAMMAR = _negation().beside(_flag(REPORT, 0.6)).beside(_flag(TARGET, 1.4))
-CLASSES = {w: k for k, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in words}
-THREAT_WEIGHT, SEED_WEIGHT = 0.5, 1.5
+GRAMMAR = _insults().beside(_threats()).beside(_flag(TARGET, AIMED)).beside(_negation()).beside(_flag(REPORT, REPORTED))
+CLASSES = {w: k for k, words in ((MODAL, MODALS), (THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in words}
+SEED_WEIGHT = 1.5
 
 
 class Lexicon:
@@ -107,12 +141,8 @@ class Lexicon:
         state, total, arcs = 0, 0.0, GRAMMAR.arcs
         for word in words:
             insult = self.of(word)
-            kind = INSULT if insult else CLASSES.get(word, OTHER)
-            state, factor = arcs[state][kind]
-            if kind == INSULT:
-                total += insult * factor
-            elif kind == THREAT:
-                total += THREAT_WEIGHT * factor
+            state, share, amount, factor = arcs[state][INSULT if insult else CLASSES.get(word, OTHER)]
+            total += (share * insult + amount) * factor
         return total
 
     def clauses(self, text: str, automaton) -> list[float]:
@@ -234,7 +264,12 @@ def _measured(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 
 
 def scored(docs: DataFrame, grader: Grader) -> DataFrame:
-    """doc_id, score, predicted, n_clauses for every row of ``docs``. A null or empty text has no clause and gets the curve's lowest value."""
+    """doc_id, score, predicted, n_clauses for every row of ``docs``.
+
+    A null or empty text has no clause and gets the curve's value at nothing. Repeated
+    rows and null ids each get a row; an empty table gives none; other columns are not
+    looked at.
+    """
     c0, c1, c2, c3 = grader.curve
     z = F.lit(c0) + F.col("a") * c1 + F.col("b") * c2 + F.col("c") * c3
     score = 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
@@ -242,7 +277,7 @@ def scored(docs: DataFrame, grader: Grader) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, marks: DataFrame, usable: F.Column) -> DataFrame:
-    """``docs`` without the rows that are predicted toxic; all columns kept, nothing shuffled."""
+    """``docs`` without the rows that are predicted toxic; all columns kept, whatever their names, nothing shuffled. Null and empty texts stay; repeated rows go or stay alike; an empty table gives none."""
     grader = fit(docs, marks, usable)
     place = docs.columns.index("text")
 
