@@ -9,8 +9,9 @@ is worked off until no pair is a piece. Symbols left over that are no pieces fal
 back to bytes. Units and parts repeat a great deal, so every worker keeps a bounded
 store of those done.
 
-Every unit that is new to a worker is checked against the sentencepiece library, a
-whole Arrow batch of them at a time; where the two differ the job fails.
+Every part that is new to a worker is checked against the sentencepiece library, all
+new parts of a text in one call; where the two differ the job fails. Whole texts are
+compared in the tests.
 """
 
 from __future__ import annotations
@@ -156,7 +157,7 @@ class Model:
         return b"".join(self.raw.get(i, b"") for i in ids)
 
     def text_of(self, spelled: bytes) -> str:
-        """As the library does: one leading space goes, bytes that are no UTF-8 become U+FFFD, one for each."""
+        """As the library does: one leading space goes. Ids of a text spell its own UTF-8; other bytes are an error."""
         if self.prefix and spelled[:1] == b" ":
             spelled = spelled[1:]
         return spelled.decode("utf-8", "strict")
@@ -177,7 +178,8 @@ def encoded(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFra
     """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256, and ``ids`` and ``decoded`` if asked for.
 
     Ids end with the end id and have no begin id. Null texts count as empty: one id,
-    an empty decoded text. Repeated rows each get a row; an empty table gives none.
+    an empty decoded text. Repeated rows and null ids each get a row; an empty table
+    gives none; other columns are not looked at.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,8 +2,9 @@
 
 Every document is held against fixed rules over words, symbols and lines. Failures
 are summed by host (the ``source`` of a document); a host's failure rate is shrunk
-towards the rates of all hosts by a beta prior fitted to them by moments, so that a
-host with few documents is not judged on them alone. The verdicts are joined back:
+towards the rates of all hosts by a beta prior fitted to them by moments (the binomial
+noise of hosts of their sizes taken off), so that a host with few documents is not
+judged on them alone. The verdicts are joined back:
 documents of a host whose shrunken rate is too high are not kept.
 """
 
@@ -68,9 +69,11 @@ def host_verdicts(judged: DataFrame) -> DataFrame:
     """host, n_docs, n_failed, rate (shrunken) and rejected, from (host, rule_failed). Rows without a host are left out."""
     hosts = stored(judged.filter("host is not null").groupBy("host").agg(F.count("*").alias("n_docs"), F.count_if("rule_failed").alias("n_failed")))
     share = F.col("n_failed") / F.col("n_docs")
-    row = hosts.agg(F.avg(share).alias("m"), F.var_samp(share).alias("v")).first()
-    m, v = row.m or 0.0, row.v or 0.0
-    # Prior documents: m(1-m)/v - 1 by moments; with no spread among hosts the prior outweighs any one host.
+    row = hosts.agg(F.avg(share).alias("m"), F.var_samp(share).alias("v"), F.avg(1 / F.col("n_docs")).alias("noise")).first()
+    m = row.m or 0.0
+    # The spread of the rates less what hosts of their sizes would show by chance alone.
+    v = (row.v or 0.0) - m * (1 - m) * (row.noise or 0.0)
+    # Prior documents: m(1-m)/v - 1 by moments; with no such spread the prior outweighs any one host.
     strength = max(1.0, m * (1 - m) / v - 1) if v > 0 else 1000.0
     rate = (F.col("n_failed") + m * strength) / (F.col("n_docs") + strength)
     return hosts.select("host", "n_docs", "n_failed", rate.alias("rate"), (rate > WORST_RATE).alias("rejected"))
@@ -107,7 +110,8 @@ m AS (SELECT doc_id, source, len(words) AS n_words, length(array_to_string(words
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
 f AS (SELECT *, base_failed OR n_symbols > 0.1 * word_chars OR n_dup_lines > 0.3 * n_lines AS rule_failed FROM b),
 h AS (SELECT source, count(*) AS n, count(*) FILTER (rule_failed) AS k FROM f WHERE source IS NOT NULL GROUP BY source),
-p AS (SELECT avg(k / n) AS m, var_samp(k / n) AS v FROM h),
+q AS (SELECT avg(k / n) AS m, var_samp(k / n) AS total, avg(1 / n) AS noise FROM h),
+p AS (SELECT m, coalesce(total, 0) - m * (1 - m) * noise AS v FROM q),
 s AS (SELECT m, CASE WHEN v > 0 THEN greatest(1.0, m * (1 - m) / v - 1) ELSE 1000.0 END AS strength FROM p),
 v AS (SELECT source, (k + m * strength) / (n + strength) AS rate FROM h, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(rate > 0.5, false) AS kept, rule_failed, round(rate, 9) AS host_rate
