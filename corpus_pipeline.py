@@ -9,27 +9,27 @@ from gridmill.llm.common import documents, held_out, labels, stored
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the clause grammar calls toxic go."""
+    """Documents that the clause grammar calls toxic go. Null and empty texts stay; repeated rows go or stay alike; extra columns are kept."""
     return toxicity.without_toxic(docs, labels(spark, sf_dir), ~held_out(4, 2))
 
 
 def copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
+    """Of equal texts the document with the largest id stays. Null equals empty; a null id goes where its group has another; all rows with the keeping id stay; extra columns are kept."""
     return exact_dedup.without_copies(docs)
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts alike in 0.8 or more of their five-word shingles the document with the smallest id stays."""
+    """Of texts alike in 0.8 or more of their five-word shingles the document with the smallest id stays. Rows with a null id stay; of rows that repeat an id those with a similar text go; extra columns are kept."""
     return simhash.without_near_copies(docs)
 
 
 def secrets_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced in the texts; no document goes."""
+    """Secrets are replaced in the texts; no row goes. Null texts stay null; repeated rows are redacted each; extra columns are kept."""
     return secrets.without_secrets(docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens, packed into sequences."""
+    """The documents' tokens, packed into sequences. A null or empty text is one id; a null id stays null; repeated rows are packed each; an empty table gives none."""
     return packing.packed_documents(docs, packing.default_tokenizer())
 
 
