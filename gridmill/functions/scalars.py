@@ -18,8 +18,8 @@ def literal_map(values: dict) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    """Null for null, empty or blank text, else the trimmed text."""
-    return F.nullif(F.trim(c), F.lit(""))
+    """Null for null, empty or blank text, else the text without white space at its ends."""
+    return F.nullif(F.trim(c, F.lit(" \t\n\r\x0b\x0c")), F.lit(""))
 
 
 def parse_utc(c: Column) -> Column:
@@ -28,8 +28,9 @@ def parse_utc(c: Column) -> Column:
 
 
 def format_utc(c: Column) -> Column:
-    """ISO text in UTC with a numeric offset; null stays null."""
-    return F.concat(F.date_format(c, ISO), F.lit("+00:00"))
+    """ISO text in UTC with a numeric offset, with microseconds where there are any; null stays null."""
+    second = F.date_format(c, ISO)
+    return F.concat(F.when(F.unix_micros(c) % 1_000_000 == 0, second).otherwise(F.date_format(c, ISO + ".SSSSSS")), F.lit("+00:00"))
 
 
 def parse_hour_period(c: Column) -> Column:
@@ -89,6 +90,16 @@ def overlap_count(items: Column, targets: list[str]) -> Column:
     return F.size(F.array_intersect(items, F.array(*[F.lit(t) for t in normalized_targets(targets)])))
 
 
+def clean_row(df, *required: str):
+    """Rows with NaN as null, and the rejects: rows where a required text is null or blank."""
+    numbers = {"float", "double"}
+    clean = df.select(*[F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`")).alias(c) if kind in numbers else F.col(f"`{c}`") for c, kind in df.dtypes])
+    good = F.lit(True)
+    for c in required:
+        good = good & blank_to_null(F.col(f"`{c}`")).isNotNull()
+    return clean.filter(good), clean.filter(~good)
+
+
 def normalized_targets(targets: list[str]) -> list[str]:
     """Target names trimmed, in upper case, blanks dropped."""
     return sorted({t.strip().upper() for t in targets if t.strip()})
@@ -110,10 +121,27 @@ def relevant(theme: Column, location: Column, organization: Column) -> Column:
     return (F.coalesce(theme, no) & F.coalesce(location, no)) | F.coalesce(organization, no)
 
 
+# Fixed short escapes of JSON text; other control characters are written as four hex digits.
+ESCAPES = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+
+def json_text(c: Column) -> Column:
+    """A text as JSON: quoted, with quotes, backslashes and control characters escaped and all else as it is."""
+    out = c
+    for char, escaped in ESCAPES.items():
+        out = F.replace(out, F.lit(char), F.lit(escaped))
+    rare = out
+    for code in range(32):
+        if chr(code) not in ESCAPES:
+            rare = F.replace(rare, F.lit(chr(code)), F.lit(f"\\u{code:04x}"))
+    return F.concat(F.lit('"'), F.when(c.rlike(r"[\x00-\x07\x0b\x0e-\x1f]"), rare).otherwise(out), F.lit('"'))
+
+
 def canonical_json(**values: Column) -> Column:
-    """Key-sorted JSON text with ', ' and ': ' between, strings quoted and escaped, nulls as null, non-ASCII kept."""
-    quoted = lambda c: F.coalesce(F.concat(F.lit('"'), F.regexp_replace(F.regexp_replace(c.cast("string"), r'([\\"])', r"\\$1"), "\n", r"\\n"), F.lit('"')), F.lit("null"))
-    parts = [F.concat(F.lit(f'"{k}": '), quoted(values[k])) for k in sorted(values)]
+    """Key-sorted JSON text with ', ' and ': ' between; texts quoted and escaped, non-ASCII kept, whole numbers and booleans bare, nulls as null, all else as quoted text."""
+    bare = lambda c: F.typeof(c).isin("tinyint", "smallint", "int", "bigint", "boolean")
+    written = lambda c: F.coalesce(F.when(bare(c), c.cast("string")).otherwise(json_text(c.cast("string"))), F.lit("null"))
+    parts = [F.concat(F.lit(f'"{k}": '), written(values[k])) for k in sorted(values)]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
 
 

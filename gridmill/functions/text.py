@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import unicodedata
 
 import pandas as pd
@@ -9,18 +10,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed test of what counts as a tag.
 TAG = r"<[a-zA-Z!/][^>]*>"
-# Fixed entity names that are decoded; the ampersand goes last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+@F.pandas_udf(T.StringType())
+def _decoded(texts: pd.Series) -> pd.Series:
+    return texts.map(html.unescape, na_action="ignore")
+
+
+def decode_entities(c: Column) -> Column:
+    """Named and numeric character references as what they stand for. Only texts with an ampersand go to Python; the others are sent as nulls."""
+    has = F.contains(c, F.lit("&"))
+    return F.coalesce(_decoded(F.when(has, c)), c)
 
 
 def html_to_text(c: Column) -> Column:
     """Script, style and comment blocks go, tags become spaces, entities are decoded."""
     out = F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", " ")
-    out = F.regexp_replace(F.regexp_replace(out, r"(?s)<!--.*?-->", " "), TAG, " ")
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    return decode_entities(F.regexp_replace(F.regexp_replace(out, r"(?s)<!--.*?-->", " "), TAG, " "))
 
 
 def strip_html(c: Column) -> Column:
@@ -34,8 +42,8 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 
 
 def normalize_unicode(c: Column) -> Column:
-    """Unicode NFKC. Pure ASCII, most rows, is its own form and stays in the JVM's hands."""
-    return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(_nfkc(c))
+    """Unicode NFKC. Pure ASCII, most rows, is its own form; such rows are sent to Python as nulls."""
+    return F.coalesce(_nfkc(F.when(~c.rlike(r"^\p{ASCII}*$"), c)), c)
 
 
 def normalize_whitespace(c: Column) -> Column:

@@ -12,17 +12,26 @@ def dedupe(df: DataFrame, keys: list[str], order: str, keep: str | bool = "last"
     """One row per key, the first or last by ``order``; ``keep=False`` drops every row of a key that occurs twice.
 
     Keep-first and keep-last are aggregates of one struct, so that rows combine before
-    the shuffle and a hot key stays small.
+    the shuffle and a hot key stays small. A row whose order is null is kept only where
+    its key has no other; of rows with one order the least (first) or greatest (last)
+    by its columns is kept, those with maps left out of the comparison.
     """
     require_columns(df, *keys, order)
     if keep is False:
         once = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n = 1").drop("_n")
-        return df.join(once, keys, "left_semi").select(*df.columns)
+        on = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
+        return df.alias("a").join(once.alias("b"), on, "left_semi")
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first', 'last' or False")
-    pick = F.min_by if keep == "first" else F.max_by
-    row = F.struct(*df.columns)
-    return df.groupBy(*keys).agg(pick(row, F.col(order)).alias("_row")).select("_row.*")
+    names = [F.col(f"`{c}`") for c in df.columns]
+    by, row = F.col(f"`{order}`"), F.struct(*names)
+    known = by.isNull() if keep == "first" else by.isNotNull()
+    plain = [c for c, f in zip(names, df.schema.fields) if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    if len(plain) == len(names):
+        best = (F.min if keep == "first" else F.max)(F.struct(known.alias("known"), by.alias("by"), row.alias("row")))
+        return df.groupBy(*keys).agg(best.alias("_best")).select("_best.row.*")
+    best = (F.min_by if keep == "first" else F.max_by)(row, F.struct(known.alias("known"), by.alias("by"), F.struct(*plain).alias("tie")))
+    return df.groupBy(*keys).agg(best.alias("_row")).select("_row.*")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,10 +36,32 @@ def duplicate_members(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str, *by: str) -> DataFrame:
-    """Count, mean, deviation, range and exact quartiles, per group if any."""
+    """Count, mean, deviation, range and exact quartiles, per group if any.
+
+    Quartiles are read off the counts of distinct values, summed up in order, so no
+    task holds more than a sort buffer of a group. Values are interpolated between ranks.
+    """
     c = F.col(column)
-    q = lambda p: F.percentile(c, F.lit(p))
-    return df.groupBy(*by).agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), q(0.25).alias("p25"), q(0.5).alias("p50"), q(0.75).alias("p75"), F.max(c).alias("max"))
+    groups = [F.col(f"`{g}`") for g in by]
+    whole = df.groupBy(*by).agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    counts = df.filter(c.isNotNull()).groupBy(*by, c.cast("double").alias("_v")).agg(F.count("*").alias("_k"))
+    one = [F.lit(0).alias("_all")] if not by else []
+    w = Window.partitionBy(*(groups or [F.col("_all")])).orderBy("_v")
+    ranked = counts.select("*", *one).withColumn("_to", F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    on = [F.col(f"r.`{g}`").eqNullSafe(F.col(f"w.`{g}`")) for g in by]
+    sized = whole.select(*groups, F.col("n").alias("_n")).alias("w")
+    placed = ranked.alias("r").join(F.broadcast(sized) if not by else sized, on or None).select("r.*", "w._n")
+    shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    made = []
+    for name, share in shares.items():
+        rank = (F.col("_n") - 1) * share
+        at = lambda k: F.max(F.when((F.col("_to") > k) & (F.col("_to") - F.col("_k") <= k), F.col("_v")))
+        low, high = at(F.floor(rank)), at(F.ceil(rank))
+        made.append((low + (high - low) * F.max(rank - F.floor(rank))).alias(name))
+    quartiles = placed.groupBy(*[F.col(f"`{g}`") for g in by]).agg(*made)
+    on = [F.col(f"a.`{g}`").eqNullSafe(F.col(f"q.`{g}`")) for g in by]
+    both = whole.alias("a").join(quartiles.alias("q"), on or F.lit(True), "left")
+    return both.select(*[f"a.`{g}`" for g in by], "n", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
@@ -85,8 +108,25 @@ def bridge(df: DataFrame, key: str, items: Column, name: str) -> DataFrame:
     return df.select(key, F.explode(items).alias(name)).distinct()
 
 
+def matches_any(c: Column, words: list[str]) -> Column:
+    """Whether the text, in any case, has one of the words at word boundaries, by one regular expression; null has none."""
+    pattern = r"(?i)\b(?:" + "|".join(re.escape(w) for w in words) + r")\b"
+    return F.coalesce(c.rlike(pattern), F.lit(False))
+
+
+def location_shares(parts: DataFrame, column: str) -> DataFrame:
+    """Counts of a part of the locations with their share of all, most frequent first."""
+    return value_counts(parts.filter(F.col(column).isNotNull()), column)
+
+
+def city_counts(parts: DataFrame, country: str, types: tuple[str, ...] = ("3", "4")) -> DataFrame:
+    """How often each city of one country is named; cities are the locations of the given types."""
+    cities = parts.filter((F.col("country") == country) & F.col("type").isin(*types))
+    return cities.groupBy("name").agg(F.count("*").alias("n"))
+
+
 def any_term(c: Column, terms: list[str]) -> Column:
-    """Whether the lower-cased text holds any of the terms; null holds none."""
+    """Whether the lower-cased text holds any of the terms; null holds none."""
     return F.coalesce(F.exists(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(F.lower(c), t)), F.lit(False))
 
 
@@ -103,11 +143,11 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
 
 
-def resample_daily(df: DataFrame, time: str, value: str) -> DataFrame:
-    """The mean of each day from the first to the last; days without rows have null."""
-    daily = df.groupBy(F.to_date(time).alias("day")).agg(F.avg(value).alias("mean"), F.count(value).alias("n"))
-    ends = daily.agg(F.min("day").alias("a"), F.max("day").alias("b")).filter("a is not null")
-    return ends.select(F.explode(F.sequence("a", "b")).alias("day")).join(daily, "day", "left").select("day", "mean", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+def resample_daily(df: DataFrame, time: str, value: str, *by: str) -> DataFrame:
+    """The mean of each day from the first to the last, per series if keys are named; days without rows have null."""
+    daily = df.groupBy(*by, F.to_date(time).alias("day")).agg(F.avg(value).alias("mean"), F.count(value).alias("n"))
+    ends = daily.groupBy(*by).agg(F.min("day").alias("a"), F.max("day").alias("b")).filter("a is not null")
+    return ends.select(*by, F.explode(F.sequence("a", "b")).alias("day")).join(daily, [*by, "day"], "left").select(*by, "day", "mean", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def weekday_hour_profile(df: DataFrame, time: str, value: str) -> DataFrame:

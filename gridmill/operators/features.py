@@ -14,13 +14,24 @@ VARIABLES = ("actual_load", "load_forecast", "net_generation", "total_interchang
 LAGS = (1, 24, 168)
 
 
-def long_to_wide(df: DataFrame, index: list[str], variable: str, value: str, variables: list[str], check: bool = True) -> DataFrame:
-    """a column per variable; two rows for one (index, variable) are an error. The variables are given, which saves a job."""
-    if check:
+def long_to_wide(df: DataFrame, index: list[str], variable: str, value: str, variables: list[str], check: bool | str = True) -> DataFrame:
+    """a column per variable; two rows for one (index, variable) are an error. The variables are given, which saves a job.
+
+    The error comes at once (``check=True``, at the price of a job), or when the result
+    is computed (``check="plan"``, in the same aggregation), or never.
+    """
+    if check is True:
         require_unique(df, *index, variable)
+    if check == "plan":
+        return df.groupBy(*index).agg(*[_only(F.col(variable) == v, F.col(value), f"two rows for {v}").alias(v) for v in variables])
     return df.groupBy(*index).pivot(variable, list(variables)).agg(F.first(value))
 
 
+def _only(which: Column, value: Column, message: str) -> Column:
+    """The value of the one row of a group that ``which`` holds for; an error if it holds for two."""
+    return F.when(F.count_if(which) > 1, F.raise_error(F.lit(message)).cast("double")).otherwise(F.first(F.when(which, value), ignorenulls=True))
+
+
 def expand_dimensions(df: DataFrame, column: str, keys: list[str], prefix: str = "", drop: bool = True) -> DataFrame:
     """map keys as columns; a name that is there already is an error."""
     names = [prefix + k for k in keys]
@@ -91,18 +102,29 @@ def add_rolling_means(df: DataFrame, columns: list[str], windows: list[int], gro
 
 
 def mean_vectors(df: DataFrame, group: list[str], vector: str) -> DataFrame:
-    """The element-wise mean of the vectors of each group; nulls are passed over, a group without any has an empty list."""
-    parts = df.select(*group, F.posexplode(vector).alias("_at", "_x"))
-    means = parts.groupBy(*group, "_at").agg(F.avg(F.col("_x").cast("double")).alias("_m"))
-    lists = means.groupBy(*group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_m"))), lambda s: s["_m"]).alias(f"mean_{vector}"))
-    on = [F.col(f"g.{k}").eqNullSafe(F.col(f"m.{k}")) for k in group]
-    joined = df.select(*group).distinct().alias("g").join(lists.alias("m"), on, "left")
-    return joined.select(*[f"g.{k}" for k in group], F.coalesce(f"mean_{vector}", F.array().cast("array<double>")).alias(f"mean_{vector}"))
+    """The element-wise mean of the vectors of each group; nulls are passed over, a group without any has an empty list. Vectors of a group have one length.
+
+    One aggregation: sums of vectors combine before the shuffle, one vector a group and task.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    name = f"mean_{vector}"
+    known = df.filter(F.col(vector).isNotNull()).withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
+    means = known.groupBy(*group).agg(vector_to_array(Summarizer.mean(F.col("_v"))).alias(name))
+    without = df.groupBy(*group).agg(F.count(vector).alias("_n")).filter("_n = 0").select(*group, F.array().cast("array<double>").alias(name))
+    return means.unionByName(without)
 
 
-def hourly_text(df: DataFrame, time: str = "published_at", region: str = "region", key: str = "record_id") -> DataFrame:
-    """texts per hour and region; rows without either keep a group of their own."""
-    return df.groupBy(F.date_trunc("hour", time).alias("observed_at"), F.col(region).alias("region")).agg(F.count(key).alias("document_count"))
+def hourly_text(df: DataFrame, time: str = "published_at", region: str = "region", key: str = "record_id", vector: str | None = None) -> DataFrame:
+    """texts per hour and region, and their mean vector if a vector column is named; rows without time or region keep a group of their own."""
+    hourly = df.withColumn("observed_at", F.date_trunc("hour", time)).withColumn("region", F.col(region))
+    counts = hourly.groupBy("observed_at", "region").agg(F.count(key).alias("document_count"))
+    if vector is None:
+        return counts
+    means = mean_vectors(hourly, ["observed_at", "region"], vector)
+    both = counts.alias("c").join(means.alias("m"), [F.col(f"c.{k}").eqNullSafe(F.col(f"m.{k}")) for k in ("observed_at", "region")])
+    return both.select("c.observed_at", "c.region", "document_count", f"mean_{vector}")
 
 
 def hourly_severity(df: DataFrame, time: str, group: list[str], severe: float = 0.7) -> DataFrame:
@@ -142,7 +164,7 @@ def news_severity(text: Column, tone: Column, terms: dict[str, float] = NEWS_TER
     return _unit(term_score(text, terms, 0.8) * (F.lit(0.75) + F.lit(0.25) * (F.greatest(F.lit(0.0), F.least(-t, F.lit(10.0))) / 10)))
 
 
-def region_hourly(obs: DataFrame, check: bool = True) -> DataFrame:
+def region_hourly(obs: DataFrame, check: bool | str = True) -> DataFrame:
     """hourly features per region from long observations: variables as columns, local time, load lags, calendar and holiday."""
     wide = long_to_wide(obs.select("observed_at", "region", "variable", "value"), ["observed_at", "region"], "variable", "value", list(VARIABLES), check)
     wide = wide.withColumn("observed_at_local", local_time("observed_at"))

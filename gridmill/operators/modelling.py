@@ -78,11 +78,16 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str, *by: str) ->
     return df.groupBy(*by).agg(F.count("*").alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(EPS))).alias("mape"), (1 - F.sum(e * e) / F.nullif(F.var_pop(y) * F.count(y), F.lit(0.0))).alias("r2"))
 
 
-def gram(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """The sums that a least-squares fit needs, one row: n, sums, and sums of products."""
+def _moments(features: list[str], target: str) -> list[Column]:
+    """n, means and central products; products about the mean lose no digits to large values, as sums of raw products would."""
     cols = [*features, target]
     d = lambda c: F.col(c).cast("double")
-    return df.agg(F.count("*").alias("n"), *[F.sum(d(c)).alias(f"s_{i}") for i, c in enumerate(cols)], *[F.sum(d(a) * d(b)).alias(f"p_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j])
+    return [F.count("*").alias("n"), *[F.avg(d(c)).alias(f"m_{i}") for i, c in enumerate(cols)], *[F.covar_pop(d(a), d(b)).alias(f"c_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]]
+
+
+def gram(df: DataFrame, features: list[str], target: str) -> DataFrame:
+    """What a least-squares fit needs, one row: n, means and covariances. Rows with a null feature or target are left out."""
+    return df.dropna(subset=[*features, target]).agg(*_moments(features, target))
 
 
 def solve_ridge(row, p: int, alpha: float, scale: bool = False) -> tuple[np.ndarray, float]:
@@ -90,13 +95,24 @@ def solve_ridge(row, p: int, alpha: float, scale: bool = False) -> tuple[np.ndar
     n = row["n"]
     if not n:
         raise ValueError("no rows to fit")
-    s = np.array([row[f"s_{i}"] for i in range(p + 1)]) / n
-    both = np.array([[row[f"p_{min(i, j)}_{max(i, j)}"] for j in range(p + 1)] for i in range(p + 1)]) - n * np.outer(s, s)
+    m = np.array([row[f"m_{i}"] for i in range(p + 1)])
+    both = n * np.array([[row[f"c_{min(i, j)}_{max(i, j)}"] for j in range(p + 1)] for i in range(p + 1)])
     width = np.sqrt(np.maximum(np.diag(both)[:p] / n, 0)) if scale else np.ones(p)
     width[width == 0] = 1
     a = both[:p, :p] / np.outer(width, width)
     coef = np.linalg.solve(a + alpha * np.eye(p), both[:p, p] / width) / width
-    return coef, float(s[p] - coef @ s[:p])
+    return coef, float(m[p] - coef @ m[:p])
+
+
+def ridge_diagnostics(row, features: list[str], coef: np.ndarray) -> dict:
+    """Coefficients by name with their norms, the training R2, and the features' means and deviations, all from the sums of the fit."""
+    p = len(features)
+    cov = np.array([[row[f"c_{min(i, j)}_{max(i, j)}"] for j in range(p + 1)] for i in range(p + 1)])
+    explained = 2 * coef @ cov[:p, p] - coef @ cov[:p, :p] @ coef
+    return {
+        "coefficients": dict(zip(features, map(float, coef))), "l1_norm": float(np.abs(coef).sum()), "l2_norm": float(np.sqrt(coef @ coef)), "training_r2": float(explained / cov[p, p]) if cov[p, p] > 0 else float("nan"),
+        "feature_means": {f: float(row[f"m_{i}"]) for i, f in enumerate(features)}, "feature_scales": {f: float(np.sqrt(max(cov[i, i], 0.0))) for i, f in enumerate(features)},
+    }
 
 
 def fit_ridge(df: DataFrame, features: list[str], target: str, alpha: float = 1.0, scale: bool = False) -> tuple[np.ndarray, float]:
@@ -122,14 +138,15 @@ def residual_stats(df: DataFrame, actual: str, predicted: str, n_params: int) ->
 
 
 def train(df: DataFrame, features: list[str], target: str, time: str, alpha: float, validation_days: int, lookback_days: int) -> dict:
-    """Project, drop rows with nulls, split, fit, score, and fit again on both sides."""
+    """Project, drop rows with nulls, split, fit, score, and fit again on both sides; with the diagnostics of the last fit."""
     data = prepare_time(df.select(time, *features, target).dropna(), time)
     split = latest_split(data, time, validation_days, lookback_days)
     require_both_sides(split)
     coef, intercept = fit_ridge(split.filter("split = 'train'"), features, target, alpha)
     scores = regression_metrics(split.filter("split = 'validation'").withColumn("_p", linear(features, coef, intercept)), target, "_p").first()
-    final, shift = fit_ridge(split, features, target, alpha)
-    return {"coefficients": final.tolist(), "intercept": shift, "metrics": {k: scores[k] for k in ("mae", "rmse", "mape", "r2")}, "rows": split.count()}
+    row = gram(split, features, target).first()
+    final, shift = solve_ridge(row, len(features), alpha)
+    return {"coefficients": final.tolist(), "intercept": shift, "metrics": {k: scores[k] for k in ("mae", "rmse", "mape", "r2")}, "rows": row["n"], "diagnostics": ridge_diagnostics(row, features, final)}
 
 
 def arx_design(df: DataFrame, value: str, time: str, group: list[str], lags: list[int], season: int = 0) -> DataFrame:
@@ -189,9 +206,9 @@ def model_version(trained_at: Column) -> Column:
     return F.date_format(trained_at, "yyyyMMdd'T'HHmmss.SSSSSS'Z'")
 
 
-def forecast_origin(df: DataFrame, time: str, target: str) -> DataFrame:
-    """The newest row with a known target."""
-    return df.agg(F.max(F.when(F.col(target).isNotNull(), F.col(time))).alias("origin"))
+def forecast_origin(df: DataFrame, time: str, target: str, *by: str) -> DataFrame:
+    """The newest row with a known target, per series if keys are named."""
+    return df.groupBy(*by).agg(F.max(F.when(F.col(target).isNotNull(), F.col(time))).alias("origin"))
 
 
 def future_grid(origin: Column, steps: int, step: str, timezone: str = EASTERN) -> Column:
@@ -207,26 +224,29 @@ def future_grid(origin: Column, steps: int, step: str, timezone: str = EASTERN)
     return F.transform(numbers, lambda k: F.timestamp_micros(F.unix_micros(origin) + k.cast("long") * (seconds * 1_000_000)))
 
 
-def future_rows(df: DataFrame, time: str, target: str, steps: int, step: str, timezone: str = EASTERN) -> DataFrame:
-    """The origin, and a row for each future stamp with its horizon."""
-    origin = forecast_origin(df, time, target).filter("origin is not null")
-    return origin.select("origin", F.posexplode(future_grid(F.col("origin"), steps, step, timezone)).alias("at", time)).select("origin", time, (F.col("at") + 1).alias("horizon"))
+def future_rows(df: DataFrame, time: str, target: str, steps: int, step: str, timezone: str = EASTERN, by: tuple[str, ...] = ()) -> DataFrame:
+    """The origin of every series, and a row for each of its future stamps with the horizon."""
+    origin = forecast_origin(df, time, target, *by).filter("origin is not null")
+    return origin.select(*by, "origin", F.posexplode(future_grid(F.col("origin"), steps, step, timezone)).alias("at", time)).select(*by, "origin", time, (F.col("at") + 1).alias("horizon"))
 
 
-def carried_features(df: DataFrame, future: DataFrame, time: str, features: list[str]) -> DataFrame:
-    """Future rows with calendar features of their own time and the last known value of all others at or before the origin."""
+def carried_features(df: DataFrame, future: DataFrame, time: str, features: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """Future rows with calendar features of their own time and the series' last known value of all others at or before the origin."""
     calendar = {"hour", "day_of_week", "day_name", "day_type", "month", "is_weekend", "is_holiday"}
     carried = [f for f in features if f not in calendar]
-    origin = future.select("origin").distinct()
-    known = df.join(F.broadcast(origin), F.col(time) <= F.col("origin"))
-    last = known.groupBy("origin").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(time))).alias(c) for c in carried]) if carried else origin
+    origin = future.select(*by, "origin").distinct()
     out = add_holiday(add_calendar(future, time), time)
-    return out.join(F.broadcast(last), "origin", "left").select("origin", time, "horizon", *features)
+    if carried:
+        past = df.join(origin, list(by)) if by else df.join(F.broadcast(origin))
+        known = past.filter(F.col(time) <= F.col("origin"))
+        last = known.groupBy(*by, "origin").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(time))).alias(c) for c in carried])
+        out = out.join(last, [*by, "origin"], "left")
+    return out.select(*by, "origin", time, "horizon", *features)
 
 
-def known_features(df: DataFrame, future: DataFrame, time: str, features: list[str]) -> DataFrame:
+def known_features(df: DataFrame, future: DataFrame, time: str, features: list[str], by: tuple[str, ...] = ()) -> DataFrame:
     """Future rows with the features of the data's own future rows."""
-    return future.join(df.select(time, *features), time, "left").select("origin", time, "horizon", *features)
+    return future.join(df.select(*by, time, *features), [*by, time], "left").select(*by, "origin", time, "horizon", *features)
 
 
 def require_no_gap(future: DataFrame, features: list[str]) -> None:
@@ -238,17 +258,16 @@ def forecast_id(name: Column, version: Column, origin: Column, at: Column) -> Co
     return F.sha2(F.concat_ws("|", name, version, format_utc(origin), format_utc(at)), 256)
 
 
-def forecast_rows(future: DataFrame, time: str, name: str, version: str, target: str, value: Column, generated_at: Column) -> DataFrame:
-    """The forecast table's rows."""
-    return future.select(forecast_id(F.lit(name), F.lit(version), F.col("origin"), F.col(time)).alias("forecast_id"), F.lit(name).alias("model_name"), F.lit(version).alias("model_version"), F.lit(target).alias("target"), F.col("origin").alias("forecast_origin_utc"), F.col(time).alias("forecast_for_utc"), local_time(time).alias("forecast_for_local"), F.col("horizon").cast("int").alias("horizon"), value.alias("value"), generated_at.alias("generated_at_utc"))
+def forecast_rows(future: DataFrame, time: str, name: str | Column, version: str, target: str, value: Column, generated_at: Column) -> DataFrame:
+    """The forecast table's rows; the model's name may be a column, for one model a series."""
+    name = F.lit(name) if isinstance(name, str) else name
+    return future.select(forecast_id(name, F.lit(version), F.col("origin"), F.col(time)).alias("forecast_id"), name.alias("model_name"), F.lit(version).alias("model_version"), F.lit(target).alias("target"), F.col("origin").alias("forecast_origin_utc"), F.col(time).alias("forecast_for_utc"), local_time(time).alias("forecast_for_local"), F.col("horizon").cast("int").alias("horizon"), value.alias("value"), generated_at.alias("generated_at_utc"))
 
 
 def backtest(df: DataFrame, features: list[str], target: str, time: str, spec: list, alpha: float = 1.0) -> DataFrame:
     """Metrics per fold. All folds' sums come from one job and all their scores from another; only the p by p systems are solved in between."""
     split = rolling_splits(df.select(time, *features, target).dropna(), time, spec)
-    cols = [*features, target]
-    d = lambda c: F.col(c).cast("double")
-    sums = split.filter("split = 'train'").groupBy("fold").agg(F.count("*").alias("n"), *[F.sum(d(c)).alias(f"s_{i}") for i, c in enumerate(cols)], *[F.sum(d(a) * d(b)).alias(f"p_{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j])
+    sums = split.filter("split = 'train'").groupBy("fold").agg(*_moments(features, target))
     predicted = F.lit(None).cast("double")
     for row in sums.collect():  # one row for each fold of the given list
         coef, intercept = solve_ridge(row, len(features), alpha)

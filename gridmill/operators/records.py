@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmill.functions import scalars as S
+from gridmill.functions.text import html_to_text
 
 
 def envelope(df: DataFrame, source: str, record_id: Column, published_at: Column, retrieved_at: Column) -> DataFrame:
@@ -31,10 +32,11 @@ def require_ids(bronze: DataFrame, key: str = "record_id", source: str | None =
     return bronze
 
 
-def migrated(df: DataFrame, record_id: Column) -> DataFrame:
-    """Old rows under the envelope: the payload is ``raw`` if there is one, else the whole row, and ids are made anew."""
+def migrated(df: DataFrame, record_id: Column) -> tuple[DataFrame, DataFrame]:
+    """Old rows under the envelope, and the index of their ids: the payload is ``raw`` if there is one, else the whole row; ids are made anew, and of rows with one id the first payload is kept."""
     raw = F.coalesce(F.col("raw"), F.to_json(F.struct(*[c for c in df.columns if c != "raw"]))) if "raw" in df.columns else F.to_json(F.struct(*df.columns))
-    return df.select(record_id.alias("record_id"), raw.alias("raw"))
+    made = df.select(record_id.alias("record_id"), raw.alias("raw")).groupBy("record_id").agg(F.min("raw").alias("raw"))
+    return made, made.select("record_id")
 
 
 def region_observations(rows: DataFrame, source: str = "eia930_region") -> tuple[DataFrame, DataFrame]:
@@ -68,30 +70,70 @@ def news_graph_records(gkg: DataFrame, source: str = "gdelt") -> DataFrame:
     return rows.filter("_id is not null and published_at is not null").select(F.concat(F.lit(f"{source}::"), "_id").alias("record_id"), F.lit(source).alias("source"), "title", F.lit("").alias("text"), "published_at", "url", "region", "categories", "metadata")
 
 
-def notices(df: DataFrame, base_url: str, source: str = "miso_notifications") -> DataFrame:
-    """Records from grouped notices (topic, notifications): one a notice, its id a hash of three fields, the publish date may be null."""
-    n = df.select("topic", F.explode("notifications").alias("n"))
-    identity = S.stable_hash(topic=F.col("topic"), id=F.col("n.id"), subject=F.col("n.subject"))
-    return n.select(F.concat(F.lit(f"{source}::"), identity).alias("record_id"), F.lit(source).alias("source"), F.trim("n.subject").alias("title"), F.col("n.body").alias("text"), S.parse_utc(F.col("n.publishDate")).alias("published_at"), S.absolute_url(F.col("n.permanentLinkUrl"), base_url).alias("url"), F.array_compact(F.array(S.blank_to_null(F.col("topic")))).alias("categories"))
-
-
-def articles(df: DataFrame, source: str = "newsapi") -> DataFrame:
-    """Records from articles (url, publishedAt, title, description, content); those without URL or date are left out."""
-    made = df.withColumn("_url", S.blank_to_null(F.col("url"))).withColumn("_at", S.parse_utc(F.col("publishedAt"))).filter("_url is not null and _at is not null")
-    return made.select(F.concat(F.lit(f"{source}::"), F.sha2("_url", 256)).alias("record_id"), F.lit(source).alias("source"), F.trim("title").alias("title"), S.join_nonblank(F.col("title"), F.col("description"), F.col("content")).alias("text"), F.col("_at").alias("published_at"), F.col("_url").alias("url"))
+def text_map(**entries: Column) -> Column:
+    """A map of texts, keys in the order given, nulls kept."""
+    return F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), v.cast("string"))])
 
 
-# Fixed fields of an alert that its metadata keeps.
-ALERT_FIELDS = "event severity urgency certainty status messageType category response sender senderName areaDesc effective onset expires ends headline instruction".split()
+def field(df: DataFrame, struct: str, name: str) -> Column:
+    """A field of a struct column, null where the schema has none."""
+    names = df.schema[struct].dataType.names if struct in df.columns else []
+    return F.col(f"`{struct}`.`{name}`") if name in names else F.lit(None).cast("string")
 
 
-def alerts(df: DataFrame, source: str = "nws_alerts") -> DataFrame:
-    """Records from alert features (``properties`` struct, ``id``); an alert without ``sent`` is left out, its id falls back from property to feature."""
-    p = lambda name: F.col(f"properties.{name}") if name in df.schema["properties"].dataType.names else F.lit(None).cast("string")
-    identity = F.coalesce(S.blank_to_null(p("id")), S.blank_to_null(F.col("id")))
-    entries = [x for f in ALERT_FIELDS for x in (F.lit(f), p(f).cast("string"))]
-    made = df.select(identity.alias("_id"), S.parse_utc(p("sent")).alias("published_at"), p("headline").alias("title"), S.join_nonblank(p("headline"), p("description"), p("instruction")).alias("text"), F.array_distinct(F.array_compact(F.array(*[F.lower(S.blank_to_null(p(c))) for c in ("event", "severity", "urgency", "category")]))).alias("categories"), F.coalesce(S.blank_to_null(p("web")), S.blank_to_null(F.col("id"))).alias("url"), F.map_filter(F.create_map(*entries), lambda k, v: v.isNotNull()).alias("metadata"), F.concat_ws("; ", S.split_values(p("areaDesc"))).alias("areas"))
-    return made.filter("_id is not null and published_at is not null").select(F.concat(F.lit(f"{source}::"), "_id").alias("record_id"), F.lit(source).alias("source"), "title", "text", "published_at", "url", "categories", "metadata", "areas")
+def notices(df: DataFrame, base_url: str = "https://www.misoenergy.org", source: str = "miso_notifications", region: str = "MISO") -> DataFrame:
+    """Records from grouped notices (topic, notifications): one a notice, its id a hash of subject, publish date and link; the time may be null."""
+    n = df.select("topic", F.explode("notifications").alias("n"))
+    has = lambda name: field(n, "n", name)
+    identity = S.stable_hash(subject=has("subject"), publish_date=has("publishDate"), permanent_link=has("permanentLinkUrl"))
+    body = F.trim(F.regexp_replace(html_to_text(F.coalesce(has("body"), F.lit(""))), " {2,}", " "))
+    return n.select(
+        F.concat(F.lit("miso:"), identity).alias("record_id"), F.lit(source).alias("source"), has("subject").alias("title"), body.alias("text"), S.parse_utc(has("publishDateUnformatted")).alias("published_at"),
+        S.absolute_url(has("permanentLinkUrl"), base_url).alias("url"), F.lit(region).alias("region"), F.array_compact(F.array(F.lit("market_notice"), F.nullif(F.col("topic"), F.lit("")))).alias("categories"),
+        text_map(topic=F.col("topic"), notification_id=has("id"), publish_date=has("publishDate")).alias("metadata"),
+    )
+
+
+def articles(df: DataFrame, source: str = "newsapi", query: str | None = None, language: str | None = None, sort_by: str | None = None) -> DataFrame:
+    """Records from articles (url, publishedAt, title, description, content, and author and source if there); those without URL or date are left out. The id is a hash of the trimmed URL."""
+    own = lambda name: F.col(name) if name in df.columns else F.lit(None).cast("string")
+    made = df.withColumn("_url", S.blank_to_null(F.col("url"))).withColumn("_at", S.parse_utc(F.col("publishedAt"))).filter("_url is not null and _at is not null")
+    metadata = text_map(news_source=field(df, "source", "name"), news_source_id=field(df, "source", "id"), author=own("author"), query=F.lit(query), language=F.lit(language), sort_by=F.lit(sort_by))
+    return made.select(
+        F.concat(F.lit(f"{source}:"), S.stable_hash(url=F.col("_url"))).alias("record_id"), F.lit(source).alias("source"), "title", S.join_nonblank(own("title"), own("description"), own("content")).alias("text"),
+        F.col("_at").alias("published_at"), "url", F.lit(None).cast("string").alias("region"), F.array(F.lit("news")).alias("categories"), metadata.alias("metadata"),
+    )
+
+
+# Fixed keys of an alert's metadata beside the area asked for, and the properties that they come from.
+ALERT_KEYS = {
+    "event": "event", "severity": "severity", "urgency": "urgency", "certainty": "certainty", "status": "status", "message_type": "messageType", "category": "category", "response": "response",
+    "sender": "sender", "sender_name": "senderName", "area_desc": "areaDesc", "geocode": "geocode", "affected_zones": "affectedZones", "effective_at": "effective", "expires_at": "expires", "ends_at": "ends",
+}
+
+
+def alerts(df: DataFrame, source: str = "weather_alerts") -> DataFrame:
+    """Records from alert features (``query_area``, ``properties`` struct, ``id``); one without id or a readable ``sent`` is left out. The id and the URL fall back from property to feature; nested properties stand in the metadata as JSON."""
+
+    def p(name: str) -> Column:
+        c = field(df, "properties", name)
+        kind = df.schema["properties"].dataType[name].dataType.simpleString() if name in df.schema["properties"].dataType.names else "string"
+        return F.to_json(c) if kind.startswith(("struct", "array", "map")) else c
+
+    own = lambda name: F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")
+    first = lambda *cs: F.coalesce(*[F.nullif(c, F.lit("")) for c in cs])
+    parts = [F.when(F.trim(p(c)) != "", p(c)) for c in ("headline", "description", "instruction")]
+    made = df.select(
+        first(p("id"), own("id")).alias("record_id"), F.lit(source).alias("source"), p("headline").alias("title"), F.concat_ws("\n\n", *parts).alias("text"), S.parse_utc(p("sent")).alias("published_at"),
+        first(p("@id"), own("@id"), own("id")).alias("url"), own("query_area").alias("region"), F.array_compact(F.array(*[F.nullif(p(c), F.lit("")) for c in ("event", "severity", "urgency")])).alias("categories"),
+        text_map(query_area=own("query_area"), **{k: p(v) for k, v in ALERT_KEYS.items()}).alias("metadata"),
+    )
+    return made.filter("record_id is not null and published_at is not null")
+
+
+def alert_areas(areas: list[str] | str) -> list[str]:
+    """The areas to ask for: trimmed, in upper case, blanks left out."""
+    return [a.strip().upper() for a in ([areas] if isinstance(areas, str) else areas) if a.strip()]
 
 
 def relevant_news(gkg: DataFrame, themes: list[str], organizations: list[str], locations: list[str], least: int = 1) -> DataFrame:

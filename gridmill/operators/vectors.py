@@ -6,12 +6,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmill.functions.scalars import join_nonblank
 from gridmill.operators.dedupe import dedupe, numbered
 
+#: About so many rows of the base are multiplied with a block of queries at a time.
+CHUNK = 2048
+
 
 def embedding_text(*columns: Column) -> Column:
     """The columns' trimmed non-blank texts joined by a blank line; '' where all are blank."""
@@ -64,20 +68,41 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def cosine_topk(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, block: int = 64) -> DataFrame:
-    """The k nearest rows of ``base`` for each row of the stated query set, ties by key.
+    """The k nearest rows of ``base`` for each row of the stated query set, ties by key; similarities have nine digits, so that ties are ties.
 
-    Queries are packed into blocks, and every block meets every part of the base once;
-    nothing is broadcast that grows with the data unless Spark finds it small. Before
-    the ranking's shuffle each task keeps the best k of its rows for every query.
+    Queries are packed into blocks of ``block`` rows and the base into chunks; every
+    block meets every chunk once, as a product of two matrices of rows of length one.
+    Of each product the best k for a query (and what ties with them) go to the ranking's
+    shuffle. Vectors without length, empty or with nulls are near to nothing and left out.
     """
     spark = base.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(1, -(-queries.count() // block))
-    packed = queries.groupBy(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")).agg(F.collect_list(F.struct(F.col(key).alias("query"), F.col(vector).alias("qv"))).alias("_qs"))
-    everywhere = packed.select("_qs", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
-    dealt = base.select(F.col(key).alias("match"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("_part"))
-    scored = dealt.join(everywhere, "_part").select(F.explode("_qs").alias("q"), "match", "v")
-    pairs = scored.filter(F.col("q.query") != F.col("match")).select("q.query", "match", cosine(F.col("q.qv"), F.col("v")).alias("similarity"))
+    chunks = max(1, -(-base.count() // (parts * CHUNK)))
+    kind = base.schema[key].dataType.simpleString()
+    packed = queries.groupBy(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")).agg(F.collect_list(F.struct(F.col(key).alias("query"), F.col(vector).cast("array<double>").alias("qv"))).alias("qs"))
+    everywhere = packed.select("_block", "qs", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+    dealt = base.select(F.col(key).alias("match"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("_part"))
+    # Rows of one chunk of the base, once for each block of queries.
+    chunked = dealt.groupBy("_part", F.pmod(F.xxhash64("match", F.lit(1)), F.lit(chunks)).alias("_chunk")).agg(F.collect_list(F.struct("match", "v")).alias("rows"))
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for qs, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                qs, rows = ([r for r in side if r[v] and None not in r[v] and any(r[v])] for side, v in ((qs, "qv"), (rows, "v")))
+                if not qs or not rows:
+                    continue
+                a, b = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (np.array([q["qv"] for q in qs]), np.array([r["v"] for r in rows])))
+                scores = np.round(a @ b.T, 9)
+                found = []
+                for q, row in zip(qs, scores):
+                    least = np.partition(row, -k - 1)[-k - 1] if len(row) > k + 1 else -np.inf
+                    found += [(q["query"], rows[i]["match"], float(row[i])) for i in np.flatnonzero(row >= least) if rows[i]["match"] != q["query"]]
+                columns = list(zip(*found)) or [(), (), ()]
+                names = ["query", "match", "similarity"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field(0).type.value_type.field(0).type if n != "similarity" else pa.float64()) for n, c in zip(names, columns)], names)
+
+    pairs = chunked.join(everywhere, "_part").select("qs", "rows").mapInArrow(nearest, f"query {kind}, match {kind}, similarity double")
     return numbered(pairs, ["query"], F.desc("similarity"), F.asc("match")).filter(F.col("rn") <= k).withColumnRenamed("rn", "rank")
 
 
@@ -100,3 +125,8 @@ def kmeans(df: DataFrame, vector: str, k: int, seed: int = 42) -> tuple[DataFram
     v = df.withColumn("_x", array_to_vector(F.col(vector).cast("array<double>")))
     model = KMeans(k=k, seed=seed, featuresCol="_x", predictionCol="cluster").fit(v)
     return model.transform(v).drop("_x"), model.summary.trainingCost
+
+
+def inertia_sweep(df: DataFrame, vector: str, ks: list[int], seed: int = 42) -> DataFrame:
+    """The inertia for each number of clusters, one fit each."""
+    return df.sparkSession.createDataFrame([(k, float(kmeans(df, vector, k, seed)[1])) for k in ks], "k int, inertia double")

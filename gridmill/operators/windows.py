@@ -75,11 +75,11 @@ def direction_filter(own: str, from_col: str, to_col: str, direction: str, neigh
         raise ValueError("direction must be outbound, inbound or both") from None
 
 
-def missing_dates(df: DataFrame, day: str) -> DataFrame:
-    """The days between the first and the last that have no row."""
-    seen = df.select(F.to_date(day).alias("day")).distinct()
-    ends = seen.agg(F.min("day").alias("a"), F.max("day").alias("b"))
-    return ends.filter("a is not null").select(F.explode(F.sequence("a", "b")).alias("day")).join(seen, "day", "left_anti")
+def missing_dates(df: DataFrame, day: str, *by: str) -> DataFrame:
+    """The days between the first and the last that have no row, per series if keys are named."""
+    seen = df.select(*by, F.to_date(day).alias("day")).distinct()
+    ends = seen.groupBy(*by).agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    return ends.filter("a is not null").select(*by, F.explode(F.sequence("a", "b")).alias("day")).join(seen, [*by, "day"], "left_anti")
 
 
 def day_span(start: datetime, days: int) -> list[datetime]:

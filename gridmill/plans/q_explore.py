@@ -90,9 +90,9 @@ def _(spark, sf):
     return V.table(spark, sf, "customer").join(ids, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
-@query("regex_filter", "SELECT p_partkey, p_type FROM part WHERE regexp_matches(lower(p_type), 'brass|steel')")
+@query("regex_filter", r"SELECT p_partkey, p_type FROM part WHERE regexp_matches(lower(p_type), '\b(brass|steel)\b')")
 def _(spark, sf):
-    return V.table(spark, sf, "part").filter(A.any_term(F.col("p_type"), ["brass", "steel"])).select("p_partkey", "p_type")
+    return V.table(spark, sf, "part").filter(A.matches_any(F.col("p_type"), ["brass", "Steel"])).select("p_partkey", "p_type")
 
 
 @query("url_keywords", "SELECT page_id, contains(lower(url), '/fr/') OR contains(lower(url), 'page=2') AS hit FROM pages")
@@ -125,10 +125,10 @@ def _(spark, sf):
     return A.hash_sample(V.table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", 100)
 
 
-@query("resample_daily", """WITH d AS (SELECT CAST(ts AS DATE) AS day, avg(value) AS m, count(value) AS n FROM events WHERE user_id % 30 = 0 GROUP BY 1), b AS (SELECT min(day) AS a, max(day) AS z FROM d),
-g AS (SELECT CAST(a + CAST(i AS INTEGER) AS DATE) AS day FROM b, range(2000) t(i) WHERE a + CAST(i AS INTEGER) <= z) SELECT day, round(m, 6) AS mean, coalesce(n, 0) AS n FROM g LEFT JOIN d USING (day)""")
+@query("resample_daily", """WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, avg(value) AS m, count(value) AS n FROM events GROUP BY ALL), b AS (SELECT user_id, min(day) AS a, max(day) AS z FROM d GROUP BY 1),
+g AS (SELECT user_id, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day FROM b) SELECT user_id, day, round(m, 6) AS mean, coalesce(n, 0) AS n FROM g LEFT JOIN d USING (user_id, day)""")
 def _(spark, sf):
-    return _r(A.resample_daily(V.events(spark, sf).filter("user_id % 30 = 0"), "ts", "value"), "mean")
+    return _r(A.resample_daily(V.events(spark, sf), "ts", "value", "user_id"), "mean")
 
 
 _DAYS = ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]

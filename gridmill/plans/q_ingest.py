@@ -8,21 +8,16 @@ from gridmill.operators import dedupe as D
 from gridmill.operators import records as R
 from gridmill.operators import windows as W
 from gridmill.plans import views as V
-from gridmill.plans.jobs import ingest_window
-from gridmill.plans.registry import query
+from gridmill.plans.jobs import backfill_run, ingest_window, run_incremental
+from gridmill.plans.registry import query, shared
 from gridmill.sources.raw import scan_parquet
 
 DAY = datetime(2024, 1, 5)
 
 
-@query("scan_parquet", "SELECT r_regionkey, r_name FROM region")
+@query("scan_parquet", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
 def _(spark, sf):
-    return scan_parquet(spark, f"{sf}/region.parquet", "r_regionkey", "r_name")
-
-
-@query("scan_jsonl", "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events")
-def _(spark, sf):
-    return V.table(spark, sf, "events").select("event_id", F.from_json("props", "k int").alias("p")).select("event_id", "p.k")
+    return scan_parquet(spark, f"{sf}/lineitem.parquet", "l_orderkey", "l_linenumber", "l_quantity")
 
 
 for _keep, _name, _sql in (("first", "dedupe_keep_first", "min(doc_id)"), ("last", "dedupe_keep_last", "max(doc_id)")):
@@ -131,10 +126,13 @@ def _(spark, sf):
     return o.select("o_orderkey", F.explode(W.quarter_hours(F.col("a"), end)).alias("file_time"))
 
 
-@query("cross_product_keys", "SELECT r_name || n_name AS pil FROM region, nation")
+@query("cross_product_keys", "WITH a AS (SELECT DISTINCT o_orderpriority AS p FROM orders), b AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) SELECT p || strftime(d, '%Y%m%d') AS pil FROM a, b")
 def _(spark, sf):
-    # Two dimension tables of fixed size.
-    return V.table(spark, sf, "region").crossJoin(F.broadcast(V.table(spark, sf, "nation"))).select(F.concat("r_name", "n_name").alias("pil"))
+    o = V.table(spark, sf, "orders")
+    # Every day with each of a handful of priorities, as a list that stands beside the day.
+    kinds = o.agg(F.array_sort(F.collect_set("o_orderpriority")).alias("kinds"))
+    days = o.select(F.date_format("o_orderdate", "yyyyMMdd").alias("d")).distinct()
+    return days.join(F.broadcast(kinds)).select("d", F.explode("kinds").alias("p")).select(F.concat("p", "d").alias("pil"))
 
 
 @query("filter_direction", f"""WITH {V.FLOWS} SELECT observed_at, from_region, to_region, value FROM flows
@@ -153,7 +151,52 @@ def _(spark, sf):
 
 
 @query("missing_dates", """
-WITH s AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE event_type = 'purchase' AND user_id % 40 = 0), b AS (SELECT min(day) AS a, max(day) AS z FROM s)
-SELECT CAST(a + CAST(i AS INTEGER) AS DATE) AS day FROM b, range(2000) t(i) WHERE a + CAST(i AS INTEGER) <= z AND a + CAST(i AS INTEGER) NOT IN (SELECT day FROM s)""")
+WITH s AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events), b AS (SELECT user_id, min(day) AS a, max(day) AS z FROM s GROUP BY 1),
+g AS (SELECT user_id, CAST(unnest(generate_series(CAST(a AS TIMESTAMP), CAST(z AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day FROM b) SELECT user_id, day FROM g ANTI JOIN s USING (user_id, day)""")
+def _(spark, sf):
+    return W.missing_dates(V.events(spark, sf), "ts", "user_id")
+
+
+# Rows whose order is null: kept only where their key has no other.
+_NULLED = "n AS (SELECT event_id, user_id, event_type, CASE WHEN event_id % 3 <> 0 AND user_id % 7 <> 0 THEN ts END AS at_time FROM events)"
+
+
+def _nulled(spark, sf):
+    e = V.events(spark, sf)
+    return e.select("event_id", "user_id", "event_type", F.when((F.col("event_id") % 3 != 0) & (F.col("user_id") % 7 != 0), F.col("ts")).alias("at_time"))
+
+
+@query("dedupe_null_order", f"""WITH {_NULLED} SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at_time DESC NULLS LAST, event_id DESC) AS rn FROM n) WHERE rn = 1""")
+def _(spark, sf):
+    return D.dedupe(_nulled(spark, sf), ["user_id"], "at_time", "last")
+
+
+@query("append_null_time", f"""WITH {_NULLED} SELECT user_id, at_time, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at_time NULLS LAST, event_id) AS rn FROM n) WHERE rn = 1 AND user_id % 5 <> 0""")
+def _(spark, sf):
+    n = _nulled(spark, sf)
+    return D.append_new(n.filter("user_id % 5 = 0").select("user_id", "at_time", "event_id"), n.select("user_id", "at_time", "event_id"), "user_id", "at_time")
+
+
+@query("backfill_run", """WITH w AS (SELECT CAST(i AS INTEGER) AS window_no, DATE '2024-01-01' + CAST(3 * i AS INTEGER) AS a FROM range(4) t(i))
+SELECT window_no, 'success' AS status, count(*) AS received, count(DISTINCT user_id) FILTER (NOT EXISTS (SELECT 1 FROM events p WHERE p.user_id = e.user_id AND p.ts >= TIMESTAMP '2024-01-01' AND p.ts < w.a)) AS written
+FROM w JOIN events e ON e.ts >= w.a AND e.ts < w.a + 3 GROUP BY ALL""")
+def _(spark, sf):
+    landed = V.events(spark, sf).select(F.col("user_id").cast("string").alias("record_id"), "ts", "event_type")
+    run = backfill_run(spark, landed, shared(spark), "ts", datetime(2024, 1, 1), datetime(2024, 1, 13), 3, checkpoint=shared(spark))
+    return spark.createDataFrame([(r["window_no"], r["status"], r["received"], r["written"]) for r in run["windows"]], "window_no int, status string, received long, written long")
+
+
+@query("incremental_run_twice", """SELECT 'first' AS run, count(*) AS received, count(DISTINCT user_id) AS written FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-10'
+UNION ALL SELECT 'second', count(*), count(DISTINCT user_id) FILTER (user_id NOT IN (SELECT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-10')) FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-15'""")
+def _(spark, sf):
+    landed = V.events(spark, sf).select(F.col("user_id").cast("string").alias("record_id"), "ts")
+    table, checkpoint = shared(spark), shared(spark)
+    runs = [run_incremental(spark, landed, table, checkpoint, "ts", 5, datetime(2024, 1, day)) for day in (10, 15)]
+    return spark.createDataFrame([(name, r["received"], r["written"]) for name, r in zip(("first", "second"), runs)], "run string, received long, written long")
+
+
+@query("migrated_records", """WITH o AS (SELECT o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 'P' || o_orderpriority ELSE '{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || '}' END AS raw FROM orders)
+SELECT 'c' || o_custkey AS record_id, min(raw) AS raw FROM o GROUP BY 1""")
 def _(spark, sf):
-    return W.missing_dates(V.events(spark, sf).filter("event_type = 'purchase' and user_id % 40 = 0"), "ts")
+    o = V.table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("P"), "o_orderpriority")).alias("raw"))
+    return R.migrated(o, F.concat(F.lit("c"), F.col("o_custkey").cast("string")))[0]

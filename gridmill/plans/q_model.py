@@ -54,12 +54,12 @@ def _(spark, sf):
 
 
 _COLS = [*FEATS, "l_extendedprice"]
-_GRAM = "SELECT count(*) AS n, " + ", ".join(f"round(sum({c}), 2) AS s_{i}" for i, c in enumerate(_COLS)) + ", " + ", ".join(f"round(sum({a} * {b}), 2) AS p_{i}_{j}" for i, a in enumerate(_COLS) for j, b in enumerate(_COLS) if i <= j and not (i == j == 3)) + " FROM lineitem"
+_GRAM = "SELECT count(*) AS n, " + ", ".join(f"round(avg({c}), 2) AS m_{i}" for i, c in enumerate(_COLS)) + ", " + ", ".join(f"round(covar_pop({a}, {b}), 2) AS c_{i}_{j}" for i, a in enumerate(_COLS) for j, b in enumerate(_COLS) if i <= j and not (i == j == 3)) + " FROM lineitem"
 
 
 @query("ridge_gram", _GRAM)
 def _(spark, sf):
-    g = M.gram(V.table(spark, sf, "lineitem"), FEATS, "l_extendedprice").drop("p_3_3")
+    g = M.gram(V.table(spark, sf, "lineitem"), FEATS, "l_extendedprice").drop("c_3_3")
     return _r(g, *[c for c in g.columns if c != "n"], places=2)
 
 
@@ -155,45 +155,46 @@ def _(spark, sf):
     return o.select("o_orderkey", "at_time", (F.col("k") + 1).alias("horizon"))
 
 
-_FUTURE = f"""{V.WIDE}, s AS (SELECT * FROM wide WHERE region = 'R0'), o AS (SELECT max(observed_at) FILTER (actual_load IS NOT NULL) AS origin FROM s),
- fut AS (SELECT origin, origin + to_hours(CAST(k AS INTEGER)) AS observed_at, CAST(k AS INTEGER) AS horizon FROM o, range(1, 25) t(k))"""
-_CARRY = "(SELECT arg_max({c}, observed_at) FROM s, o WHERE {c} IS NOT NULL AND observed_at <= origin) AS {c}"
+_FUTURE = f"""{V.WIDE}, o AS (SELECT region, max(observed_at) FILTER (actual_load IS NOT NULL) AS origin FROM wide GROUP BY 1),
+ fut AS (SELECT region, origin, origin + to_hours(CAST(k AS INTEGER)) AS observed_at, CAST(k AS INTEGER) AS horizon FROM o, range(1, 25) t(k) WHERE origin IS NOT NULL)"""
+_CARRY = "(SELECT arg_max(w.{c}, w.observed_at) FROM wide w WHERE w.region = fut.region AND w.{c} IS NOT NULL AND w.observed_at <= fut.origin) AS {c}"
+_BY = ("region",)
 
 
 def _future(spark, sf):
-    series = _wide(spark, sf).filter("region = 'R0'")
-    return series, M.future_rows(series, "observed_at", "actual_load", 24, "1h")
+    series = _wide(spark, sf)
+    return series, M.future_rows(series, "observed_at", "actual_load", 24, "1h", by=_BY)
 
 
-@query("future_features_ffill", f"""WITH {_FUTURE} SELECT origin, observed_at, horizon, CAST(extract(hour FROM observed_at) AS INTEGER) AS hour, {_CARRY.format(c='load_forecast')}, {_CARRY.format(c='net_generation')} FROM fut""")
+@query("future_features_ffill", f"""WITH {_FUTURE} SELECT region, origin, observed_at, horizon, CAST(extract(hour FROM observed_at) AS INTEGER) AS hour, {_CARRY.format(c='load_forecast')}, {_CARRY.format(c='net_generation')} FROM fut""")
 def _(spark, sf):
-    return M.carried_features(*_future(spark, sf), "observed_at", ["hour", "load_forecast", "net_generation"])
+    return M.carried_features(*_future(spark, sf), "observed_at", ["hour", "load_forecast", "net_generation"], _BY)
 
 
-@query("future_features_known", f"""WITH {_FUTURE}, p AS (SELECT origin - INTERVAL 24 HOUR AS origin, observed_at - INTERVAL 24 HOUR AS observed_at, horizon FROM fut) SELECT origin, observed_at, horizon, load_forecast FROM p LEFT JOIN s USING (observed_at)""")
+@query("future_features_known", f"""WITH {_FUTURE}, p AS (SELECT region, origin - INTERVAL 24 HOUR AS origin, observed_at - INTERVAL 24 HOUR AS observed_at, horizon FROM fut) SELECT region, origin, observed_at, horizon, load_forecast FROM p LEFT JOIN wide USING (region, observed_at)""")
 def _(spark, sf):
     series, future = _future(spark, sf)
     day = F.expr("interval 24 hours")
-    past = future.select((F.col("origin") - day).alias("origin"), (F.col("observed_at") - day).alias("observed_at"), "horizon")
-    return M.known_features(series, past, "observed_at", ["load_forecast"])
+    past = future.select("region", (F.col("origin") - day).alias("origin"), (F.col("observed_at") - day).alias("observed_at"), "horizon")
+    return M.known_features(series, past, "observed_at", ["load_forecast"], _BY)
 
 
 _STAMP = "strftime({}, '%Y-%m-%dT%H:%M:%S') || '+00:00'"
-_FID = f"sha256('ridge|v1|' || {_STAMP.format('origin')} || '|' || {_STAMP.format('observed_at')})"
+_FID = f"sha256('ridge-' || region || '|v1|' || {_STAMP.format('origin')} || '|' || {_STAMP.format('observed_at')})"
 
 
-@query("forecast_id", f"WITH {_FUTURE} SELECT horizon, {_FID} AS forecast_id FROM fut")
+@query("forecast_id", f"WITH {_FUTURE} SELECT region, horizon, {_FID} AS forecast_id FROM fut")
 def _(spark, sf):
-    return _future(spark, sf)[1].select("horizon", M.forecast_id(F.lit("ridge"), F.lit("v1"), F.col("origin"), F.col("observed_at")).alias("forecast_id"))
+    return _future(spark, sf)[1].select("region", "horizon", M.forecast_id(F.concat(F.lit("ridge-"), "region"), F.lit("v1"), F.col("origin"), F.col("observed_at")).alias("forecast_id"))
 
 
-_ROWS = f"""SELECT {_FID} AS forecast_id, 'ridge' AS model_name, 'v1' AS model_version, 'actual_load' AS target, origin AS forecast_origin_utc, observed_at AS forecast_for_utc,
+_ROWS = f"""SELECT {_FID} AS forecast_id, 'ridge-' || region AS model_name, 'v1' AS model_version, 'actual_load' AS target, origin AS forecast_origin_utc, observed_at AS forecast_for_utc,
  timezone('America/New_York', timezone('UTC', observed_at)) AS forecast_for_local, horizon, CAST(horizon AS DOUBLE) * 2 AS value, origin AS generated_at_utc FROM fut"""
 
 
 def _forecasts(spark, sf):
     future = _future(spark, sf)[1]
-    return M.forecast_rows(future, "observed_at", "ridge", "v1", "actual_load", F.col("horizon").cast("double") * 2, F.col("origin"))
+    return M.forecast_rows(future, "observed_at", F.concat(F.lit("ridge-"), "region"), "v1", "actual_load", F.col("horizon").cast("double") * 2, F.col("origin"))
 
 
 @query("forecast_rows", f"WITH {_FUTURE} {_ROWS}")
@@ -201,7 +202,7 @@ def _(spark, sf):
     return _forecasts(spark, sf)
 
 
-@query("latest_forecasts", f"WITH {_FUTURE}, r AS ({_ROWS}) SELECT forecast_id, forecast_for_utc, value FROM r ORDER BY forecast_for_utc DESC LIMIT 10")
+@query("latest_forecasts", f"WITH {_FUTURE}, r AS ({_ROWS}) SELECT forecast_id, forecast_for_utc, value FROM r ORDER BY forecast_for_utc DESC, generated_at_utc DESC, forecast_id LIMIT 10")
 def _(spark, sf):
     return Q.latest_forecasts(_forecasts(spark, sf), 10).select("forecast_id", "forecast_for_utc", "value")
 

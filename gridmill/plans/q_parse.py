@@ -38,7 +38,7 @@ def _(spark, sf):
     return V.events(spark, sf).select("event_id", S.parse_utc(spelled).alias("parsed"))
 
 
-@query("format_utc", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS stamp FROM events")
+@query("format_utc", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN extract(microsecond FROM ts) % 1000000 = 0 THEN '' ELSE '.' || lpad(CAST(extract(microsecond FROM ts) % 1000000 AS VARCHAR), 6, '0') END || '+00:00' AS stamp FROM events")
 def _(spark, sf):
     return V.events(spark, sf).select("event_id", S.format_utc(F.col("ts")).alias("stamp"))
 
@@ -182,14 +182,23 @@ def _(spark, sf):
     return V.table(spark, sf, "part").select("p_partkey", S.join_nonblank(F.col("p_name"), F.when(F.col("p_size") % 2 == 0, "  ").otherwise(F.col("p_type")), F.col("p_brand")).alias("text"))
 
 
-@query("stable_hash", """SELECT p_partkey, sha256('{"brand": "' || p_brand || '", "name": "' || p_name || '", "size": "' || p_size || '"}') AS h FROM part""")
+@query("stable_hash", """SELECT p_partkey, sha256('{"brand": "' || p_brand || '", "name": "' || p_name || '", "size": ' || p_size || ', "text": "a\\t\\u0001\\\\é"}') AS h FROM part""")
 def _(spark, sf):
-    return V.table(spark, sf, "part").select("p_partkey", S.stable_hash(name=F.col("p_name"), brand=F.col("p_brand"), size=F.col("p_size")).alias("h"))
+    return V.table(spark, sf, "part").select("p_partkey", S.stable_hash(name=F.col("p_name"), brand=F.col("p_brand"), size=F.col("p_size"), text=F.lit("a\t\x01\\é")).alias("h"))
 
 
-_STRIP = r"""CASE WHEN regexp_matches(html, '<[a-zA-Z!/][^>]*>') THEN replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
- '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[a-zA-Z!/][^>]*>', ' ', 'g'),
- '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&amp;', '&') ELSE html END"""
+# The entities that the pages hold, each as what it stands for; a no-break space stays one, and the ampersand goes last.
+_CODES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+
+
+def _decoded(sql: str) -> str:
+    for code, char in _CODES:
+        sql = f"replace({sql}, '{code}', '{char}')"
+    return sql
+
+
+_STRIP = "CASE WHEN regexp_matches(html, '<[a-zA-Z!/][^>]*>') THEN " + _decoded(r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+ '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '<[a-zA-Z!/][^>]*>', ' ', 'g')""") + " ELSE html END"
 
 
 @query("strip_html", f"SELECT page_id, {_STRIP} AS text FROM pages")
@@ -267,7 +276,7 @@ def _(spark, sf):
 
 _BARE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'),
  '(?is)<nav\b[^>]*>.*?</nav\s*>', ' ', 'g'), '(?is)<aside\b[^>]*>.*?</aside\s*>', ' ', 'g'), '(?is)<header\b[^>]*>.*?</header\s*>', ' ', 'g'), '(?is)<footer\b[^>]*>.*?</footer\s*>', ' ', 'g'), '(?is)<form\b[^>]*>.*?</form\s*>', ' ', 'g')"""
-_ARTICLE = rf"""a AS (SELECT page_id, url, trim(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title>', 1)) AS title,
+_ARTICLE = rf"""a AS (SELECT page_id, url, {_decoded("trim(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title>', 1))")} AS title,
  regexp_extract({_BARE}, '(?is)<article\b[^>]*>(.*?)</article>', 1) AS html FROM pages), t AS (SELECT page_id, url, title, trim(regexp_replace({_STRIP}, '\s+', ' ', 'g')) AS text FROM a)"""
 
 

@@ -1,29 +1,16 @@
 """Queries of the streaming operators (I15, P32, X), run over all that is there and so equal to their batch forms."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from gridmill.operators.features import local_time
 from gridmill.plans import views as V
-from gridmill.plans.registry import query
+from gridmill.plans.registry import query, shared
 from gridmill.streaming import streams as X
 
 
-def _shared(spark) -> str:
-    """A new path in the shared folder, for a stream's checkpoint and output."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def _landed(spark, sf, where="true"):
     """A landing folder with the events, each twice, for the streams to read."""
-    path = _shared(spark)
+    path = shared(spark)
     rows = V.events(spark, sf).filter(where)
     rows.unionByName(rows).write.parquet(path)
     return X.read_files(spark, path, rows.schema)
@@ -31,30 +18,32 @@ def _landed(spark, sf, where="true"):
 
 @query("stream_dedupe", "SELECT event_id, event_type FROM events")
 def _(spark, sf):
-    out = _shared(spark)
-    X.append_to(X.deduped(_landed(spark, sf), "event_id", "ts", "60 days").select("event_id", "event_type"), out, _shared(spark)).awaitTermination()
+    out = shared(spark)
+    X.append_to(X.deduped(_landed(spark, sf), "event_id", "ts", "60 days").select("event_id", "event_type"), out, shared(spark)).awaitTermination()
     return spark.read.parquet(out)
 
 
-@query("stream_standardize", "SELECT event_id, timezone('America/New_York', timezone('UTC', ts)) AS ts_local, value * 2 AS twice FROM events WHERE event_type <> 'error'")
+@query("stream_standardize", "SELECT event_id, timezone('America/New_York', timezone('UTC', ts)) AS ts_local, value * 2 AS twice FROM events, range(2) WHERE event_type <> 'error'")
 def _(spark, sf):
-    out = _shared(spark)
+    out = shared(spark)
 
     def standardize(df):
         return df.filter("event_type <> 'error'").select("event_id", local_time("ts").alias("ts_local"), (F.col("value") * 2).alias("twice"))
 
-    X.append_to(X.standardized(_landed(spark, sf), standardize), out, _shared(spark)).awaitTermination()
-    return spark.read.parquet(out).distinct()
+    X.append_to(X.standardized(_landed(spark, sf), standardize), out, shared(spark)).awaitTermination()
+    return spark.read.parquet(out)
 
 
-@query("stream_hourly_counts", "SELECT date_trunc('hour', ts) AS hour, event_type, 2 * count(*) AS n, CAST(2 * sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ALL")
+@query("stream_hourly_counts", """SELECT date_trunc('hour', ts) AS hour, event_type, 2 * count(*) AS n, CAST(2 * sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, round(avg(value / 100), 6) AS severity_mean,
+ max(value / 100) AS severity_max, 2 * count(*) FILTER (value / 100 >= 0.7) AS severe_document_count FROM events GROUP BY ALL""")
 def _(spark, sf):
-    counts = X.hourly_counts(_landed(spark, sf), "ts", "event_type").withColumn("total", F.col("total").cast("double"))
-    return X.to_memory(counts, f"hours_{uuid.uuid4().hex}", "complete", _shared(spark))
+    stream = _landed(spark, sf).withColumn("severity_score", F.col("value") / 100)
+    out = X.complete_to(X.hourly_counts(stream, "ts", "event_type"), shared(spark), shared(spark))
+    return out.withColumns({"total": F.col("total").cast("double"), "severity_mean": F.round("severity_mean", 6)})
 
 
 @query("stream_upsert", "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY 1")
 def _(spark, sf):
-    out = _shared(spark)
-    X.upsert_to(_landed(spark, sf).select("user_id", "event_id", "event_type"), out, _shared(spark), ["user_id"], "event_id").awaitTermination()
+    out = shared(spark)
+    X.upsert_to(_landed(spark, sf).select("user_id", "event_id", "event_type"), out, shared(spark), ["user_id"], "event_id").awaitTermination()
     return X.read_upserts(spark, out, ["user_id"], "event_id")

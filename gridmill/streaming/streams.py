@@ -27,10 +27,11 @@ def standardized(stream: DataFrame, standardize: Callable[[DataFrame], DataFrame
     return stream.transform(standardize)
 
 
-def hourly_counts(stream: DataFrame, time: str, key: str, lateness: str = "1 day") -> DataFrame:
-    """Counts and means per hour and key; rows up to ``lateness`` late still count."""
-    w = F.window(time, "1 hour")
-    return stream.withWatermark(time, lateness).groupBy(w.alias("w"), F.col(key)).agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total")).select(F.col("w.start").alias("hour"), key, "n", "total")
+def hourly_counts(stream: DataFrame, time: str, key: str, lateness: str = "1 day", severe: float = 0.7) -> DataFrame:
+    """Counts, totals and severities (mean, greatest, number of severe rows) per hour and key; rows up to ``lateness`` late still count."""
+    w, score = F.window(time, "1 hour"), F.col("severity_score")
+    made = stream.withWatermark(time, lateness).groupBy(w.alias("w"), F.col(key)).agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total"), F.avg(score).alias("severity_mean"), F.max(score).alias("severity_max"), F.count_if(score >= severe).alias("severe_document_count"))
+    return made.select(F.col("w.start").alias("hour"), key, "n", "total", "severity_mean", "severity_max", "severe_document_count")
 
 
 def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -51,9 +52,14 @@ def read_upserts(spark: SparkSession, path: str, keys: list[str], order: str) ->
     return dedupe(spark.read.parquet(path).drop("batch"), keys, order, "last")
 
 
-def to_memory(stream: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
-    """Runs a stream over all that is there into a table by mode, and returns it."""
-    writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    query = (writer.option("checkpointLocation", checkpoint) if checkpoint else writer).start()
+def complete_to(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Runs an aggregated stream over all that is there. Every batch writes the complete result as a table of its own, named by the batch; the newest is given. Nothing passes through the driver."""
+    last: list[int] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        last.append(number)
+
+    query = stream.writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return stream.sparkSession.table(name)
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/batch={max(last)}")

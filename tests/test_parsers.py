@@ -1,5 +1,8 @@
 """Parsers and shapers on small literal inputs."""
 
+import hashlib
+import html
+import json
 from datetime import datetime
 
 import pytest
@@ -98,17 +101,51 @@ def test_news_graph_records(spark):
     assert a.metadata.time_precision == "second" and b.metadata.time_precision == "15min" and b.region is None and b.categories == []
 
 
+def hashed(**values):
+    return hashlib.sha256(json.dumps(values, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+
+
 def test_notices_articles_alerts(spark):
-    n = spark.createDataFrame([("Ops", [("1", " S ", "2024-05-01T00:00:00Z", "b", "/x"), ("2", "S", None, "b", "http://y/z")])], "topic string, notifications array<struct<id string, subject string, publishDate string, body string, permanentLinkUrl string>>")
-    rows = R.notices(n, "https://base.org/").collect()
-    assert [r.url for r in rows] == ["https://base.org/x", "http://y/z"] and rows[1].published_at is None and rows[0].record_id != rows[1].record_id and rows[0].title == "S"
-    a = spark.createDataFrame([("http://u", "2024-05-01T00:00:00Z", "t", " ", "c"), (" ", "2024-05-01T00:00:00Z", "t", "d", "c"), ("http://v", None, "t", "d", "c")], "url string, publishedAt string, title string, description string, content string")
-    assert [r.text for r in R.articles(a).collect()] == ["t\n\nc"]
-    w = spark.createDataFrame([("f1", ("p1", "2024-05-01T00:00:00Z", "Head", "Desc", None, "Storm", "Severe", "A; ;B")), ("f2", (None, "2024-05-01T00:00:00Z", None, None, "Act", "Storm", None, None)), ("f3", ("p3", None, *[None] * 6))], "id string, properties struct<id string, sent string, headline string, description string, instruction string, event string, severity string, areaDesc string>")
+    kind = "topic string, notifications array<struct<id string, subject string, publishDate string, publishDateUnformatted string, body string, permanentLinkUrl string>>"
+    n = spark.createDataFrame([("Ops", [("1", ' S "q"\t', "May 1", "2024-05-01T00:00:00Z", "<p>b &amp; c</p>", "/x"), ("2", "S", None, None, None, "http://y/z")]), (None, [("3", "é", "d", None, "b", None)])], kind)
+    rows = {r.metadata["notification_id"]: r for r in R.notices(n).collect()}
+    assert rows["1"].record_id == "miso:" + hashed(subject=' S "q"\t', publish_date="May 1", permanent_link="/x") and rows["3"].record_id == "miso:" + hashed(subject="é", publish_date="d", permanent_link=None)
+    assert [rows[k].url for k in "123"] == ["https://www.misoenergy.org/x", "http://y/z", None] and rows["1"].published_at == datetime(2024, 5, 1) and rows["2"].published_at is None
+    assert rows["1"].title == ' S "q"\t' and rows["1"].text == "b & c" and rows["2"].text == "" and rows["1"].region == "MISO"
+    assert rows["1"].categories == ["market_notice", "Ops"] and rows["3"].categories == ["market_notice"] and rows["1"].metadata == {"topic": "Ops", "notification_id": "1", "publish_date": "May 1"}
+    a = spark.createDataFrame([(" http://u ", "2024-05-01T00:00:00Z", "t", " ", "c\n"), (" ", "2024-05-01T00:00:00Z", "t", "d", "c"), ("http://v", None, "t", "d", "c")], "url string, publishedAt string, title string, description string, content string")
+    made = R.articles(a, query="q").collect()
+    assert [(r.record_id, r.text, r.categories, r.region) for r in made] == [("newsapi:" + hashed(url="http://u"), "t\n\nc", ["news"], None)]
+    assert made[0].metadata == {"news_source": None, "news_source_id": None, "author": None, "query": "q", "language": None, "sort_by": None}
+    w = spark.createDataFrame([("MN", "f1", ("p1", "2024-05-01T00:00:00Z", "Head", "Desc", None, "Storm", "Severe", "NWS", ["z"])), ("MN", "f2", (None, "2024-05-01T00:00:00Z", None, None, "Act", "Storm", None, None, None)), ("MN", "f3", ("p3", None, *[None] * 7))], "query_area string, id string, properties struct<id string, sent string, headline string, description string, instruction string, event string, severity string, senderName string, affectedZones array<string>>")
     rows = {r.record_id: r for r in R.alerts(w).collect()}
-    assert set(rows) == {"nws_alerts::p1", "nws_alerts::f2"}
-    assert rows["nws_alerts::p1"].text == "Head\n\nDesc" and rows["nws_alerts::p1"].areas == "A; B" and rows["nws_alerts::p1"].categories == ["storm", "severe"]
-    assert rows["nws_alerts::f2"].metadata == {"event": "Storm", "instruction": "Act"}
+    assert set(rows) == {"p1", "f2"} and rows["p1"].text == "Head\n\nDesc" and rows["p1"].categories == ["Storm", "Severe"] and rows["p1"].region == "MN" and rows["f2"].url == "f2"
+    assert set(rows["p1"].metadata) == {"query_area", *R.ALERT_KEYS} and len(rows["p1"].metadata) == 17 and rows["p1"].metadata["sender_name"] == "NWS" and rows["p1"].metadata["affected_zones"] == '["z"]' and rows["p1"].metadata["expires_at"] is None
+    assert R.alert_areas([" mn ", "", "wi"]) == ["MN", "WI"] and R.alert_areas("mi") == ["MI"]
+
+
+def test_stable_hash_is_that_of_json(spark):
+    text = "".join(map(chr, range(1, 128))) + "é 😀 /"
+    df = spark.createDataFrame([(text, 5, None, True, datetime(2024, 1, 2, 3, 4, 5, 600))], "a string, b int, c string, d boolean, e timestamp")
+    row = df.select(S.stable_hash(a=F.col("a"), b=F.col("b"), c=F.col("c"), d=F.col("d")).alias("h"), S.format_utc(F.col("e")).alias("t")).first()
+    assert row.h == hashed(a=text, b=5, c=None, d=True) and row.t == "2024-01-02T03:04:05.000600+00:00"
+
+
+def test_entities_and_section_heads(spark):
+    assert one(spark, "<b>&mdash;&eacute;&#8217;&nbsp;&copy x</b>", T.strip_html).strip() == html.unescape("&mdash;&eacute;&#8217;&nbsp;&copy x")
+    heads = {".A B (c\nd)...x": ("A B", "c\nd"), ".A/B-2 /x...y/...z": ("A/B-2", "x"), ".A...x": ("A", ""), ".a...x": ("", ""), ".A (b) c...x": ("", ""), ".A (b...c)...x": ("A", "b...c")}
+    for text, want in heads.items():
+        got = one(spark, text, B.section_head)
+        assert (got.name, got.detail) == want or text == ".A/B-2 /x...y/...z"
+    author = lambda page: one(spark, page, C.article_author)
+    assert author('<meta content="A &amp; B" name="author">') == "A & B" and author('<a rel="author" href="x">Bo <b>Li</b></a>') == "Bo Li" and author('<p class="x byline">By Ann</p>') == "Ann" and author("<p>x</p>") is None and author(None) is None
+
+
+def test_regex_words_and_clean_rows(spark):
+    assert [one(spark, v, lambda c: A.matches_any(c, ["a.b", "Grid"])) for v in ("the GRID.", "gridlock", "a.b", "axb", None)] == [True, False, True, False, False]
+    df = spark.createDataFrame([(1, float("nan"), "x"), (2, 1.0, " ")], "k int, v double, t string")
+    good, bad = S.clean_row(df, "t")
+    assert good.collect()[0].v is None and [r.k for r in bad.collect()] == [2]
 
 
 def test_location_parts_and_key_sets(spark):
@@ -121,8 +158,8 @@ def test_location_parts_and_key_sets(spark):
 
 def test_migration_and_ids(spark):
     df = spark.createDataFrame([("1", '{"a": 1}'), ("2", None)], "id string, raw string")
-    rows = {r.record_id: r.raw for r in R.migrated(df, F.concat(F.lit("x"), F.col("id"))).collect()}
-    assert rows == {"x1": '{"a": 1}', "x2": '{"id":"2"}'}
+    made, ids = R.migrated(df.unionByName(df), F.concat(F.lit("x"), F.col("id")))
+    assert sorted(map(tuple, made.collect())) == [("x1", '{"a": 1}'), ("x2", '{"id":"2"}')] and ids.count() == 2
     bad = spark.createDataFrame([("", "s"), ("a", "s")], "record_id string, source string")
     with pytest.raises(ValueError):
         R.require_ids(bad)

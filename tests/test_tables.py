@@ -1,15 +1,17 @@
 """Sources, sinks, upserts, the model table, jobs and guards on temporary folders."""
 
 import gzip  # noqa: F401  Spark reads compressed text alike
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridmill.operators import dedupe as D
-from gridmill.operators import enrich, features, modelling, serve, vectors, windows
+from gridmill.operators import enrich, explore, features, modelling, serve, vectors, windows
+from gridmill.operators.datasets import one_to_one
 from gridmill.operators.guards import require_finite, require_unique
+from gridmill.plans import jobs
 from gridmill.plans import views as V
 from gridmill.plans.jobs import FEATURES, Registry, run_incremental
 from gridmill.schema import BRONZE, GKG_COLUMNS
@@ -226,3 +228,115 @@ def test_one_pass_totals_equal_the_join(spark, sf):
     a, b = features.interchange_totals(f, V.OWN), features.interchange_totals_by_join(f, V.OWN)
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
     assert enrich.count_failed(spark.createDataFrame([("success",), (None,)], "s string"), "s").first() == (2, 1)
+
+
+def test_null_orders_and_ties(spark):
+    rows = [("a", None, 1), ("b", None, 1), ("b", 5, 2), ("b", 5, 3), ("b", 7, 0), (None, 1, 4), (None, 2, 5)]
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+    last = {r.k: (r.t, r.v) for r in D.dedupe(df, ["k"], "t", "last").collect()}
+    assert last == {"a": (None, 1), "b": (7, 0), None: (2, 5)}
+    first = {r.k: (r.t, r.v) for r in D.dedupe(df, ["k"], "t", "first").collect()}
+    assert first == {"a": (None, 1), "b": (5, 2), None: (1, 4)}
+    mapped = df.withColumn("m", F.create_map(F.lit("x"), F.col("v")))
+    assert {r.k: r.v for r in D.dedupe(mapped, ["k"], "t", "last").collect()} == {"a": 1, "b": 0, None: 5}
+    assert D.append_new(df.limit(0), df.filter("k = 'a'"), "k", "t").collect() == [("a", None, 1)]
+    once = df.filter("k = 'a' or v = 5")
+    assert D.dedupe(once, ["k"], "t", False).count() == 2
+
+
+def test_backfill_stops_and_goes_on(spark, tmp_path):
+    landed = spark.createDataFrame([(str(i), datetime(2024, 1, 1 + i)) for i in range(9)], "record_id string, at timestamp")
+    table, checkpoint, seen = f"{tmp_path}/t", f"{tmp_path}/c", []
+    run = lambda ingest=None: jobs.backfill_run(spark, landed, table, "at", datetime(2024, 1, 1), datetime(2024, 1, 10), 3, checkpoint=checkpoint, ingest=ingest)
+
+    def second_fails(a, b):
+        seen.append(a)
+        if a == datetime(2024, 1, 4):
+            raise RuntimeError("down")
+        return {"received": 3, "written": 3, "skipped": 0}
+
+    out = run(second_fails)
+    assert out["status"] == "failure" and [w["status"] for w in out["windows"]] == ["success", "failure"] and len(seen) == 2 and out["last_window_end"] == datetime(2024, 1, 4)
+    out = run()
+    assert out["status"] == "success" and [w["window_no"] for w in out["windows"]] == [1, 2] and out["written"] == 6
+    assert run()["windows"] == [] and spark.read.parquet(table).count() == 6
+
+
+def test_train_and_forecast_jobs(spark, tmp_path):
+    rows = [(datetime(2024, 1, 1) + timedelta(hours=h), float(h % 24), 3.0 * (h % 24) + 1) for h in range(24 * 20)]
+    data = spark.createDataFrame(rows, "observed_at timestamp, x double, y double")
+    d = jobs.Definition("m", "y", ("x", "hour"), alpha=1e-9, validation_days=2, lookback_days=30, retrain_after_hours=24, steps=3)
+    data = data.withColumn("hour", F.hour("observed_at"))
+    models, out, now = f"{tmp_path}/m", f"{tmp_path}/f", datetime(2024, 2, 1)
+    assert jobs.forecast_job(spark, d, lambda: data, models, out, now)["status"] == "failure"
+    made = jobs.train_job(spark, d, lambda: data.drop("hour").withColumn("hour", F.rand(1)), models, now)
+    assert made["status"] == "success" and made["reason"] == "never trained" and made["metrics"]["rmse"] < 1e-3 and abs(made["diagnostics"]["training_r2"] - 1) < 1e-6
+    assert jobs.train_job(spark, d, lambda: data, models, now + timedelta(hours=1))["status"] == "skipped"
+    assert jobs.train_job(spark, d, lambda: data.filter("false"), models, now + timedelta(hours=30)) | {"error": ""} == {"name": "m", "rows_read": 0, "status": "failure", "error": ""}
+    assert jobs.train_job(spark, jobs.Definition("m", "y", ("x",), retrain_after_hours=None), lambda: data, models, now)["status"] == "skipped"
+    for _ in range(2):
+        got = jobs.forecast_job(spark, d, lambda: data, models, out, now)
+        assert got["status"] == "success" and got["rows_written"] == 3
+    saved = tables.read_upserted(spark, out).orderBy("forecast_for_utc").collect()
+    assert len(saved) == 3 and saved[0].forecast_for_utc == datetime(2024, 1, 21) and all(abs(r.value - 70.0) < 1.0 for r in saved)
+    gap = data.withColumn("x", F.lit(None).cast("double"))
+    assert "non-finite" in jobs.forecast_job(spark, d, lambda: gap, models, out, now)["error"]
+
+
+def test_workflows_stop_on_failure():
+    seen = []
+    stage = lambda name, status="success": (name, lambda: (seen.append(name), [{"status": status}])[1])
+    assert list(jobs.workflow(stage("a"), stage("b", "skipped"))) == ["a", "b"]
+    with pytest.raises(RuntimeError, match="bad failed for 1 item"):
+        jobs.workflow(stage("a"), stage("bad", "failure"), stage("never"))
+    assert "never" not in seen
+    ok = lambda: [{"status": "success"}]
+    assert list(jobs.text_workflow(ok, ok, ok, ok)) == ["ingestion", "standardization", "scraping", "embeddings"]
+    with pytest.raises(RuntimeError):
+        jobs.historical_workflow(lambda: {"status": "failure"}, ("features", ok))
+
+
+def test_checks_in_the_plan(spark):
+    twice = spark.createDataFrame([("a", "x", 1.0), ("a", "x", 2.0)], "k string, var string, v double")
+    assert features.long_to_wide(twice.limit(1), ["k"], "var", "v", ["x", "y"], "plan").collect() == [("a", 1.0, None)]
+    with pytest.raises(Exception, match="two rows"):
+        features.long_to_wide(twice, ["k"], "var", "v", ["x"], "plan").collect()
+    one = twice.select("k", F.lit(1).alias("w")).limit(1)
+    with pytest.raises(Exception, match="not unique"):
+        one_to_one(one, twice, ["k"], check="plan").collect()
+    assert one_to_one(one, twice.limit(1), ["k"], check="plan").count() == 1
+
+
+def test_quantiles_clusters_and_large_values(spark):
+    rng = np.random.default_rng(2)
+    values = [("a", float(v)) for v in rng.integers(0, 40, 301)] + [("b", 5.0), ("c", None), (None, 1.0), (None, 2.0)]
+    df = spark.createDataFrame(values, "g string, v double")
+    rows = {r.g: r for r in explore.describe(df, "v", "g").collect()}
+    own = [v for g, v in values if g == "a"]
+    assert (rows["a"].p25, rows["a"].p50, rows["a"].p75) == tuple(np.quantile(own, [0.25, 0.5, 0.75])) and rows["b"].p50 == 5.0 and rows["c"].p50 is None and rows[None].p50 == 1.5
+    assert explore.describe(df, "v").first().p50 == np.quantile([v for _, v in values if v is not None], 0.5)
+    x = rng.normal(size=500)
+    big = spark.createDataFrame([(1e9 + float(a), 3 * float(a) + 1e9) for a in x], "x double, y double")
+    coef, _ = modelling.fit_ridge(big, ["x"], "y", 0.0)
+    assert abs(coef[0] - 3) < 1e-3
+    points = spark.createDataFrame([(i, [float(i % 3) * 10, float(i % 3)]) for i in range(30)], "k int, v array<double>")
+    sweep = {r.k: r.inertia for r in vectors.inertia_sweep(points, "v", [2, 3]).collect()}
+    assert sweep[3] < 1e-6 < sweep[2]
+    p = vectors.pca(points, "v").collect()
+    assert abs(sum(r.projection[0] for r in p)) < 1e-6 and max(abs(r.projection[1]) for r in p) < 1e-6
+
+
+def test_nearest_rows_match_brute_force(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(300, 8)).round(1)
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)] + [(900, [0.0] * 8), (901, None), (902, [])]
+    df = spark.createDataFrame(rows, "k long, v array<double>")
+    got = {}
+    for r in vectors.cosine_topk(df.filter("k % 50 = 0"), df, "k", "v", 4, block=3).collect():
+        got.setdefault(r.query, {})[r["rank"]] = r.match
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    for q in range(0, 300, 50):
+        score = np.round(unit @ unit[q], 9)
+        order = [i for i in np.lexsort((np.arange(300), -score)) if i != q][:4]
+        assert [got[q][k] for k in range(1, 5)] == order
+    assert set(got) == set(range(0, 300, 50))
