@@ -276,7 +276,7 @@ def _(spark, sf):
 
 _BARE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'),
  '(?is)<nav\b[^>]*>.*?</nav\s*>', ' ', 'g'), '(?is)<aside\b[^>]*>.*?</aside\s*>', ' ', 'g'), '(?is)<header\b[^>]*>.*?</header\s*>', ' ', 'g'), '(?is)<footer\b[^>]*>.*?</footer\s*>', ' ', 'g'), '(?is)<form\b[^>]*>.*?</form\s*>', ' ', 'g')"""
-_ARTICLE = rf"""a AS (SELECT page_id, url, {_decoded("trim(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title>', 1))")} AS title,
+_ARTICLE = rf"""a AS (SELECT page_id, url, {_decoded(r"trim(regexp_extract(html, '(?is)<title\b[^>]*>(.*?)</title>', 1))")} AS title,
  regexp_extract({_BARE}, '(?is)<article\b[^>]*>(.*?)</article>', 1) AS html FROM pages), t AS (SELECT page_id, url, title, trim(regexp_replace({_STRIP}, '\s+', ' ', 'g')) AS text FROM a)"""
 
 
