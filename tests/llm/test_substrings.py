@@ -51,10 +51,46 @@ def test_planted_passages(docs_of, monkeypatch):
     assert results(substrings.without_repeats(docs)) == want
     rows = {r.doc_id: r for r in substrings.without_repeats(docs, with_text=True).collect()}
     assert len(rows[3].spans) == want[3][2] and hashlib.sha256(rows[3].kept).hexdigest() == want[3][3]
-    # Frequent anchors and a full filter change how rows travel, not the result.
+    # Frequent anchors and small portions change how rows travel, not the result.
     monkeypatch.setattr(substrings, "HOT", 3)
     assert results(substrings.without_repeats(docs)) == want
-    assert results(substrings.without_repeats(docs, log2_bits=18)) == want
+    monkeypatch.setattr(substrings, "SORTED", 50)
+    monkeypatch.setattr(substrings, "HOT", 10)
+    assert results(substrings.without_repeats(docs)) == want
+
+
+def test_batches_against_stored_levels(spark, docs_of, monkeypatch):
+    """One batch after the other against the levels gives what one run over all of them gives; levels of like size are merged."""
+    texts = planted() + ["", None, "short"]
+    want = by_hand(dict(enumerate(texts)))
+    docs = docs_of(texts)
+    for hot in (substrings.HOT, 3):
+        monkeypatch.setattr(substrings, "HOT", hot)
+        levels, got, cuts = substrings.Levels(spark), {}, [0, 6, 20, 21, 35, len(texts)]
+        for a, b in zip(cuts, cuts[1:]):
+            got |= results(substrings.without_repeats(docs.filter(f"doc_id >= {a} and doc_id < {b}"), levels=levels))
+            sizes = [n for _, n in levels.listed()]
+            assert sum(sizes) == b and all(x > 2 * y for x, y in zip(sizes, sizes[1:]))
+        assert got == want
+        # A family found again by its path; nothing of it is new.
+        again = substrings.Levels(spark, levels.path)
+        assert all(r.n_removed == r.n_bytes for r in substrings.without_repeats(docs.filter("doc_id in (4, 5)"), levels=again).collect())
+
+
+def test_suffixes_are_compared_by_bytes():
+    rng = np.random.default_rng(11)
+    for _ in range(30):
+        parts, counts = [], []
+        for _k in range(int(rng.integers(1, 9))):
+            n = int(rng.integers(1, 40))
+            parts.append(bytes(rng.integers(0, 2, n + 99, dtype=np.uint8)) if rng.random() < 0.6 or not parts else parts[-1])
+            counts.append(len(parts[-1]) - 99)
+        met, want = set(), []
+        for part in parts:
+            for a in range(len(part) - 99):
+                want.append(part[a : a + 100] in met)
+                met.add(part[a : a + 100])
+        assert substrings.suffix_repeats(parts, np.array(counts)).tolist() == want
 
 
 def test_long_texts_in_tiles(docs_of):
@@ -89,8 +125,8 @@ def test_rows_alike_count_as_one_text(spark, docs_of, monkeypatch):
     assert sorted(got, key=str) == sorted([(None, 0, whole)] * 2 + [(7, 3000, none)] + [(8, 0, none)] * 2, key=str)
 
 
-def test_levels_of_the_family_stay_few():
-    family, rng = substrings.Family(), np.random.default_rng(2)
+def test_hashes_met_before():
+    met, rng = substrings.Met(), np.random.default_rng(2)
     seen = set()
     for _ in range(60):
         prints = rng.integers(0, 5000, 300, dtype=np.uint64)
@@ -98,8 +134,8 @@ def test_levels_of_the_family_stay_few():
         for x in prints.tolist():
             want.append(x in seen)
             seen.add(x)
-        assert substrings.repeats_in(prints, family).tolist() == want
-        sizes = [len(x) for x in family.levels]
+        assert met.again(prints).tolist() == want
+        sizes = [len(x) for x in met.parts]
         assert all(a > 2 * b for a, b in zip(sizes, sizes[1:]))
 
 
