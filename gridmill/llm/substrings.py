@@ -358,7 +358,7 @@ def bodies(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _marked(texts: DataFrame, rows: DataFrame) -> DataFrame:
     """``texts`` with a column ``marked``: false where no row of ``rows`` (a stored table) is of that text."""
-    mark, log2 = F.xxhash64("row", "tag"), bitmaps.size_for(rows.count())
+    mark, log2 = F.xxhash64("row", "tag"), bitmaps.size_for(min(rows.count(), texts.count()))
     return bitmaps.tested(texts, mark, bitmaps.bitmap(rows.select(mark.alias("h")), "h", log2), log2, "marked")
 
 

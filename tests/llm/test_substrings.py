@@ -64,9 +64,9 @@ def test_batches_against_stored_levels(spark, docs_of, monkeypatch):
     texts = planted() + ["", None, "short"]
     want = by_hand(dict(enumerate(texts)))
     docs = docs_of(texts)
-    for hot in (substrings.HOT, 3):
+    for hot, cuts in ((substrings.HOT, [0, 20, 21, 35, len(texts)]), (3, [0, 6, len(texts)])):
         monkeypatch.setattr(substrings, "HOT", hot)
-        levels, got, cuts = substrings.Levels(spark), {}, [0, 6, 20, 21, 35, len(texts)]
+        levels, got = substrings.Levels(spark), {}
         for a, b in zip(cuts, cuts[1:]):
             got |= results(substrings.without_repeats(docs.filter(f"doc_id >= {a} and doc_id < {b}"), levels=levels))
             sizes = [n for _, n in levels.listed()]
