@@ -8,6 +8,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridmill.operators.features import CHUNK, add_lags
+
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
     """Counts and shares of a column's values, most frequent first, ties by value."""
@@ -158,17 +160,20 @@ def weekday_hour_profile(df: DataFrame, time: str, value: str) -> DataFrame:
 
 
 def interpolate_hourly(df: DataFrame, time: str, value: str, group: list[str]) -> DataFrame:
-    """Hourly means of each group on a full grid, gaps filled along a line; the grid ends at known hours."""
+    """Hourly means of each group on a full grid, gaps filled along a line; the grid ends at known hours.
+
+    Every known hour brings the gap before it, from the known hour before; that is one
+    lag, taken over chunks of a group's order, so no task holds a whole group.
+    """
     hourly = df.groupBy(*group, F.date_trunc("hour", time).alias("hour")).agg(F.avg(value).alias("known")).filter("known is not null")
-    ends = hourly.groupBy(*group).agg(F.min("hour").alias("a"), F.max("hour").alias("b"))
-    grid = ends.select(*group, F.explode(F.sequence("a", "b", F.expr("interval 1 hour"))).alias("hour")).join(hourly, [*group, "hour"], "left")
-    w = Window.partitionBy(*group).orderBy("hour")
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    point = F.when(F.col("known").isNotNull(), F.struct(F.unix_timestamp("hour").alias("t"), F.col("known").alias("v")))
-    both = grid.withColumn("_p", F.last(point, True).over(back)).withColumn("_n", F.first(point, True).over(ahead))
-    share = (F.unix_timestamp("hour") - F.col("_p.t")) / F.nullif(F.col("_n.t") - F.col("_p.t"), F.lit(0))
-    line = F.col("_p.v") + (F.col("_n.v") - F.col("_p.v")) * F.coalesce(share, F.lit(0.0))
-    return both.select(*group, "hour", F.coalesce("known", line).alias("value"), F.col("known").isNull().alias("filled"))
+    pairs = add_lags(hourly.withColumn("_p", F.struct("hour", "known")), "_p", [1], group, "hour", CHUNK)
+    step, p = F.expr("interval 1 hour"), F.col("_p_lag_1")
+    hours = F.when(p.isNull(), F.array("hour")).otherwise(F.sequence(p["hour"] + step, F.col("hour"), step))
+    rows = pairs.select(*group, F.col("hour").alias("_to"), "known", p.alias("_from"), F.explode(hours).alias("hour"))
+    share = (F.unix_timestamp("hour") - F.unix_timestamp("_from.hour")) / (F.unix_timestamp("_to") - F.unix_timestamp("_from.hour"))
+    line = F.col("_from.known") + (F.col("known") - F.col("_from.known")) * share
+    own = F.col("hour") == F.col("_to")
+    return rows.select(*group, "hour", F.when(own, F.col("known")).otherwise(line).alias("value"), (~own).alias("filled"))
 
 
 def spectral_power(df: DataFrame, index: str, value: str, periods: list[float]) -> DataFrame:

@@ -82,23 +82,63 @@ def local_time(time: str | Column, timezone: str = EASTERN) -> Column:
     return F.from_utc_timestamp(time, timezone).cast("timestamp_ntz")
 
 
-def add_lags(df: DataFrame, column: str, lags: list[int], group: list[str], time: str) -> DataFrame:
-    """earlier rows' values per group. A lag counts rows; one below 1 is an error."""
+#: Rows of a series that one task orders at a time, where a long series is cut.
+CHUNK = 50_000
+
+
+def ranked(df: DataFrame, group: list[str], time: str, rank: str = "_rank") -> DataFrame:
+    """The rows with their place in their group's order of time, from 0, without putting a group into one task.
+
+    Rows are numbered within a group's month; the months' counts, a small table, are
+    summed up to what each month's numbers start from. Rows of one time are in any order.
+    """
+    monthly = df.withColumn("_month", F.date_trunc("month", F.col(time)))
+    keys = [*group, "_month"]
+    within = monthly.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(time)) - 1)
+    counts = monthly.groupBy(*keys).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    on = [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
+    return within.join(starts, on).withColumn(rank, F.col(rank) + F.col("_start")).select(*df.columns, rank)
+
+
+def _overlapping(df: DataFrame, group: list[str], time: str, reach: int, chunk: int) -> tuple[DataFrame, Window]:
+    """The rows by chunks of each group's order, each chunk with the last ``reach`` rows of the one before it (``_own`` is false on those); and the window over a chunk."""
+    chunk = max(chunk, reach)
+    number = F.floor(F.col("_rank") / chunk)
+    own = F.struct(number.alias("at"), F.lit(True).alias("own"))
+    ahead = F.struct((number + 1).alias("at"), F.lit(False).alias("own"))
+    placed = ranked(df, group, time).withColumn("_c", F.explode(F.when(F.col("_rank") % chunk >= chunk - reach, F.array(own, ahead)).otherwise(F.array(own))))
+    return placed.select("*", F.col("_c.at").alias("_at"), F.col("_c.own").alias("_own")).drop("_c"), Window.partitionBy(*group, "_at").orderBy("_rank")
+
+
+def add_lags(df: DataFrame, column: str, lags: list[int], group: list[str], time: str, chunk: int | None = None) -> DataFrame:
+    """earlier rows' values per group. A lag counts rows; one below 1 is an error.
+
+    With ``chunk``, long groups are ordered that many rows at a time, with the rows that
+    the lags reach back to carried over, so no task holds a whole group.
+    """
     if any(n < 1 for n in lags):
         raise ValueError("lags must be positive")
     require_columns(df, column, time, *group)
-    w = Window.partitionBy(*group).orderBy(time)
-    return df.withColumns({f"{column}_lag_{n}": F.lag(column, n).over(w) for n in lags})
+    if chunk is None:
+        rows, w = df, Window.partitionBy(*group).orderBy(time)
+    else:
+        rows, w = _overlapping(df, group, time, max(lags), chunk)
+    made = rows.withColumns({f"{column}_lag_{n}": F.lag(column, n).over(w) for n in lags})
+    return made if chunk is None else made.filter("_own").drop("_rank", "_at", "_own")
 
 
-def add_rolling_means(df: DataFrame, columns: list[str], windows: list[int], group: list[str], time: str) -> DataFrame:
-    """the mean of the ``w`` rows before, null unless all are there and not null."""
+def add_rolling_means(df: DataFrame, columns: list[str], windows: list[int], group: list[str], time: str, chunk: int | None = None) -> DataFrame:
+    """the mean of the ``w`` rows before, null unless all are there and not null. ``chunk`` as for lags."""
+    rows, base = (df, Window.partitionBy(*group).orderBy(time)) if chunk is None else _overlapping(df, group, time, max(windows), chunk)
     made = {}
     for c in columns:
         for n in windows:
-            w = Window.partitionBy(*group).orderBy(time).rowsBetween(-n, -1)
+            w = base.rowsBetween(-n, -1)
             made[f"{c}_mean_{n}"] = F.when(F.count(c).over(w) == n, F.avg(c).over(w))
-    return df.withColumns(made)
+    out = rows.withColumns(made)
+    return out if chunk is None else out.filter("_own").drop("_rank", "_at", "_own")
 
 
 def mean_vectors(df: DataFrame, group: list[str], vector: str) -> DataFrame:
@@ -164,11 +204,11 @@ def news_severity(text: Column, tone: Column, terms: dict[str, float] = NEWS_TER
     return _unit(term_score(text, terms, 0.8) * (F.lit(0.75) + F.lit(0.25) * (F.greatest(F.lit(0.0), F.least(-t, F.lit(10.0))) / 10)))
 
 
-def region_hourly(obs: DataFrame, check: bool | str = True) -> DataFrame:
-    """hourly features per region from long observations: variables as columns, local time, load lags, calendar and holiday."""
+def region_hourly(obs: DataFrame, check: bool | str = True, chunk: int | None = None) -> DataFrame:
+    """hourly features per region from long observations: variables as columns, local time, load lags, calendar and holiday. ``chunk`` as for lags."""
     wide = long_to_wide(obs.select("observed_at", "region", "variable", "value"), ["observed_at", "region"], "variable", "value", list(VARIABLES), check)
     wide = wide.withColumn("observed_at_local", local_time("observed_at"))
-    return add_holiday(add_calendar(add_lags(wide, "actual_load", list(LAGS), ["region"], "observed_at"), "observed_at"), "observed_at")
+    return add_holiday(add_calendar(add_lags(wide, "actual_load", list(LAGS), ["region"], "observed_at", chunk), "observed_at"), "observed_at")
 
 
 def local_midnight(time: Column, timezone: str = EASTERN) -> Column:

@@ -76,13 +76,13 @@ _LAGS = ", ".join(f"lag(actual_load, {n}) OVER w AS actual_load_lag_{n}" for n i
 
 @query("lags", f"WITH {V.WIDE} SELECT observed_at, region, {_LAGS} FROM wide WINDOW w AS (PARTITION BY region ORDER BY observed_at)")
 def _(spark, sf):
-    return X.add_lags(_wide(spark, sf), "actual_load", list(X.LAGS), ["region"], "observed_at").select("observed_at", "region", *[f"actual_load_lag_{n}" for n in X.LAGS])
+    return X.add_lags(_wide(spark, sf), "actual_load", list(X.LAGS), ["region"], "observed_at", X.CHUNK).select("observed_at", "region", *[f"actual_load_lag_{n}" for n in X.LAGS])
 
 
 @query("rolling_mean", f"""WITH {V.WIDE} SELECT observed_at, region, CASE WHEN count(actual_load) OVER w = 3 THEN round(avg(actual_load) OVER w, 6) END AS actual_load_mean_3
 FROM wide WINDOW w AS (PARTITION BY region ORDER BY observed_at ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)""")
 def _(spark, sf):
-    out = X.add_rolling_means(_wide(spark, sf), ["actual_load"], [3], ["region"], "observed_at")
+    out = X.add_rolling_means(_wide(spark, sf), ["actual_load"], [3], ["region"], "observed_at", X.CHUNK)
     return _r(out.select("observed_at", "region", "actual_load_mean_3"), "actual_load_mean_3")
 
 

@@ -340,3 +340,22 @@ def test_nearest_rows_match_brute_force(spark):
         order = [i for i in np.lexsort((np.arange(300), -score)) if i != q][:4]
         assert [got[q][k] for k in range(1, 5)] == order
     assert set(got) == set(range(0, 300, 50))
+
+
+def test_chunks_do_not_change_lags(spark):
+    rows = [(g, datetime(2024, 1, 1) + timedelta(hours=31 * i), float(i) if i % 7 else None) for g, n in (("a", 90), ("b", 3), (None, 40)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, t timestamp, v double").repartition(3)
+    key = lambda d: sorted(map(tuple, d.collect()), key=repr)
+    for chunk in (1, 5, 17, 1000):
+        assert key(features.add_lags(df, "v", [1, 4, 9], ["g"], "t", chunk)) == key(features.add_lags(df, "v", [1, 4, 9], ["g"], "t"))
+        assert key(features.add_rolling_means(df, ["v"], [2, 5], ["g"], "t", chunk)) == key(features.add_rolling_means(df, ["v"], [2, 5], ["g"], "t"))
+
+
+def test_samples_and_hashed_vectors(spark):
+    df = spark.range(500).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    first = [r.k for r in explore.hash_sample(df, "k", 20).collect()]
+    assert len(set(first)) == 20 and first == [r.k for r in explore.hash_sample(df.repartition(7), "k", 20).collect()] != [r.k for r in explore.hash_sample(df, "k", 20, seed=1).collect()]
+    texts = spark.createDataFrame([(1, "b a A"), (2, "a b a"), (3, " "), (4, None), (5, "c")], "k int, t string")
+    rows = {r.k: np.array(r.embedding) for r in vectors.hashing_vectors(texts, "t", 32).collect()}
+    assert np.allclose(rows[1], rows[2]) and np.isclose(np.linalg.norm(rows[1]), 1) and not rows[3].any() and not rows[4].any() and np.isclose(rows[5].max(), 1)
+    assert sorted(rows[1][rows[1] > 0].round(6).tolist()) in ([round(5**-0.5, 6), round(2 * 5**-0.5, 6)], [1.0])
