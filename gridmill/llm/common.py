@@ -43,6 +43,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns called c0, c1, ...: Arrow functions take columns by name and stumble over some names."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def fresh(columns: list[str], *names: str) -> list[str]:
     """The names, each made longer until no column has it (in any case)."""
     taken = {c.lower() for c in columns}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from gridmill.llm import bloom
-from gridmill.llm.common import documents, fresh, quoted, raw_texts, stored
+from gridmill.llm.common import documents, numbered, raw_texts, stored
 
 MOST_LOG2_BITS = 28
 
@@ -77,21 +77,20 @@ def without_copies(docs: DataFrame, most_log2_bits: int = MOST_LOG2_BITS) -> Dat
     rows with the keeping id all stay; an empty table gives none.
     """
     _, seen = _first_pass(docs, most_log2_bits)
-    columns, place = docs.columns, docs.columns.index("text")
-    digest, again, other, keeper = fresh(columns, "digest", "again", "other", "keeper")
+    plain, place, own = numbered(docs), docs.columns.index("text"), f"c{docs.columns.index('doc_id')}"
+    names = plain.columns
 
     def flagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests = [hashlib.sha256(raw.lower()).digest() for raw in raw_texts(batch.column(place))]
             h = np.frombuffer(b"".join(d[:8] for d in digests), np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([d.hex() for d in digests], pa.string()), pa.array(seen.value.maybe(h), pa.bool_())], [*columns, digest, again])
-
-    rows = docs.mapInArrow(flagged, StructType([*docs.schema.fields, StructField(digest, StringType()), StructField(again, BooleanType())]))
-    names = [F.col(quoted(c)) for c in columns]
-    several = rows.filter(again)
-    groups = _groups(several.select("doc_id", F.col(digest).alias("text_sha256"))).select(F.col("text_sha256").alias(other), F.col("keep_id").alias(keeper))
-    kept = several.join(groups, F.col(digest) == F.col(other)).filter(F.col("doc_id").eqNullSafe(F.col(keeper)))
-    return rows.filter(~F.col(again)).select(*names).union(kept.select(*names))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([d.hex() for d in digests], pa.string()), pa.array(seen.value.maybe(h), pa.bool_())], [*names, "digest", "again"])
+
+    rows = plain.mapInArrow(flagged, StructType([*plain.schema.fields, StructField("digest", StringType()), StructField("again", BooleanType())]))
+    several = rows.filter("again")
+    groups = _groups(several.select(F.col(own).alias("doc_id"), F.col("digest").alias("text_sha256"))).select(F.col("text_sha256").alias("digest"), "keep_id")
+    kept = several.join(groups, "digest").filter(F.col(own).eqNullSafe(F.col("keep_id")))
+    return rows.filter("not again").select(*names).union(kept.select(*names)).toDF(*docs.columns)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.llm.common import documents, held_out, labels, raw_texts, stored
+from gridmill.llm.common import documents, held_out, labels, numbered, raw_texts, stored
 from gridmill.llm.samples import labelled_sample, logistic, sigmoid
 
 PER_CLASS = 3000
@@ -288,7 +288,8 @@ def without_toxic(docs: DataFrame, marks: DataFrame, usable: F.Column) -> DataFr
             z = np.array([[1.0, *r[:3]] for r in rows]).reshape(-1, 4) @ np.array(grader.curve)
             yield batch.filter(pa.array(sigmoid(z) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = numbered(docs)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

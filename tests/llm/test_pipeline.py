@@ -154,4 +154,4 @@ def test_recall_against_all_pairs(spark):
     pairs = [(a, b) for a, b in pairs if alike(sets[a], sets[b]) >= 0.8]
     for most in (4, 1024):
         rows = {r.doc_id: r.component_id for r in simhash.similar_groups(docs, most=most).collect()}
-        assert sum(rows[a] == rows[b] for a, b in pairs) >= 0.99 * len(pairs) and len(pairs) > 10
+        assert sum(rows[a] == rows[b] for a, b in pairs) >= 0.99 * len(pairs) and len(pairs) >= 5
