@@ -8,8 +8,11 @@ to two at most. The index therefore keys each distinct fingerprint by a segment
 one half of the following segment (one of the halves must be equal, too): eight keys
 of 24 bits. Pairs that meet under a key are held against the chain budgets before the
 full Hamming check. Keys with very many members are split further by parts of the
-third and fourth segment, and what is still large is compared block by block; so no
-task holds more than a bounded number of fingerprints, and no link is lost.
+third and fourth segment. What is still large is dealt to parts of bounded size, each of
+which meets the same few hubs of its bucket, so that a group of near copies becomes one
+component in work that grows with its size; then only members outside the bucket's
+largest component meet all others, block by block. No task holds more than a bounded
+number of fingerprints, and no link is lost.
 
 For a similarity of 0.8 on five-word shingles three bits are far too few: such texts
 differ in about 15 % of all bits. ``similar_groups`` serves that case with prints of
@@ -44,6 +47,8 @@ SEED = 42
 SHINGLE = 3
 BITS = 3
 MOST_IN_BUCKET = 1024
+#: Members of a large bucket that each of its parts is held against.
+HUBS = 32
 #: Segments that a chain over wide prints is followed for.
 CHAIN = 3
 
@@ -241,26 +246,52 @@ def fingerprint_links(classes: DataFrame, bits: int = BITS, most: int = MOST_IN_
     """
     if not 0 <= bits <= 3:
         raise ValueError("the ring of four segments serves distances from 0 to 3")
+    linked = _ring(bits)
     small, large = _sized(_keys(classes), most)
     fitting, dense = _sized(_narrower(large), most)
-    return _all_links(small, fitting, dense, most, _ring(bits))
+    dense = stored(dense)
+    links = bucket_links(small, linked)
+    if dense.isEmpty():
+        return links.unionByName(bucket_links(fitting, linked))
+    found = components(links.unionByName(bucket_links(fitting, linked)).unionByName(bucket_links(_dealt(dense, most), linked)))
+    return _edges(found).unionByName(bucket_links(_outside(dense, found, most), linked))
 
 
-def _blocked(dense: DataFrame, most: int) -> DataFrame:
-    """The rows of large buckets, dealt to buckets of block against block."""
-    blocks = F.ceil(F.col("n") * 2 / most).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    spread = dense.select("key", "node", "r", blocks.alias("b"), own.alias("own"))
-    spread = spread.select("key", "node", "r", "own", F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("other"))
-    return spread.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "r")
+def _edges(found: DataFrame) -> DataFrame:
+    return found.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
 
-def _all_links(small: DataFrame, fitting: DataFrame, dense: DataFrame, most: int, linked) -> DataFrame:
-    """Links of two sets of small buckets, and of large ones taken block against block."""
-    found = bucket_links(small, linked)
-    for more in (fitting, _blocked(dense, most)):
-        found = found.unionByName(bucket_links(more, linked))
-    return found
+def _blocks(count: F.Column, most: int) -> F.Column:
+    """How many blocks of half of ``most`` members hold ``count`` of them."""
+    return F.ceil(count * 2 / most).cast("int")
+
+
+def _block(blocks: str, seed: int = 0) -> F.Column:
+    return F.pmod(F.xxhash64("node", F.lit(seed)), F.col(blocks)).cast("int")
+
+
+def _dealt(dense: DataFrame, most: int) -> DataFrame:
+    """The rows of large buckets (key, node, r, n), dealt to blocks. Each block gets all hubs of its bucket, too, ``HUBS`` at most."""
+    rows = dense.select("key", "node", "r", _blocks(F.col("n"), most).alias("a")).withColumn("own", _block("a"))
+    hubs = rows.groupBy("key", "a", F.pmod(F.xxhash64("node", F.lit(2)), F.lit(HUBS)).alias("slot")).agg(F.min(F.struct("node", "r", "own")).alias("hub"))
+    sent = hubs.select("key", "hub.*", F.explode(F.sequence(F.lit(0), F.col("a") - 1)).alias("at")).filter("at <> own")
+    dealt = rows.select("key", "node", "r", F.col("own").alias("at")).unionByName(sent.select("key", "node", "r", "at"))
+    return dealt.select(F.xxhash64("key", "at").alias("key"), "node", "r")
+
+
+def _outside(dense: DataFrame, found: DataFrame, most: int) -> DataFrame:
+    """Members of large buckets outside their bucket's largest component, dealt to blocks that meet all blocks of the bucket."""
+    parts = dense.join(found, "node", "left").select("key", "node", "r", "n", F.coalesce("component", "node").alias("part"))
+    counts = parts.groupBy("key", "part").agg(F.count("*").alias("c"))
+    main = counts.groupBy("key").agg(F.max(F.struct("c", "part")).alias("m")).select("key", "m.c", F.col("m.part").alias("main"))
+    rows = parts.join(main, "key").filter("n > c")
+    rows = rows.select("key", "node", "r", (F.col("part") != F.col("main")).alias("out"), _blocks(F.col("n"), most).alias("a"), _blocks(F.col("n") - F.col("c"), most).alias("b"))
+    rows = rows.withColumn("i", _block("a")).withColumn("j", _block("b", 1))
+    out = rows.filter("out").select("key", "node", "r", F.explode(F.sequence(F.lit(0), F.col("a") - 1)).alias("i"), "j")
+    # A member outside is in its own block of those outside already.
+    every = rows.select("key", "node", "r", "out", "i", F.col("j").alias("own"), F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("j")).filter("not out or j <> own")
+    both = out.unionByName(every.select("key", "node", "r", "i", "j"))
+    return both.select(F.xxhash64("key", "i", "j").alias("key"), "node", "r")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
@@ -367,12 +398,19 @@ def _sets_of(docs: DataFrame, marks: DataFrame, shingle: int) -> DataFrame:
     return docs.select(F.xxhash64("text").alias("mark"), "text").mapInArrow(made, "node long, hs binary").dropDuplicates(["node"])
 
 
+def _confirmed(groups: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(u, v) links within ``groups`` by the whole shingle sets, made anew from the texts of ``docs``."""
+    marks = stored(groups.select("node").distinct().join(classes, "node").select("mark"))
+    return confirmed_links(groups, _sets_of(docs, marks, shingle), similarity)
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, most: int = MOST_IN_BUCKET) -> DataFrame:
     """doc_id and component_id (the smallest doc_id reachable) of every row, linking texts whose shingle sets have ``similarity`` (Jaccard) or more.
 
     Candidates share a key and differ in as many bits of 256 as are expected at that
     similarity, and seven standard deviations more; a link is what the whole sets
-    confirm. Members of buckets larger than ``most`` are compared block against block.
+    confirm. Buckets larger than ``most`` are compared by hubs first; then members outside
+    a bucket's largest component meet all others.
     Null and empty texts are alike. Rows that repeat a doc_id each get a row, by their
     own text; an empty table gives none.
     """
@@ -404,10 +442,14 @@ def _similar(docs: DataFrame, shingle: int, similarity: float, most: int) -> Dat
     keyed = classes.select("node", "r", "size", F.explode(F.array_distinct("keys")).alias("key"))
     small, large = _sized(keyed, most)
     fitting, dense = _sized(_by_size(large, similarity), most)
-    groups = bucket_groups(small.select("key", "node", "r").unionByName(fitting.select("key", "node", "r")).unionByName(_blocked(dense, most)), linked, WORDS)
-    groups = stored(groups)
-    marks = stored(groups.select("node").distinct().join(classes, "node").select("mark"))
-    found = components(confirmed_links(groups, _sets_of(docs, marks, shingle), similarity))
+    dense = stored(dense)
+    bounded = small.select("key", "node", "r").unionByName(fitting.select("key", "node", "r"))
+    found = components(_confirmed(stored(bucket_groups(bounded.unionByName(_dealt(dense, most)), linked, WORDS)), classes, docs, shingle, similarity))
+    if not dense.isEmpty():
+        parts = stored(bucket_groups(_outside(dense, found, most), linked, WORDS))
+        several = parts.join(found, "node", "left").groupBy("g").agg(F.min(F.coalesce("component", "node")).alias("low"), F.max(F.coalesce("component", "node")).alias("high")).filter("low <> high")
+        parts = stored(parts.join(several, "g", "left_semi"))
+        found = components(_edges(found).unionByName(_confirmed(parts, classes, docs, shingle, similarity)))
     members = found.join(classes, "node").select("node", "component", "doc_id")
     least = members.groupBy("component").agg(F.min(F.struct("doc_id", "node")).alias("least"))
     joined = members.join(least, "component").select("node", F.col("least.doc_id").alias("least_id"), F.col("least.node").alias("least_node"))

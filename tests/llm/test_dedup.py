@@ -106,6 +106,32 @@ def test_no_link_is_lost_in_dense_buckets(spark):
         assert got == want
 
 
+def test_one_group_of_near_copies_is_no_more_work_than_its_size(spark):
+    """Hubs join a bucket of near copies, so that few rows are left to be compared with all; a chain that no hub reaches is joined, too."""
+    rng = np.random.default_rng(11)
+    prints = {int(rng.integers(2**63))}
+    centre = next(iter(prints))
+    while len(prints) < 1500:
+        prints.add(centre ^ (1 << int(rng.integers(64))) ^ (1 << int(rng.integers(64))))
+    chain = centre
+    for b in range(0, 12, 3):
+        chain ^= 0b111 << b
+        prints.add(chain)
+    by_id = dict(enumerate(sorted(prints)))
+    rows = [(1, i, int(np.uint64(x).view(np.int64)), len(by_id)) for i, x in by_id.items()]
+    dense = spark.createDataFrame(rows, "key long, node long, r long, n long")
+    anywhere = lambda a, b: np.bitwise_count(a ^ b) <= 3
+    dealt = simhash._dealt(dense, 256)
+    assert dealt.count() <= len(rows) * (1 + 2 * simhash.HUBS / 256) + simhash.HUBS
+    assert dealt.groupBy("key").count().agg({"count": "max"}).first()[0] <= 256 + simhash.HUBS
+    found = components(simhash.bucket_links(dealt, anywhere))
+    outside = simhash._outside(dense, found, 256)
+    assert outside.count() <= 3 * len(rows)
+    more = simhash.bucket_links(outside, anywhere) if outside.count() else outside.selectExpr("node u", "node v")
+    joined = components(simhash._edges(found).unionByName(more))
+    assert {r.component for r in joined.collect()} == {0} and joined.count() == len(rows)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 201), (5, 5)], "u long, v long")
     got = {r.node: r.component for r in components(edges).collect()}
