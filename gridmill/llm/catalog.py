@@ -1,6 +1,6 @@
 """The queries of the corpus operators and the SQL that some of them have."""
 
-from gridmill.llm import exact_dedup, language, packing, pieces, quality, rules, secrets, simhash, substrings, toxicity
+from gridmill.llm import decontaminate, exact_dedup, language, merkle, packing, pieces, quality, rules, secrets, simhash, substrings, toxicity, whitening
 
 QUERIES = {
     "op1_suffix_dedup": substrings.op1_suffix_dedup,
@@ -13,10 +13,15 @@ QUERIES = {
     "op8_rules": rules.op8_rules,
     "op9_language": language.op9_language,
     "op10_simhash": simhash.op10_simhash,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_merkle": merkle.op12_merkle,
+    "op13_decontamination": decontaminate.op13_decontamination,
 }
 
 ORACLES = {
     "op3_exact_dedup": exact_dedup.OP3_SQL,
     "op4_secrets": secrets.OP4_SQL,
     "op8_rules": rules.OP8_SQL,
+    "op12_merkle": merkle.OP12_SQL,
+    "op13_decontamination": decontaminate.OP13_SQL,
 }

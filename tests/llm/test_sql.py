@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = con.sql(catalog.ORACLES[name])
     df = catalog.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
