@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
-from gridmill.operators.dedupe import dedupe, upsert
+from gridmill.operators.dedupe import dedupe
 from gridmill.schema import MODEL
+from gridmill.sources.keyed import BUCKETS, KeyedTable
 
 LAYERS = ("bronze", "silver", "gold")
 ROWS_PER_FILE = 100_000
@@ -78,28 +79,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: str) -> int:
-    """The table with the new rows, the last of each key kept. A new version is written beside the old ones, never over what is being read; ``current`` names the newest. Returns the version."""
-    version = current_version(spark, path)
-    rows = new if version is None else upsert(spark.read.parquet(f"{path}/v{version}"), new, keys, order)
-    made = 0 if version is None else version + 1
-    dedupe(rows, keys, order, "last").write.option("compression", "zstd").parquet(f"{path}/v{made}")
-    spark.createDataFrame([(made,)], "version long").write.mode("append").json(f"{path}/current")
-    return made
-
-
-def current_version(spark: SparkSession, path: str) -> int | None:
-    try:
-        return spark.read.schema("version long").json(f"{path}/current").agg(F.max("version")).first()[0]
-    except AnalysisException:
-        return None
+def upsert_table(spark: SparkSession, path: str, new: DataFrame, keys: list[str], order: str, buckets: int = BUCKETS) -> int:
+    """Puts the new rows into the table, the last of each key kept; the columns must be the same. Only the hash buckets of the new rows' keys are read and rewritten. Returns the version."""
+    return KeyedTable(spark, path, keys, order, buckets=buckets).upsert(new)["version"]
 
 
 def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    version = current_version(spark, path)
-    if version is None:
-        raise ValueError("no such table")
-    return spark.read.parquet(f"{path}/v{version}")
+    """The table as it is now; one that was never written is an error."""
+    return KeyedTable.open(spark, path).read()
 
 
 def write_model(spark: SparkSession, path: str, row: dict) -> None:

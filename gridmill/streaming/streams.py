@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridmill.operators.dedupe import dedupe
+from gridmill.sources.keyed import KeyedTable
 
 
 def read_files(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -39,27 +39,26 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
-def upsert_to(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: str) -> StreamingQuery:
-    """Keeps the last row of each key. Every batch is written as a table of its own, named by the batch, so that one done twice changes nothing; ``read_upserts`` takes the last row over all."""
+def upsert_to(stream: DataFrame, table: KeyedTable, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Keeps the last row of each key in a keyed table, everything that is there now. Only the parts that a batch falls into are read and rewritten. The table's manifest holds the last batch of this checkpoint, so a batch that is run again after a failure changes nothing."""
 
     def write(batch: DataFrame, number: int) -> None:
-        dedupe(batch, keys, order, "last").write.mode("overwrite").parquet(f"{path}/batch={number}")
+        table.upsert(batch, checkpoint, number)
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_upserts(spark: SparkSession, path: str, keys: list[str], order: str) -> DataFrame:
-    return dedupe(spark.read.parquet(path).drop("batch"), keys, order, "last")
+def windows_table(spark: SparkSession, path: str, key: str, hour: str = "hour") -> KeyedTable:
+    """The table of an hourly aggregate, in parts of a day. A window's row count only grows, so the row with the greatest ``n`` is its newest."""
+    return KeyedTable(spark, path, [hour, key], "n", part=f"date_format(`{hour}`, 'yyyy-MM-dd')")
 
 
-def complete_to(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Runs an aggregated stream over all that is there. Every batch writes the complete result as a table of its own, named by the batch; the newest is given. Nothing passes through the driver."""
-    last: list[int] = []
+def windows_to(stream: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Merges an hourly aggregate into its table, everything that is there now.
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        last.append(number)
-
-    query = stream.writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/batch={max(last)}")
+    In update mode a batch gives the windows that it changed, and only their days are
+    rewritten. Windows that the watermark has passed leave the state, so the state holds
+    the windows of the lateness and of the newest rows, however long the stream runs;
+    rows that come later than that are dropped.
+    """
+    return upsert_to(stream, table, checkpoint, "update")
