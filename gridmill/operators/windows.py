@@ -33,11 +33,22 @@ def backfill_windows(spark: SparkSession, start: datetime, end: datetime, days:
 
 
 def assign_windows(rows: DataFrame, windows: DataFrame, ts: str) -> DataFrame:
-    """Every row with the window it falls into. Windows of one backfill have one width, so this is an equi-join on the window's number."""
-    bounds = windows.agg(F.min("window_start").alias("_from"), F.max("window_end").alias("_to"), F.min(F.when(F.col("window_no") == 0, F.unix_micros("window_end") - F.unix_micros("window_start"))).alias("_width"))
-    placed = rows.join(F.broadcast(bounds), in_window(F.col(ts), F.col("_from"), F.col("_to")))
-    number = F.floor((F.unix_micros(ts) - F.unix_micros("_from")) / F.col("_width")).cast("int")
-    return placed.withColumn("window_no", number).drop("_from", "_to", "_width").join(windows, "window_no")
+    """Every row with each window [window_start, window_end) it falls into, by an equi-join on bins; rows in no window are left out.
+
+    Windows may differ in width, overlap and leave gaps; an empty or null one holds no
+    row. A window's bins are as wide as the next power of two of its width (in
+    microseconds), so it meets two of them at most, and a row looks into one bin for
+    each such width that there is: 63 at most, whatever the windows.
+    """
+    bounds = windows.filter("window_start < window_end").withColumns({"_a": F.unix_micros("window_start"), "_b": F.unix_micros("window_end")})
+    # bin() gives the binary digits: as many as the least power of two that is no less has zeros.
+    bounds = bounds.withColumn("_level", F.when(F.col("_b") - F.col("_a") > 1, F.length(F.bin(F.col("_b") - F.col("_a") - 1))).otherwise(0))
+    levels = sorted(r[0] for r in bounds.select("_level").distinct().collect())
+    bins = lambda at, level: F.call_function("shiftright", at, level)  # noqa: E731  floor, for stamps before 1970, too
+    cut = bounds.withColumn("_bin", F.explode(F.array_distinct(F.array(bins(F.col("_a"), F.col("_level")), bins(F.col("_b") - 1, F.col("_level"))))))
+    placed = rows.withColumn("_at", F.unix_micros(ts)).filter("_at is not null")
+    placed = placed.withColumn("_level", F.explode(F.array(*[F.lit(k) for k in levels]).cast("array<int>"))).withColumn("_bin", bins(F.col("_at"), F.col("_level")))
+    return placed.join(cut, ["_level", "_bin"]).filter((F.col("_at") >= F.col("_a")) & (F.col("_at") < F.col("_b"))).drop("_at", "_level", "_bin", "_a", "_b")
 
 
 def backfill_summary(runs: DataFrame) -> DataFrame:

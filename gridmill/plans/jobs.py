@@ -8,7 +8,6 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from gridmill.operators import features as feats
 from gridmill.operators.datasets import load_dataset
@@ -17,6 +16,7 @@ from gridmill.operators.modelling import carried_features, forecast_rows, future
 from gridmill.operators.records import require_ids
 from gridmill.operators.windows import backfill_windows, in_window
 from gridmill.sources import tables
+from gridmill.sources.ingested import Store
 
 
 class Registry:
@@ -49,54 +49,32 @@ def ingest_window(landed: DataFrame, stored: DataFrame, time: str, start, end, k
     return new, counts
 
 
-def _stored(spark: SparkSession, table: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(table)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
-def _last_checkpoint(spark: SparkSession, checkpoint: str) -> datetime | None:
-    try:
-        return spark.read.schema("at timestamp").json(checkpoint).agg(F.max("at")).first()[0]
-    except AnalysisException:
-        return None
-
-
-def _move_checkpoint(spark: SparkSession, checkpoint: str, at: datetime) -> None:
-    spark.createDataFrame([(at,)], "at timestamp").write.mode("append").json(checkpoint)
-
-
-def run_incremental(spark: SparkSession, landed: DataFrame, table: str, checkpoint: str, time: str, lookback_days: int, end, key: str = "record_id") -> dict:
-    """One incremental run: window, append, and only then the new checkpoint. A second run over the same rows writes nothing."""
+def run_incremental(spark: SparkSession, landed: DataFrame, table: str, time: str, lookback_days: int, end: datetime, key: str = "record_id") -> dict:
+    """One incremental run: window, append, and the new checkpoint with the commit of the run. A second run over the same rows writes nothing; one that failed before its commit left nothing."""
     if lookback_days < 0:
         raise ValueError("lookback must not be negative")
-    last, stored = _last_checkpoint(spark, checkpoint), _stored(spark, table, landed.schema)
+    store = Store(spark, table, landed.schema, key)
     until = F.lit(end).cast("timestamp")
-    start = F.coalesce(F.lit(last).cast("timestamp"), until) - F.make_interval(days=F.lit(lookback_days))
-    new, counts = ingest_window(landed, stored, time, start, until, key)
-    row = counts.first()
-    new.write.mode("append").parquet(table)
-    _move_checkpoint(spark, checkpoint, end)
-    return row.asDict()
+    start = F.coalesce(F.lit(store.state().checkpoint).cast("timestamp"), until) - F.make_interval(days=F.lit(lookback_days))
+    return store.append(landed.filter(in_window(F.col(time), start, until)), time, end)
 
 
-def backfill_run(spark: SparkSession, landed: DataFrame, table: str, time: str, start: datetime, end: datetime, days: int, key: str = "record_id", checkpoint: str | None = None, ingest=None) -> dict:
-    """The windows of a backfill in order, one append each; the first that fails stops the run.
+def backfill_run(spark: SparkSession, landed: DataFrame, table: str, time: str, start: datetime, end: datetime, days: int, key: str = "record_id", resume: bool = True, ingest=None) -> dict:
+    """The windows of a backfill in order, one run each; the first that fails stops the backfill.
 
-    With a ``checkpoint`` folder, each window that succeeds moves it to its end, so a
-    second run over the same bounds goes on where the last one stopped. ``ingest``
-    stands in for the append of one window, (start, end) to its counts. The number of
-    windows is that of the bounds given, not of the data.
+    A window that succeeds moves the store's checkpoint to its end in the same commit, so
+    with ``resume`` a second backfill over the same bounds goes on where the last one
+    stopped. A window reads the landed rows that fall into it and the index of ids,
+    never the stored rows. ``ingest`` stands in for the append of one window, (start,
+    end) to its counts. The number of windows is that of the bounds given, not of the
+    data.
     """
+    store = Store(spark, table, landed.schema, key)
 
     def append(a: datetime, b: datetime) -> dict:
-        new, counts = ingest_window(landed, _stored(spark, table, landed.schema), time, F.lit(a).cast("timestamp"), F.lit(b).cast("timestamp"), key)
-        row = counts.first().asDict()
-        new.write.mode("append").parquet(table)
-        return row
+        return store.append(landed.filter(in_window(F.col(time), F.lit(a).cast("timestamp"), F.lit(b).cast("timestamp"))), time, b)
 
-    done = _last_checkpoint(spark, checkpoint) if checkpoint else None
+    done = store.state().checkpoint if resume else None
     results: list[dict] = []
     for row in backfill_windows(spark, start, end, days).orderBy("window_no").collect():
         if done is not None and row.window_end <= done:
@@ -108,8 +86,6 @@ def backfill_run(spark: SparkSession, landed: DataFrame, table: str, time: str,
             results.append(result | {"status": "failure", "error": str(error), "received": 0, "written": 0, "skipped": 0})
             break
         results.append(result | {"status": "success", "error": None} | counts)
-        if checkpoint:
-            _move_checkpoint(spark, checkpoint, row.window_end)
     good = [r for r in results if r["status"] == "success"]
     return {"status": "failure" if len(good) < len(results) else "success", "windows": results, "last_window_end": good[-1]["window_end"] if good else None, **{k: sum(r[k] for r in results) for k in ("received", "written", "skipped")}}
 

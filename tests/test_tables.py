@@ -16,6 +16,7 @@ from gridmill.plans import views as V
 from gridmill.plans.jobs import FEATURES, Registry, run_incremental
 from gridmill.schema import BRONZE, GKG_COLUMNS
 from gridmill.sources import raw, tables
+from gridmill.sources.ingested import Store
 
 
 def test_jsonl_bad_lines(spark, tmp_path):
@@ -127,11 +128,11 @@ def test_model_versions(spark, tmp_path):
 
 def test_incremental_run_twice(spark, tmp_path):
     landed = spark.createDataFrame([("1", datetime(2024, 1, 1)), ("1", datetime(2024, 1, 2)), ("2", datetime(2024, 1, 3)), ("3", datetime(2024, 2, 3))], "record_id string, published_at timestamp")
-    go = lambda end: run_incremental(spark, landed, f"{tmp_path}/t", f"{tmp_path}/c", "published_at", 5, end)
+    go = lambda end: run_incremental(spark, landed, f"{tmp_path}/t", "published_at", 5, end)
     assert go(datetime(2024, 1, 4)) == {"received": 3, "written": 2, "skipped": 1}
     assert go(datetime(2024, 1, 4)) == {"received": 3, "written": 0, "skipped": 3}
     assert go(datetime(2024, 3, 1))["written"] == 1
-    assert spark.read.parquet(f"{tmp_path}/t").count() == 3
+    assert sorted(r[0] for r in Store(spark, f"{tmp_path}/t", landed.schema).read().collect()) == ["1", "2", "3"]
 
 
 def test_registry_and_feature_job(spark):
@@ -246,20 +247,20 @@ def test_null_orders_and_ties(spark):
 
 def test_backfill_stops_and_goes_on(spark, tmp_path):
     landed = spark.createDataFrame([(str(i), datetime(2024, 1, 1 + i)) for i in range(9)], "record_id string, at timestamp")
-    table, checkpoint, seen = f"{tmp_path}/t", f"{tmp_path}/c", []
-    run = lambda ingest=None: jobs.backfill_run(spark, landed, table, "at", datetime(2024, 1, 1), datetime(2024, 1, 10), 3, checkpoint=checkpoint, ingest=ingest)
+    table, seen = f"{tmp_path}/t", []
+    run = lambda ingest=None: jobs.backfill_run(spark, landed, table, "at", datetime(2024, 1, 1), datetime(2024, 1, 10), 3, ingest=ingest)
 
     def second_fails(a, b):
         seen.append(a)
         if a == datetime(2024, 1, 4):
             raise RuntimeError("down")
-        return {"received": 3, "written": 3, "skipped": 0}
+        return Store(spark, table, landed.schema).append(landed.filter((F.col("at") >= a) & (F.col("at") < b)), "at", b)
 
     out = run(second_fails)
     assert out["status"] == "failure" and [w["status"] for w in out["windows"]] == ["success", "failure"] and len(seen) == 2 and out["last_window_end"] == datetime(2024, 1, 4)
     out = run()
     assert out["status"] == "success" and [w["window_no"] for w in out["windows"]] == [1, 2] and out["written"] == 6
-    assert run()["windows"] == [] and spark.read.parquet(table).count() == 6
+    assert run()["windows"] == [] and Store(spark, table, landed.schema).read().count() == 9
 
 
 def test_train_and_forecast_jobs(spark, tmp_path):
