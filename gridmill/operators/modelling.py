@@ -230,17 +230,39 @@ def future_rows(df: DataFrame, time: str, target: str, steps: int, step: str, ti
     return origin.select(*by, "origin", F.posexplode(future_grid(F.col("origin"), steps, step, timezone)).alias("at", time)).select(*by, "origin", time, (F.col("at") + 1).alias("horizon"))
 
 
+def last_known(history: DataFrame, asks: DataFrame, by: list[str], time: str, at: str, columns: list[str], grain: str = "day") -> DataFrame:
+    """The as-of join: every ask with the series' last value of each column, nulls passed over, at or before its time ``at``.
+
+    History and asks are put into one sequence, which is ordered within each series' day
+    (or another ``grain``); what was last known before a day comes from a table of one
+    row a series and day. So each history row and each ask moves once, however many asks
+    there are, and no task holds a series. Of values of one time the greatest by the
+    columns in turn is the last. Null series are series of their own; an ask without a
+    time knows nothing; asks that repeat are answered each.
+    """
+    kinds = dict(history.dtypes)
+    own = [F.col(c) for c in by]
+    asked = asks.select(*own, F.col(at).alias("_t")).distinct().filter("_t is not null")
+    past = history.filter(F.col(time).isNotNull()).select(*own, F.col(time).alias("_t"), F.lit(0).alias("_kind"), *columns)
+    rows = past.unionByName(asked.select("*", F.lit(1).alias("_kind"), *[F.lit(None).cast(kinds[c]).alias(c) for c in columns])).withColumn("_day", F.date_trunc(grain, "_t"))
+    so_far = Window.partitionBy(*by, "_day").orderBy("_t", "_kind", *columns).rowsBetween(Window.unboundedPreceding, 0)
+    within = rows.withColumns({f"_own_{c}": F.last(c, ignorenulls=True).over(so_far) for c in columns}).filter("_kind = 1")
+    days = rows.groupBy(*by, "_day").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("_t", *columns))).alias(c) for c in columns])
+    before = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = days.select(*[F.col(k).alias(f"_s_{k}") for k in [*by, "_day"]], *[F.last(c, ignorenulls=True).over(before).alias(f"_old_{c}") for c in columns])
+    met = within.join(carried, [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in [*by, "_day"]])
+    answers = met.select(*[F.col(k).alias(f"_a_{k}") for k in by], "_t", *[F.coalesce(f"_own_{c}", f"_old_{c}").alias(c) for c in columns])
+    on = [F.col(k).eqNullSafe(F.col(f"_a_{k}")) for k in by] + [F.col(at) == F.col("_t")]
+    return asks.join(answers, on, "left").select(*asks.columns, *columns)
+
+
 def carried_features(df: DataFrame, future: DataFrame, time: str, features: list[str], by: tuple[str, ...] = ()) -> DataFrame:
-    """Future rows with calendar features of their own time and the series' last known value of all others at or before the origin."""
+    """Future rows with calendar features of their own time and the series' last known value of all others at or before the origin. Any number of origins a series, by an as-of join."""
     calendar = {"hour", "day_of_week", "day_name", "day_type", "month", "is_weekend", "is_holiday"}
     carried = [f for f in features if f not in calendar]
-    origin = future.select(*by, "origin").distinct()
     out = add_holiday(add_calendar(future, time), time)
     if carried:
-        past = df.join(origin, list(by)) if by else df.join(F.broadcast(origin))
-        known = past.filter(F.col(time) <= F.col("origin"))
-        last = known.groupBy(*by, "origin").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(time))).alias(c) for c in carried])
-        out = out.join(last, [*by, "origin"], "left")
+        out = last_known(df, out, list(by), time, "origin", carried)
     return out.select(*by, "origin", time, "horizon", *features)
 
 

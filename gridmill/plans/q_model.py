@@ -171,6 +171,21 @@ def _(spark, sf):
     return M.carried_features(*_future(spark, sf), "observed_at", ["hour", "load_forecast", "net_generation"], _BY)
 
 
+# Every third hour of every region is an origin, and so is the half hour after it.
+_ASOF = "(SELECT * FROM (SELECT region, observed_at, {c} FROM wide WHERE {c} IS NOT NULL))"
+
+
+@query("asof_origins", f"""WITH {V.WIDE}, o AS (SELECT region, observed_at + h AS origin FROM wide, (VALUES (INTERVAL 0 MINUTE), (INTERVAL 30 MINUTE)) t(h) WHERE extract(hour FROM observed_at) % 3 = 0),
+a AS (SELECT o.region, o.origin, w.load_forecast FROM o ASOF LEFT JOIN {_ASOF.format(c='load_forecast')} w ON o.region = w.region AND o.origin >= w.observed_at),
+b AS (SELECT o.region, o.origin, w.total_interchange FROM o ASOF LEFT JOIN {_ASOF.format(c='total_interchange')} w ON o.region = w.region AND o.origin >= w.observed_at)
+SELECT region, origin, load_forecast, total_interchange FROM a JOIN b USING (region, origin)""")
+def _(spark, sf):
+    series = _wide(spark, sf)
+    half = F.expr("interval 30 minutes")
+    origins = series.filter(F.hour("observed_at") % 3 == 0).select("region", F.explode(F.array("observed_at", F.col("observed_at") + half)).alias("origin"))
+    return M.last_known(series, origins, ["region"], "observed_at", "origin", ["load_forecast", "total_interchange"])
+
+
 @query("future_features_known", f"""WITH {_FUTURE}, p AS (SELECT region, origin - INTERVAL 24 HOUR AS origin, observed_at - INTERVAL 24 HOUR AS observed_at, horizon FROM fut) SELECT region, origin, observed_at, horizon, load_forecast FROM p LEFT JOIN wide USING (region, observed_at)""")
 def _(spark, sf):
     series, future = _future(spark, sf)
