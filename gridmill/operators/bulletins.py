@@ -28,10 +28,12 @@ LOAD_ZONES = {
     "BMX": 10, "MOB": 10,
 }
 
+# Fixed words of a stamp, in any case, and of the lines that stand before a product's stamp.
 MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
 WEEKDAYS = "Mon Tue Wed Thu Fri Sat Sun".split()
+HALVES = ("AM", "PM")
+OFFICE_LINE, ISSUER_LINE, ISSUED = "national weather service", "issued by national weather service", "issued at "
 
-STAMP = r"(?:Issued at\s+)?\d{1,4}\s+(?:(?:AM|PM)\s+)?[A-Z]{3}\s+[A-Za-z]{2,3}\s+[A-Za-z]{3}\s+\d{1,2}\s+\d{4}"
 MARK = "\x01"
 
 #: Before a line that starts or ends a section: a dot and a capital or digit, ``&&``, ``$$``.
@@ -59,27 +61,71 @@ def parse_header(c: Column) -> Column:
     return F.struct(*[value.alias(name) for name, value in fields.items()], line.alias("wmo_header"))
 
 
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _listed(c: Column, words) -> Column:
+    """The place of a word, in any case, in a list; 0 where it is not there."""
+    return F.array_position(F.array(*[F.lit(w.upper()) for w in words]), F.upper(c)).cast("int")
+
+
+def _tokens(line: Column) -> Column:
+    """The words of a stamp, without the ``Issued at`` before them."""
+    return F.split(F.rtrim(F.regexp_replace(line, rf"(?i)^{ISSUED.strip()}\s+", ""), F.lit(" \t")), r"\s+")
+
+
+def is_stamp_line(line: Column) -> Column:
+    """Whether a line is an issuance time: up to four digits of the clock, AM or PM, a zone, a weekday, a month, a day and a year, in any case, nothing before or after them."""
+    digits = lambda c, least, most: c.rlike(f"^[0-9]{{{least},{most}}}$")
+
+    def holds(t: Column) -> Column:
+        at = lambda i: F.get(t, F.lit(i))
+        return F.coalesce((F.size(t) == 7) & digits(at(0), 1, 4) & (_listed(at(1), HALVES) > 0) & at(2).rlike("^[A-Za-z]{2,5}$") & (_listed(at(3), WEEKDAYS) > 0) & (_listed(at(4), MONTHS) > 0) & digits(at(5), 1, 2) & digits(at(6), 4, 4), F.lit(False))
+
+    # Most lines are told by their first character.
+    return F.when(line.rlike("^[0-9Ii]"), _let(_tokens(line), holds)).otherwise(False)
+
+
 def issued_text(c: Column) -> Column:
-    """The first line that is an issuance time; null where there is none."""
-    return F.nullif(F.trim(F.regexp_extract(unix_newlines(c), rf"(?m)^\s*({STAMP})\s*$", 1)), F.lit(""))
+    """The stamp on the line below the office's line (and the line of who issued it for the office, if there is one); null where there is none. A time elsewhere in the text is not the product's."""
+
+    def stamp_after(lines: Column) -> Column:
+        at = lambda i: F.coalesce(F.get(lines, i), F.lit(""))
+        below = lambda i: F.when(F.lower(at(i + 1)).startswith(ISSUER_LINE), at(i + 2)).otherwise(at(i + 1))
+        below_office = F.transform(lines, lambda line, i: F.when(F.lower(line).startswith(OFFICE_LINE), below(i)))
+        return F.get(F.filter(below_office, lambda line: F.coalesce(is_stamp_line(line), F.lit(False))), F.lit(0))
+
+    return F.trim(_let(F.split(unix_newlines(c), "\n"), stamp_after))
 
 
 def local_text_to_utc(c: Column) -> Column:
-    """The UTC time of ``hmm AM/PM TZ Dow Mon d yyyy`` or ``HHMM TZ Dow Mon d yyyy``; what is no such time is null.
+    """The UTC time of ``hmm AM/PM TZ Dow Mon d yyyy`` or ``HHMM TZ Dow Mon d yyyy``, words in any case; what is no such time is null.
 
     The weekday must be one, whole or short of its last letter, but is not held against the date.
     """
-    pattern = r"^(?:Issued at\s+)?(\d{1,4})\s+(?:(AM|PM)\s+)?([A-Z]{3})\s+([A-Za-z]{2,3})\s+([A-Za-z]{3})\s+(\d{1,2})\s+(\d{4})$"
-    part = lambda i: F.regexp_extract(F.trim(c), pattern, i)
-    clock = F.lpad(part(1), 4, "0")
-    hour, minute, half = F.substring(clock, 1, 2).try_cast("int"), F.substring(clock, 3, 2).try_cast("int"), part(2)
-    day_ok = F.exists(F.array(*[F.lit(d) for d in WEEKDAYS]), lambda d: d.startswith(part(4)))
-    hour24 = F.when(half == "", F.when(hour <= 23, hour)).when((hour >= 1) & (hour <= 12), hour % 12 + F.when(half == "PM", 12).otherwise(0))
-    month = F.nullif(F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.initcap(part(5))).cast("int"), F.lit(0))
-    text = F.format_string("%04d-%02d-%02d %02d:%02d:00", part(7).try_cast("int"), month, part(6).try_cast("int"), hour24, minute)
-    local = F.when(month.isNotNull() & hour24.isNotNull() & (minute <= 59) & day_ok, F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")))
-    zone = F.get(F.transform(F.array(part(3)), lambda z: literal_map(ZONES)[z]), F.lit(0))
-    return F.when(local.isNotNull() & zone.isNotNull(), F.to_utc_timestamp(local, F.coalesce(zone, F.lit("UTC"))))
+
+    def read(t: Column) -> Column:
+        half = F.coalesce(_listed(F.get(t, F.lit(1)), HALVES), F.lit(0))
+        at = lambda i: F.coalesce(F.get(t, F.when(half > 0, i + 1).otherwise(i)), F.lit(""))
+        clock = F.lpad(F.get(t, F.lit(0)), 4, "0")
+        hour, minute = F.substring(clock, 1, 2).cast("int"), F.substring(clock, 3, 2).cast("int")
+        hour24 = F.when(half == 0, F.when(hour <= 23, hour)).when((hour >= 1) & (hour <= 12), hour % 12 + F.when(half == 2, 12).otherwise(0))
+        month = F.nullif(_listed(at(3), MONTHS), F.lit(0))
+        weekday = F.greatest(_listed(at(2), WEEKDAYS), _listed(at(2), [d[:2] for d in WEEKDAYS]))
+        zone = literal_map(ZONES)[F.upper(at(1))]
+        text = F.format_string("%04d-%02d-%02d %02d:%02d:00", at(5).cast("int"), month, at(4).cast("int"), hour24, minute)
+        good = month.isNotNull() & hour24.isNotNull() & (minute <= 59) & (weekday > 0) & zone.isNotNull()
+        return F.when(good, F.to_utc_timestamp(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")), F.coalesce(zone, F.lit("UTC"))))
+
+    def whole(t: Column) -> Column:
+        half = F.coalesce(_listed(F.get(t, F.lit(1)), HALVES), F.lit(0)) > 0
+        n = F.size(t)
+        shape = (n == F.when(half, 7).otherwise(6)) & F.get(t, F.lit(0)).rlike("^[0-9]{1,4}$") & F.get(t, n - 2).rlike("^[0-9]{1,2}$") & F.get(t, n - 1).rlike("^[0-9]{4}$")
+        return F.when(F.coalesce(shape, F.lit(False)), read(t))
+
+    return _let(_tokens(F.trim(c)), whole)
 
 
 def section_name(c: Column) -> Column:
@@ -105,8 +151,10 @@ def parse_sections(df: DataFrame, key: str, text: str) -> DataFrame:
     pieces = df.select(key, F.posexplode(F.split(unix_newlines(F.col(text)), SECTION_EDGE)).alias("at", "piece"))
     headed = pieces.filter(F.col("piece").startswith(".")).withColumn("head", section_head(F.col("piece"))).filter("head.size > 0")
     rows = headed.withColumn("content", F.substring(F.col("piece"), F.col("head.size") + 1, F.length("piece")))
-    stamp = F.nullif(F.trim(F.regexp_extract("content", rf"(?m)^\s*({STAMP})\s*$", 1)), F.lit(""))
-    content = F.regexp_replace(F.regexp_replace("content", rf"(?m)^\s*{STAMP}\s*$", ""), r"\n{3,}", "\n\n")
+    lines = F.split("content", "\n")
+    issued = lambda line: F.lower(line).startswith(ISSUED) & is_stamp_line(line)
+    stamp = F.trim(F.get(F.filter(lines, issued), F.lit(0)))
+    content = F.regexp_replace(F.array_join(F.transform(lines, lambda line: F.when(issued(line), "").otherwise(line)), "\n"), r"\n{3,}", "\n\n")
     made = rows.select(key, "at", section_name(F.col("head.name")).alias("section"), blank_to_null(F.regexp_replace("head.detail", r"\s+", " ")).alias("detail"), F.trim(content, F.lit(" \t\r\n")).alias("section_text"), stamp.alias("issued_at_text"), local_text_to_utc(stamp).alias("published_at"))
     last = made.groupBy(key, "section").agg(F.max_by(F.struct("detail", "section_text", "issued_at_text", "published_at"), "at").alias("r"))
     return last.select(key, "section", "r.*")

@@ -72,12 +72,13 @@ def _(spark, sf):
     return R.alerts(landed).select("record_id", "title", "text", "published_at", "url", "region", F.array_join("categories", "|").alias("categories"), m("query_area"), m("event"), m("sender_name"), m("affected_zones"), m("effective_at"), F.size("metadata").alias("n_keys"))
 
 
-# Documents as bulletins: two products a response, one of them without a readable time; bodies are the texts' plain words.
+# Documents as bulletins: two products a response, one of them with a time in its body alone; bodies are the texts' plain words. Stamps come in mixed, lower and upper case.
 _OFFICES = ("IND", "MPX", "JAN", "LOT")
 _BULLETINS = f"""b AS (SELECT doc_id, {list(_OFFICES)}[1 + doc_id % 4] AS office, [6, 1, 9, NULL][1 + doc_id % 4] AS lrz, 1 + doc_id % 12 AS hh, CAST(doc_id % 60 AS INTEGER) AS mm, doc_id % 2 = 0 AS am,
  trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z]', ' ', 'g'), ' +', ' ', 'g')) AS body FROM documents),
-c AS (SELECT *, hh || printf('%02d', mm) || CASE WHEN am THEN ' AM' ELSE ' PM' END || ' EDT Mon Jul 8 2024' AS stamp,
- TIMESTAMP '2024-07-08 04:00:00' + to_hours(CAST(hh % 12 + CASE WHEN am THEN 0 ELSE 12 END AS INTEGER)) + to_minutes(mm) AS published_at FROM b)"""
+s AS (SELECT *, hh || printf('%02d', mm) || CASE WHEN am THEN ' AM' ELSE ' PM' END || ' EDT Mon Jul 8 2024' AS mixed FROM b),
+c AS (SELECT *, CASE doc_id % 3 WHEN 0 THEN mixed WHEN 1 THEN lower(mixed) ELSE upper(mixed) END AS stamp,
+ TIMESTAMP '2024-07-08 04:00:00' + to_hours(CAST(hh % 12 + CASE WHEN am THEN 0 ELSE 12 END AS INTEGER)) + to_minutes(mm) AS published_at FROM s)"""
 
 
 def _bulletins(spark, sf):
@@ -85,9 +86,11 @@ def _bulletins(spark, sf):
     office = F.get(F.array(*[F.lit(o) for o in _OFFICES]), (k % 4).cast("int"))
     body = F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]", " "), " +", " "))
     stamp = F.concat((k % 12 + 1).cast("string"), F.format_string("%02d", k % 60), F.when(k % 2 == 0, " AM").otherwise(" PM"), F.lit(" EDT Mon Jul 8 2024"))
+    stamp = F.when(k % 3 == 0, stamp).when(k % 3 == 1, F.lower(stamp)).otherwise(F.upper(stamp))
+    office_lines = F.when(k % 5 == 0, "1100 PM EDT Sun Jul 7 2024\nNATIONAL WEATHER SERVICE A\nIssued by National Weather Service B\n").otherwise("National Weather Service A\n")
     head = F.concat(F.lit("000 \r\nFXUS63 K"), office, F.lit(" 081900\r\nAFD"), office, F.lit("\r\n\r\n"))
     sections = F.concat(F.lit("\n\n.SHORT TERM (To \n night)...\nIssued at "), stamp, F.lit("\n\nfirst\n\n\n\n.LONG TERM /A/...\n"), body, F.lit("\n&&\nnot this\n.lower case...\nnor this\n.SHORT TERM...\n"), body, F.lit(" second\n$$\n"))
-    response = F.concat(F.lit("before the first heading\n"), head, stamp, sections, head, F.lit("no time at all\n"))
+    response = F.concat(F.lit("before the first heading\n"), head, office_lines, stamp, sections, head, F.lit("1000 AM EDT Mon Jul 8 2024\nNational Weather Service A\n\n1000 AM EDT Mon Jul 8 2024\n"))
     return V.table(spark, sf, "documents").select("doc_id", F.concat(F.lit("AFD"), office).alias("pil"), response.alias("response"))
 
 

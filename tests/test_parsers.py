@@ -25,11 +25,24 @@ def one(spark, value, f, kind="string"):
 @pytest.mark.parametrize(("text", "want"), [
     ("300 PM EDT Mon Jul 8 2024", datetime(2024, 7, 8, 19)), ("1200 AM CST Tue Jan 2 2024", datetime(2024, 1, 2, 6)), ("1200 PM EST Wed Jan 3 2024", datetime(2024, 1, 3, 17)),
     ("Issued at 1005 AM MDT Th Jul 4 2024", datetime(2024, 7, 4, 16, 5)), ("1530 PST Fri Mar 1 2024", datetime(2024, 3, 1, 23, 30)), ("500 PM XYZ Mon Jul 8 2024", None), ("Issued by nobody", None), ("2561 PM EDT Mon Jul 8 2024", None), ("500 PM EDT Mon Jul 48 2024", None), (None, None),
+    ("930 am EDT Mon Jul 8 2024", datetime(2024, 7, 8, 13, 30)), ("930 AM EDT MON JUL 8 2024", datetime(2024, 7, 8, 13, 30)), ("issued AT 238 pm est thu jan 9 2025", datetime(2025, 1, 9, 19, 38)), ("1259 PM cdt Tue Jun 2 2026", datetime(2026, 6, 2, 17, 59)),
+    ("238 PM EDT Thu NotAMonth 9 2026", None), ("238 PM EDT Thu Jul 32 2026", None), ("238 PM EDT Thu Jul 9", None), ("2500 PM EDT Thu Jul 9 2026", None), ("238 PM EDT Xxx Jul 9 2026", None), ("238 PM EDT Thu Jul 9 2026 more", None), ("", None), ("12345 PM EDT Thu Jul 9 2026", None),
 ])
 def test_bulletin_times(spark, text, want):
     assert one(spark, text, B.local_text_to_utc) == want
 
 
+@pytest.mark.parametrize(("text", "want"), [
+    ("National Weather Service Indianapolis IN\n238 PM EDT Thu Jul 9 2026", "238 PM EDT Thu Jul 9 2026"),
+    ("NATIONAL WEATHER SERVICE X\r\nISSUED BY NATIONAL WEATHER SERVICE Y\r\n300 am cst sun dec 8 2024  \r\n", "300 am cst sun dec 8 2024"),
+    ("quoted\n100 AM EDT Mon Jul 8 2024\n\nNational Weather Service A\n930 PM AKDT Mon Jul 8 2024\n", "930 PM AKDT Mon Jul 8 2024"),
+    ("National Weather Service A\n\n100 AM EDT Mon Jul 8 2024", None), ("100 AM EDT Mon Jul 8 2024", None), ("National Weather Service A\n100 AM EDT Mon Jul 8 2024 (late)", None), ("National Weather Service A\nno time\nIssued at 100 AM EDT Mon Jul 8 2024", None),
+    ("National Weather Service A\nnone\nNational Weather Service B\nIssued at 100 AM EDT Mon Jul 8 2024", "Issued at 100 AM EDT Mon Jul 8 2024"), ("National Weather Service A\n1530 EDT Mon Jul 8 2024", None), ("", None), (None, None),
+])
+def test_the_stamp_below_the_office(spark, text, want):
+    assert one(spark, text, B.issued_text) == want
+
+
 def test_bulletins_from_response_to_record(spark):
     response = "noise before\n" + AFD + AFD.replace("IND", "LOT").replace("081900", "082000") + AFD.replace("300 PM EDT Mon Jul 8 2024", "no time")
     landed = spark.createDataFrame([("AFDIND", response), ("AFDXXX", "  "), ("AFDYYY", "ERROR: none")], "pil string, response string")
