@@ -13,6 +13,11 @@ UNITS = {"megawatthours": "MWh", "megawatt hours": "MWh", "mwh": "MWh", "megawat
 MEASURES = {"D": "actual_load", "DF": "load_forecast", "NG": "net_generation", "TI": "total_interchange"}
 
 
+def let(value: Column, then) -> Column:
+    """``then`` of a value that is computed once, where a column named in several places would be computed in each."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def literal_map(values: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 

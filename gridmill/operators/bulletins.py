@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmill.functions.scalars import blank_to_null, literal_map, stable_hash
+from gridmill.functions.scalars import blank_to_null, let, literal_map, stable_hash
 
 # Fixed fields of a bulletin's heading, in order: sequence number, data designator, station, day and time, product key.
 HEADING = {"raw_id": r"\d{3}", "wmo": r"[A-Z]{4}\d{2}", "office": r"[A-Z]{4}", "issued_code": r"\d{6}", "pil": r"[A-Z]{6}"}
@@ -61,11 +61,6 @@ def parse_header(c: Column) -> Column:
     return F.struct(*[value.alias(name) for name, value in fields.items()], line.alias("wmo_header"))
 
 
-def _let(value: Column, then) -> Column:
-    """``then`` of a value that is computed once."""
-    return F.element_at(F.transform(F.array(value), then), 1)
-
-
 def _listed(c: Column, words) -> Column:
     """The place of a word, in any case, in a list; 0 where it is not there."""
     return F.array_position(F.array(*[F.lit(w.upper()) for w in words]), F.upper(c)).cast("int")
@@ -85,7 +80,7 @@ def is_stamp_line(line: Column) -> Column:
         return F.coalesce((F.size(t) == 7) & digits(at(0), 1, 4) & (_listed(at(1), HALVES) > 0) & at(2).rlike("^[A-Za-z]{2,5}$") & (_listed(at(3), WEEKDAYS) > 0) & (_listed(at(4), MONTHS) > 0) & digits(at(5), 1, 2) & digits(at(6), 4, 4), F.lit(False))
 
     # Most lines are told by their first character.
-    return F.when(line.rlike("^[0-9Ii]"), _let(_tokens(line), holds)).otherwise(False)
+    return F.when(line.rlike("^[0-9Ii]"), let(_tokens(line), holds)).otherwise(False)
 
 
 def issued_text(c: Column) -> Column:
@@ -97,7 +92,7 @@ def issued_text(c: Column) -> Column:
         below_office = F.transform(lines, lambda line, i: F.when(F.lower(line).startswith(OFFICE_LINE), below(i)))
         return F.get(F.filter(below_office, lambda line: F.coalesce(is_stamp_line(line), F.lit(False))), F.lit(0))
 
-    return F.trim(_let(F.split(unix_newlines(c), "\n"), stamp_after))
+    return F.trim(let(F.split(unix_newlines(c), "\n"), stamp_after))
 
 
 def local_text_to_utc(c: Column) -> Column:
@@ -125,7 +120,7 @@ def local_text_to_utc(c: Column) -> Column:
         shape = (n == F.when(half, 7).otherwise(6)) & F.get(t, F.lit(0)).rlike("^[0-9]{1,4}$") & F.get(t, n - 2).rlike("^[0-9]{1,2}$") & F.get(t, n - 1).rlike("^[0-9]{4}$")
         return F.when(F.coalesce(shape, F.lit(False)), read(t))
 
-    return _let(_tokens(F.trim(c)), whole)
+    return let(_tokens(F.trim(c)), whole)
 
 
 def section_name(c: Column) -> Column:

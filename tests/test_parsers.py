@@ -3,6 +3,8 @@
 import hashlib
 import html
 import json
+import re
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -96,6 +98,42 @@ def test_articles_pages(spark):
     assert one(spark, "not a page", C.extract_article).status == "parse_failed" and one(spark, None, C.extract_article).status == "parse_failed"
 
 
+ENTITIES = ["a &amp; b", "&amp;lt;", "&lt;b&gt; &quot;x&#39;", "AT&T & co", "&eacute;t&eacute &notit; &notin;", "&#65;&#x42;&#0;&#128;&#xD800;&#1114112;&#99999999999999999999; &#x1F600; &#1;&#11;&#xFFFF;", "&#; &#x; &;", "no reference", "", "&unknown; &ampx &copyright &AMP", "&#0065 &#x00041", "a=1&b=2&lang=en", "&&amp;&", "&" * 50, None, "&CounterClockwiseContourIntegral; &fjlig;", "&#8364;&nbsp;&hellip;"]
+
+
+def test_entities_as_the_standard_library_decodes_them(spark):
+    rows = spark.createDataFrame(list(enumerate(ENTITIES)), "i int, t string").select("i", T.decode_entities(F.col("t")).alias("r")).collect()
+    assert {r.i: r.r for r in rows} == {i: t if t is None else html.unescape(t) for i, t in enumerate(ENTITIES)}
+
+
+def words_of(text):
+    return Counter(re.findall(r"\S+", text))
+
+
+@pytest.mark.parametrize("template", ["<div>{0}</div>", "{0}", "<table><tr><td>{0}</td></tr></table>"])
+def test_pages_without_an_article_lose_their_boilerplate(spark, template):
+    """Menus, advertisements and footers as plain blocks around the text: most of the text is kept and most of the rest is not."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "html").collect()
+    pages, wanted, planted = [], {}, {}
+    for r in rows:
+        article = re.search("(?s)<article>(.*)</article>", r.html)[1]
+        menu = "<div><ul>" + "".join(f'<li><a href="/m{i}">menu{i} entry{i}</a></li>' for i in range(8)) + "</ul></div>"
+        more = "<p>" + " | ".join(f'<a href="/r{i}">related{i} story{i} of{i} today{i}</a>' for i in range(6)) + "</p><div>copyright notice</div><div>imprint</div>"
+        pages.append((r.page_id, f"<html><head><title>t</title></head><body>{menu}{template.format(article)}{more}</body></html>"))
+        wanted[r.page_id] = words_of(html.unescape(re.sub("<[^>]*>", " ", article)))
+        planted[r.page_id] = words_of(re.sub("<[^>]*>", " ", menu + " " + more))
+    got = {r.page_id: words_of(r.a.text) for r in spark.createDataFrame(pages, "page_id long, html string").select("page_id", C.article_text(F.col("html")).alias("a")).collect()}
+    kept = sum((got[k] & wanted[k]).total() for k in got)
+    assert kept / sum(w.total() for w in wanted.values()) >= 0.95
+    assert kept / sum(g.total() for g in got.values()) >= 0.98
+    assert sum((got[k] & planted[k]).total() for k in got) <= 0.1 * sum(p.total() for p in planted.values())
+
+
+def test_a_page_of_short_blocks_keeps_its_body(spark):
+    page = one(spark, "<html><body><div>one</div><div>two &amp; three</div><!-- no --></body></html>", C.article_text)
+    assert (page.title, page.text, page.status) == ("", "one two & three", "success")
+
+
 def test_merged_metadata(spark):
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     df = spark.createDataFrame([({"a": "1", "b": "1"}, {"b": "2"}), (None, None)], "x map<string,string>, y map<string,string>")
