@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 
@@ -37,33 +38,48 @@ def duplicate_members(df: DataFrame, *keys: str) -> DataFrame:
     return df.join(df.groupBy(*keys).agg(F.count("*").alias("group_size")).filter("group_size > 1"), list(keys))
 
 
+#: Relative rank error of the first look at a quantile, and rows of a group up to which all its values are looked at.
+RANKS, SMALL = 10_000, 20_000
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
 def describe(df: DataFrame, column: str, *by: str) -> DataFrame:
     """Count, mean, deviation, range and exact quartiles, per group if any.
 
-    Quartiles are read off the counts of distinct values, summed up in order, so no
-    task holds more than a sort buffer of a group. Values are interpolated between ranks.
+    Quartiles are selected, not sorted for: one aggregation gives, beside the other
+    figures, two values that a quartile's ranks are sure to lie between (a sketch whose
+    rank error is bounded); of the counts of distinct values only those between are put
+    in order, a few in ten thousand of a large group, and those below are added up.
+    Values are interpolated between ranks. Nulls are not counted; NaN is the greatest.
     """
-    c = F.col(column)
-    groups = [F.col(f"`{g}`") for g in by]
-    whole = df.groupBy(*by).agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
-    counts = df.filter(c.isNotNull()).groupBy(*by, c.cast("double").alias("_v")).agg(F.count("*").alias("_k"))
-    one = [F.lit(0).alias("_all")] if not by else []
-    w = Window.partitionBy(*(groups or [F.col("_all")])).orderBy("_v")
-    ranked = counts.select("*", *one).withColumn("_to", F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    on = [F.col(f"r.`{g}`").eqNullSafe(F.col(f"w.`{g}`")) for g in by]
-    sized = whole.select(*groups, F.col("n").alias("_n")).alias("w")
-    placed = ranked.alias("r").join(F.broadcast(sized) if not by else sized, on or None).select("r.*", "w._n")
-    shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    c, value = F.col(column), F.col(column).cast("double")
+    ends = [p for s in QUARTILES.values() for p in (s - 2 / RANKS, s + 2 / RANKS)]
+    keys = [F.col(f"`{g}`").alias(f"_g{i}") for i, g in enumerate(by)] or [F.lit(0).alias("_g0")]
+    names = [f"_g{i}" for i in range(max(1, len(by)))]
+    keyed = df.select(*keys, c.alias("_c"), value.alias("_v"))
+    stats = keyed.groupBy(*names).agg(F.count("_c").alias("n"), F.avg("_c").alias("mean"), F.stddev_samp("_c").alias("std"), F.min("_c").alias("min"), F.max("_c").alias("max"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.percentile_approx("_v", ends, RANKS).alias("_ends"))
+    counts = keyed.filter("_v is not null").groupBy(*names, "_v").agg(F.count("*").alias("_k"))
+    bounds = [F.struct(F.when(F.col("n") <= SMALL, F.col("_low")).otherwise(F.get("_ends", F.lit(2 * q))).alias("low"), F.when(F.col("n") <= SMALL, F.col("_high")).otherwise(F.get("_ends", F.lit(2 * q + 1))).alias("high")) for q in range(len(QUARTILES))]
+    brackets = stats.select(*[F.col(k).alias(f"_s{k}") for k in names], F.col("n").alias("_n"), F.array(*bounds).alias("_b"))
+    same = lambda left, right: functools.reduce(lambda x, y: x & y, [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in names])
+    met = counts.join(brackets, same("", "_s"))
+    # A value below a quartile's bracket only adds to the sum; one within is kept with its count.
+    which = F.array_compact(F.array(*[F.when(F.col("_v") <= F.col("_b")[q]["high"], F.struct(F.lit(q).alias("q"), (F.col("_v") >= F.col("_b")[q]["low"]).alias("within"))) for q in range(len(QUARTILES))]))
+    parts = met.select(*names, "_v", "_k", "_n", F.explode(which).alias("_q")).select(*names, "_n", F.col("_q.q").alias("_q"), F.when(F.col("_q.within"), F.col("_v")).alias("_v"), F.col("_q.within").alias("_in"), "_k")
+    summed = parts.groupBy(*names, "_n", "_q", "_in", "_v").agg(F.sum("_k").alias("_k"))
+    # The one row of what is below comes first (false before true).
+    upto = F.sum("_k").over(Window.partitionBy(*names, "_q").orderBy("_in", "_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = summed.withColumn("_to", upto).filter("_in")
     made = []
-    for name, share in shares.items():
+    for q, (name, share) in enumerate(QUARTILES.items()):
         rank = (F.col("_n") - 1) * share
-        at = lambda k: F.max(F.when((F.col("_to") > k) & (F.col("_to") - F.col("_k") <= k), F.col("_v")))
-        low, high = at(F.floor(rank)), at(F.ceil(rank))
-        made.append((low + (high - low) * F.max(rank - F.floor(rank))).alias(name))
-    quartiles = placed.groupBy(*[F.col(f"`{g}`") for g in by]).agg(*made)
-    on = [F.col(f"a.`{g}`").eqNullSafe(F.col(f"q.`{g}`")) for g in by]
-    both = whole.alias("a").join(quartiles.alias("q"), on or F.lit(True), "left")
-    return both.select(*[f"a.`{g}`" for g in by], "n", "mean", "std", "min", "p25", "p50", "p75", "max")
+        at = lambda k, q=q: F.max(F.when((F.col("_q") == q) & (F.col("_to") > k) & (F.col("_to") - F.col("_k") <= k), F.col("_v")))
+        low, high, part = at(F.floor(rank)), at(F.ceil(rank)), F.max(rank - F.floor(rank))
+        # A rank of its own is the value itself: nothing times an infinite gap would not be.
+        made.append(F.when(low == high, low).otherwise(low + (high - low) * part).alias(name))
+    quartiles = placed.groupBy(*names).agg(*made).select(*[F.col(k).alias(f"_r{k}") for k in names], *QUARTILES)
+    out = stats.join(quartiles, same("", "_r"), "left")
+    return out.select(*[F.col(f"_g{i}").alias(g) for i, g in enumerate(by)], "n", "mean", "std", "min", *QUARTILES, "max")
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:

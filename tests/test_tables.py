@@ -360,3 +360,21 @@ def test_samples_and_hashed_vectors(spark):
     rows = {r.k: np.array(r.embedding) for r in vectors.hashing_vectors(texts, "t", 32).collect()}
     assert np.allclose(rows[1], rows[2]) and np.isclose(np.linalg.norm(rows[1]), 1) and not rows[3].any() and not rows[4].any() and np.isclose(rows[5].max(), 1)
     assert sorted(rows[1][rows[1] > 0].round(6).tolist()) in ([round(5**-0.5, 6), round(2 * 5**-0.5, 6)], [1.0])
+
+
+def test_quartiles_are_selected_from_what_lies_between(spark, monkeypatch):
+    """Groups larger than the limit, with ties, one value, extremes and infinities, against numpy; no window holds a group."""
+    monkeypatch.setattr(explore, "SMALL", 50)
+    monkeypatch.setattr(explore, "RANKS", 40)
+    rng = np.random.default_rng(7)
+    groups = {"even": rng.normal(size=5001), "ties": rng.integers(0, 3, 4000).astype(float), "one": np.full(800, 2.5), "wide": 10.0 ** rng.uniform(-300, 300, 3000), "small": rng.normal(size=7), "ends": np.concatenate([rng.normal(size=300), [np.inf, -np.inf]])}
+    rows = [(g, float(x)) for g, v in groups.items() for x in v] + [("even", None), (None, 1.0), (None, 4.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    got = {r.g: r for r in explore.describe(df, "v", "g").collect()}
+    for g, v in groups.items():
+        assert (got[g].n, got[g].min, got[g].max) == (len(v), v.min(), v.max())
+        assert np.allclose([got[g].p25, got[g].p50, got[g].p75], np.quantile(v, [0.25, 0.5, 0.75]), rtol=1e-12, atol=0)
+    assert (got[None].p25, got[None].p50) == (1.75, 2.5) and got["none"].n == 0 and got["none"].p50 is None
+    both = [x for g, x in rows if x is not None]
+    assert explore.describe(df, "v").first().p50 == np.quantile(both, 0.5)
+    assert explore.describe(df.filter("false"), "v", "g").count() == 0
