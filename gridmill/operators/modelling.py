@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmill.functions.scalars import format_utc
-from gridmill.operators.features import EASTERN, add_calendar, add_holiday, local_time
+from gridmill.operators.features import CHUNK, EASTERN, add_calendar, add_holiday, add_lags, local_time, ranked
 from gridmill.operators.guards import require_columns, require_finite
 
 EPS = 2.220446049250313e-16
@@ -149,49 +149,125 @@ def train(df: DataFrame, features: list[str], target: str, time: str, alpha: flo
     return {"coefficients": final.tolist(), "intercept": shift, "metrics": {k: scores[k] for k in ("mae", "rmse", "mape", "r2")}, "rows": row["n"], "diagnostics": ridge_diagnostics(row, features, final)}
 
 
-def arx_design(df: DataFrame, value: str, time: str, group: list[str], lags: list[int], season: int = 0) -> DataFrame:
-    """The rows of an autoregression: the (seasonally) differenced value with its lags; rows whose lags reach before the series are left out."""
-    w = Window.partitionBy(*group).orderBy(time)
-    y = F.col(value) - F.lag(value, season).over(w) if season else F.col(value)
-    out = df.select(*group, time, value, y.alias("y"))
-    return out.select("*", *[F.lag("y", n).over(w).alias(f"y_lag_{n}") for n in lags]).dropna()
+def _differenced(df: DataFrame, value: str, time: str, group: list[str], season: int, chunk: int | None) -> DataFrame:
+    """``df`` with ``y``: the value, less that of a season before if there is a season."""
+    if not season:
+        return df.withColumn("y", F.col(value))
+    lagged = f"{value}_lag_{season}"
+    return add_lags(df, value, [season], group, time, chunk).withColumn("y", F.col(value) - F.col(lagged)).drop(lagged)
 
 
-def arx_forecast(df: DataFrame, value: str, time: str, group: list[str], lags: list[int], steps: int, season: int = 0, alpha: float = 1e-6) -> DataFrame:
-    """Several steps ahead for each series: least squares on the lags of the (seasonally differenced) series, then recursion.
+def arx_design(df: DataFrame, value: str, time: str, group: list[str], lags: list[int], season: int = 0, chunk: int | None = CHUNK) -> DataFrame:
+    """The rows of an autoregression: the (seasonally) differenced value with its lags; rows whose lags reach before the series are left out. ``chunk`` as for lags: no task holds a series."""
+    rows = _differenced(df.select(*group, time, value), value, time, group, season, chunk)
+    return add_lags(rows, "y", lags, group, time, chunk).dropna()
 
-    An autoregression, with neither moving-average terms nor a likelihood: not the same
-    model as ARIMA, though exact for a noise-free autoregressive series. A series is
-    one group of the shuffle; one too short to fit gives its last value.
+
+def fit_each(df: DataFrame, features: list[str], target: str, group: list[str], alpha: float = 0.0) -> DataFrame:
+    """Least squares for each group, its columns with n, coef and intercept: one aggregation of the rows, then one small system a group, solved where its row lies. A group of too few rows has null coefficients."""
+    p = len(features)
+
+    def solved(batches):
+        for pdf in batches:
+            coef, intercept = [], []
+            for row in pdf.to_dict("records"):
+                enough = row["n"] > p + 1
+                c, i = solve_ridge(row, p, alpha) if enough else (None, None)
+                coef.append(None if c is None else c.tolist())
+                intercept.append(i)
+            yield pdf[[*group, "n"]].assign(coef=coef, intercept=pd.array(intercept, dtype="Float64"))
+
+    types = dict(df.dtypes)
+    schema = "".join(f"`{g}` {types[g]}, " for g in group) + "n long, coef array<double>, intercept double"
+    return df.dropna(subset=[*features, target]).groupBy(*group).agg(*_moments(features, target)).mapInPandas(solved, schema)
+
+
+def _joined(rows: DataFrame, table: DataFrame, group: list[str], columns: list[str], how: str = "left") -> DataFrame:
+    """``rows`` with columns of a table of one row a group; null groups meet null groups."""
+    named = table.select(*[F.col(g).alias(f"_g_{g}") for g in group], *columns)
+    on = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
+    return rows.join(named, on or F.lit(True), how).drop(*[f"_g_{g}" for g in group])
+
+
+def arx_fit(df: DataFrame, value: str, time: str, group: list[str], lags: list[int], season: int = 0, alpha: float = 1e-6, ma: list[int] = (), exog: list[str] = (), long_ar: int | None = None, chunk: int | None = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """A (seasonally differenced) autoregression with moving-average and exogenous terms, for each series, in two regressions (Hannan and Rissanen).
+
+    The first regresses on many lags and gives the shocks, as its residuals; the second on
+    the lags of the value and of the shocks and on the exogenous columns. Without ``ma``
+    the second stands alone. Both are sums over rows; lags are taken over chunks, so no
+    task holds a series. Gives the coefficients (group, n, coef in the order lags, ma,
+    exog, intercept) and the rows with y and the shocks e.
+    """
+    if min([*lags, *ma], default=0) < 1 or not lags:
+        raise ValueError("at least one lag is needed, and lags are positive")
+    exog = list(exog)
+    rows = _differenced(df.select(*group, time, value, *exog).dropna(), value, time, group, season, chunk)
+    if ma:
+        many = range(1, (long_ar or max(lags) + 2 * max(ma)) + 1)
+        names = [f"y_lag_{n}" for n in many]
+        wide = add_lags(rows, "y", list(many), group, time, chunk)
+        first = _joined(wide, fit_each(wide, [*names, *exog], "y", group, alpha), group, ["coef", "intercept"])
+        terms = F.zip_with("coef", F.array(*[F.col(c).cast("double") for c in [*names, *exog]]), lambda b, x: b * x)
+        rows = first.withColumn("e", F.col("y") - F.col("intercept") - F.aggregate(terms, F.lit(0.0), lambda total, t: total + t)).drop("coef", "intercept", *names)
+    else:
+        rows = rows.withColumn("e", F.lit(0.0))
+    both = add_lags(rows.withColumn("_s", F.struct("y", "e")), "_s", sorted({*lags, *ma}), group, time, chunk)
+    names = [f"y_{n}" for n in lags] + [f"e_{n}" for n in ma]
+    design = both.select(*group, "y", *exog, *[F.col(f"_s_lag_{n}.y").alias(f"y_{n}") for n in lags], *[F.col(f"_s_lag_{n}.e").alias(f"e_{n}") for n in ma])
+    return fit_each(design, [*names, *exog], "y", group, alpha), rows.select(*group, time, value, "y", "e")
+
+
+def arx_forecast(df: DataFrame, value: str, time: str, group: list[str], lags: list[int], steps: int, season: int = 0, alpha: float = 1e-6, ma: list[int] = (), exog: list[str] = (), future: DataFrame | None = None, long_ar: int | None = None, chunk: int | None = CHUNK) -> DataFrame:
+    """Several steps ahead for each series, by ``arx_fit`` and recursion from the series' last few rows; shocks to come are nought.
+
+    ``future`` has the group, ``horizon`` (from 1) and the exogenous columns of the steps;
+    a step without them, and all after it that need it, is null. Only as many rows a
+    series as the longest lag come together. A series too short to fit gives its last
+    value, or its last season. No likelihood is maximised: not the estimates of an exact
+    ARIMA, though exact for a noise-free autoregressive series.
     """
-    need = max(lags) + season
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time)
-        x = pdf[value].to_numpy(float)
-        y = x[season:] - x[: len(x) - season] if season else x.copy()
-        rows = np.arange(max(lags), len(y))
-        path, level = list(y), list(x)
-        if len(rows) > len(lags) + 1:
-            a = np.column_stack([np.ones(len(rows)), *[y[rows - n] for n in lags]])
-            beta = np.linalg.solve(a.T @ a + alpha * np.eye(a.shape[1]), a.T @ y[rows])
-        else:
-            beta = np.zeros(len(lags) + 1)
-            path = path or [0.0]
-        out = []
-        for _ in range(steps):
-            nxt = float(beta[0] + sum(b * path[-n] for b, n in zip(beta[1:], lags))) if len(rows) > len(lags) + 1 else (0.0 if season else (x[-1] if len(x) else float("nan")))
-            path.append(nxt)
-            level.append(nxt + (level[-season] if season and len(level) >= season else 0.0))
-            out.append(level[-1])
-        keys = {g: [pdf[g].iloc[0]] * steps for g in group}
-        return pd.DataFrame({**keys, "horizon": np.arange(1, steps + 1, dtype="int32"), "forecast": out})
-
-    if need < 1:
-        raise ValueError("at least one lag is needed")
+    exog, ma = list(exog), list(ma)
+    if exog and future is None:
+        raise ValueError("exogenous columns need their future values")
+    coefs, rows = arx_fit(df, value, time, group, lags, season, alpha, ma, exog, long_ar, chunk)
+    reach = max(*lags, *ma, season, 1)
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("_size"))
+    last = _joined(ranked(rows, group, time), sizes, group, ["_size"]).filter(F.col("_rank") >= F.col("_size") - reach)
+    tails = last.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_rank", F.col(value).cast("double").alias("v"), F.col("y").cast("double").alias("y"), "e"))).alias("tail"))
+    state = _joined(tails, coefs, group, ["coef", "intercept"])
+    if exog:
+        ahead = future.filter(F.col("horizon").between(1, steps)).groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct(F.col("horizon").cast("int"), F.array(*[F.col(c).cast("double") for c in exog])))).alias("ahead"))
+        state = _joined(state, ahead, group, ["ahead"])
+    else:
+        state = state.withColumn("ahead", F.create_map().cast("map<int,array<double>>"))
+
+    def run(batches):
+        for pdf in batches:
+            out = {**{g: [] for g in group}, "horizon": [], "forecast": []}
+            for row in pdf.to_dict("records"):
+                tail = list(row["tail"])
+                level, y, e = [t["v"] for t in tail], [t["y"] for t in tail], [t["e"] for t in tail]
+                ahead, coef = dict(row["ahead"]) if row["ahead"] is not None else {}, row["coef"]
+                for h in range(1, steps + 1):
+                    if coef is None:
+                        nxt = 0.0 if season else level[-1]
+                    else:
+                        x = ahead.get(h, [None]) if exog else []
+                        terms = [y[-n] if n <= len(y) else None for n in lags] + [e[-n] if n <= len(e) else None for n in ma] + list(x)
+                        known = all(t is not None and t == t for t in terms)
+                        nxt = row["intercept"] + sum(c * t for c, t in zip(coef, terms, strict=True)) if known else None
+                    y.append(nxt)
+                    e.append(0.0)
+                    back = (level[-season] if season <= len(level) else 0.0) if season else 0.0
+                    level.append(None if nxt is None or back is None else nxt + back)
+                    for g in group:
+                        out[g].append(row[g])
+                    out["horizon"].append(h)
+                    out["forecast"].append(level[-1])
+            yield pd.DataFrame(out).astype({"horizon": "int32", "forecast": "Float64"})
+
     types = dict(df.dtypes)
-    schema = ", ".join(f"{g} {types[g]}" for g in group) + ", horizon int, forecast double"
-    return df.select(*group, time, value).dropna().groupBy(*group).applyInPandas(run, schema)
+    return state.mapInPandas(run, "".join(f"`{g}` {types[g]}, " for g in group) + "horizon int, forecast double")
 
 
 def should_train(trained_at: Column, now: Column, retrain_after_hours: int | None) -> Column:

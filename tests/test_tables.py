@@ -193,13 +193,63 @@ def test_autoregression_is_exact_without_noise(spark):
     y = [1.0, 2.0]
     for _ in range(60):
         y.append(0.6 * y[-1] - 0.3 * y[-2] + 1.0)
-    rows = [("s", i, v) for i, v in enumerate(y[:50])] + [("short", 0, 7.0)]
-    df = spark.createDataFrame(rows, "k string, t int, v double")
+    at = lambda i: datetime(2024, 1, 1) + timedelta(hours=i)
+    rows = [("s", at(i), v) for i, v in enumerate(y[:50])] + [("short", at(0), 7.0)]
+    df = spark.createDataFrame(rows, "k string, t timestamp, v double")
     out = modelling.arx_forecast(df, "v", "t", ["k"], [1, 2], 5, alpha=1e-12).collect()
     got = [r.forecast for r in sorted(out, key=lambda r: r.horizon) if r.k == "s"]
     assert np.allclose(got, y[50:55], atol=1e-6) and {r.forecast for r in out if r.k == "short"} == {7.0}
 
 
+def two_regressions(v, x, lags, ma, season, many):
+    """The coefficients by plain arrays."""
+    y = v[season:] - v[: len(v) - season] if season else v
+    x = x[season:]
+    ols = lambda a, b: np.linalg.lstsq(np.column_stack([*a, np.ones(len(b))]), b, rcond=None)[0]
+    n = len(y)
+    first = [y[many - k : n - k] for k in range(1, many + 1)] + [x[many:]]
+    e = np.full(n, np.nan)
+    e[many:] = y[many:] - np.column_stack([*first, np.ones(n - many)]) @ ols(first, y[many:])
+    start = many + max(ma)
+    second = [y[start - k : n - k] for k in lags] + [e[start - k : n - k] for k in ma] + [x[start:]]
+    return ols(second, y[start:]), y, e
+
+
+@pytest.mark.parametrize(("season", "chunk"), [(0, 40), (0, None), (12, 60)])
+def test_shocks_and_exogenous_terms_against_brute_force(spark, season, chunk):
+    rng = np.random.default_rng(11)
+    lags, ma, many, steps = [1, 3], [1, 2], 7, 6
+    series = {}
+    for k, n in (("a", 400), ("b", 250)):
+        x, shock, v = rng.normal(size=n + steps), rng.normal(size=n), np.zeros(n)
+        for t in range(n):
+            v[t] = 0.5 * (v[t - 1] if t else 0) + 0.4 * (shock[t - 1] if t else 0) + 2 * x[t] + shock[t] + 5 * np.sin(t / 12 * 2 * np.pi)
+        series[k] = (v, x)
+    at = lambda i: datetime(2024, 1, 1) + timedelta(hours=7 * i)  # noqa: E731  over several months
+    df = spark.createDataFrame([(k, at(i), float(v[i]), float(x[i])) for k, (v, x) in series.items() for i in range(len(v))], "k string, t timestamp, v double, x double").repartition(5)
+    future = spark.createDataFrame([(k, h, float(x[len(v) + h - 1])) for k, (v, x) in series.items() for h in range(1, steps + 1) if (k, h) != ("b", 5)], "k string, horizon int, x double")
+    coefs, _ = modelling.arx_fit(df, "v", "t", ["k"], lags, season, 0.0, ma, ["x"], many, chunk)
+    out = modelling.arx_forecast(df, "v", "t", ["k"], lags, steps, season, 0.0, ma, ["x"], future, many, chunk)
+    assert "InPandas" not in (plan := out._jdf.queryExecution().executedPlan().toString()) or "FlatMapGroups" not in plan
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.k, {})[r.horizon] = r.forecast
+    for r in coefs.collect():
+        v, x = series[r.k]
+        want, y, e = two_regressions(v, x[: len(v)], lags, ma, season, many)
+        assert np.allclose([*r.coef, r.intercept], want, atol=1e-6)
+        ys, es, levels = list(y), list(e), list(v)
+        for h in range(1, steps + 1):
+            terms = [ys[-k] for k in lags] + [es[-k] for k in ma] + [x[len(v) + h - 1], 1.0]
+            ys.append(float(np.dot(terms, want)))
+            es.append(0.0)
+            levels.append(ys[-1] + (levels[-season] if season else 0.0))
+            if (r.k, h) >= ("b", 5):
+                assert got[r.k][h] is None
+            else:
+                assert abs(got[r.k][h] - levels[-1]) < 1e-5
+
+
 def test_ridge_against_the_closed_form(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 3)) * [1, 5, 0.1]
