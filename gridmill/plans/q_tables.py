@@ -1,7 +1,10 @@
 """Queries of the sources, sinks and jobs (S, F17, D04, M20, U02): tables derived from the given ones, written to the shared folder and read again."""
 
+import io
+import zipfile
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from gridmill.operators import features as X
@@ -95,6 +98,24 @@ def _(spark, sf):
     return raw.scan_gkg(spark, path).select("GKGRECORDID", "DocumentIdentifier", "Themes", "Extras")
 
 
+# A zipped file for every brand; those of brands that end in 1 are cut off.
+@query("scan_graph_archives", "SELECT 'row' AS kind, 'g' || p_partkey AS id, p_name || 'é' AS document FROM part WHERE p_brand NOT LIKE '%1' UNION ALL SELECT DISTINCT 'rejected', p_brand, NULL FROM part WHERE p_brand LIKE '%1'")
+def _(spark, sf):
+    def packed(pdf):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("a.csv", "\n".join(pdf["line"]).encode("latin-1"))
+        brand, whole = pdf["p_brand"].iloc[0], out.getvalue()
+        return pd.DataFrame({"path": [brand], "content": [whole[: len(whole) // 2] if brand.endswith("1") else whole]})
+
+    names = GKG.names[: GKG.names.index("Themes") + 1]
+    cells = {"GKGRECORDID": F.concat(F.lit("g"), F.col("p_partkey").cast("string")), "DocumentIdentifier": F.concat("p_name", F.lit("é"))}
+    lines = V.table(spark, sf, "part").select("p_brand", F.concat_ws("\t", *[cells.get(n, F.lit("x")) for n in names]).alias("line"))
+    good, bad = raw.gkg_archives(lines.groupBy("p_brand").applyInPandas(packed, "path string, content binary"))
+    rows = good.select(F.lit("row").alias("kind"), F.col("GKGRECORDID").alias("id"), F.col("DocumentIdentifier").alias("document"))
+    return rows.unionByName(bad.select(F.lit("rejected").alias("kind"), F.col("path").alias("id"), F.lit(None).cast("string").alias("document")))
+
+
 @query("scan_bulletin_files", "SELECT string_agg(c_name, chr(10) ORDER BY c_custkey) AS response FROM customer GROUP BY c_mktsegment, c_nationkey")
 def _(spark, sf):
     path = shared(spark)

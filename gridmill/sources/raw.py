@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import io
+import itertools
+import zipfile
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -42,6 +49,56 @@ def scan_gkg(spark: SparkSession, path: str) -> DataFrame:
     return df.withColumn("_ok", F.when(F.col("_extra").isNotNull(), F.raise_error(F.lit("a row has more than 27 columns"))).otherwise(True)).filter("_ok is null or _ok").select(*GKG.names)
 
 
+def gkg_archives(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Zipped knowledge-graph files, given as ``path`` and ``content``: the rows of each archive's first member with the path, and the archives that cannot be read with the reason.
+
+    An archive is looked through before its rows leave the task, so a broken one, an
+    empty one, or one with a row of more than 27 columns gives no row at all. Archives
+    are read side by side, each by one task that holds its packed bytes and a batch of
+    its lines. Blank lines are skipped; empty cells and those missing at a row's end are
+    null.
+    """
+
+    def lines_of(archive: zipfile.ZipFile) -> Iterator[str]:
+        with archive.open(archive.namelist()[0]) as packed, io.TextIOWrapper(packed, "latin-1", newline="\n") as text:
+            yield from (line for line in (raw.rstrip("\r\n") for raw in text) if line.strip())
+
+    def fault_of(content: bytes) -> str | None:
+        try:
+            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                if not archive.namelist():
+                    return "the archive is empty"
+                widest = max((line.count("\t") + 1 for line in lines_of(archive)), default=0)
+        except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError) as error:
+            return f"no readable archive: {error}"
+        return f"a row has {widest} columns" if widest > len(GKG.names) else None
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(path: str, lines: list[str | None], reason: str | None) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([path] * len(lines), pa.string()), pa.array(lines, pa.string()), pa.array([reason] * len(lines), pa.string())], ["path", "line", "reason"])
+
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                raw = content.as_py() or b""
+                if reason := fault_of(raw):
+                    yield batch_of(path.as_py(), [None], reason)
+                    continue
+                with zipfile.ZipFile(io.BytesIO(raw)) as archive:
+                    lines = lines_of(archive)
+                    while some := list(itertools.islice(lines, 10_000)):
+                        yield batch_of(path.as_py(), some, None)
+
+    read = files.select("path", "content").mapInArrow(unpacked, "path string, line string, reason string")
+    cells = F.split("line", "\t", -1)
+    rows = read.filter("reason is null").select("path", *[F.nullif(F.get(cells, F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(GKG.names)])
+    return rows, read.filter("reason is not null").select("path", "reason")
+
+
+def scan_gkg_archives(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``gkg_archives`` of the files under a path; files of no bytes are not listed."""
+    return gkg_archives(spark.read.format("binaryFile").load(path))
+
+
 def scan_bulletins(spark: SparkSession, path: str) -> DataFrame:
     """Whole files of bulletin text, blank ones and error replies left out; the key is the file's name without extension."""
     df = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1).alias("pil"), F.col("value").alias("response"))

@@ -1,6 +1,7 @@
 """Sources, sinks, upserts, the model table, jobs and guards on temporary folders."""
 
 import gzip  # noqa: F401  Spark reads compressed text alike
+import zipfile
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -51,6 +52,35 @@ def test_gkg_files(spark, tmp_path):
         raw.scan_gkg(spark, str(tmp_path)).collect()
 
 
+def test_gkg_archives(spark, tmp_path):
+    row = "\t".join(f"v{i}" for i in range(27))
+
+    def pack(name, *members):
+        with zipfile.ZipFile(tmp_path / name, "w", zipfile.ZIP_DEFLATED) as z:
+            for k, data in enumerate(members):
+                z.writestr(f"m{k}.csv", data)
+
+    pack("good.zip", (row + "\r\n\n" + "id2\t2024\xe9\t\n").encode("latin-1"), b"not\tread")
+    pack("long.zip", "\n".join(f"n{i}\t{i}" for i in range(25_000)).encode())
+    pack("wide.zip", (row + "\n" + row + "\tmore\n").encode())
+    pack("empty.zip")
+    pack("blank.zip", b"")
+    whole = (tmp_path / "long.zip").read_bytes()
+    (tmp_path / "cut.zip").write_bytes(whole[: len(whole) // 2])
+    middle = len(whole) // 2
+    (tmp_path / "flip.zip").write_bytes(whole[:middle] + bytes(64) + whole[middle + 64 :])
+    (tmp_path / "none.zip").write_bytes(b"")
+    good, bad = raw.scan_gkg_archives(spark, f"{tmp_path}/*.zip")
+    by = {}
+    for r in good.collect():
+        by.setdefault(r.path.rsplit("/", 1)[1], []).append(r)
+    assert {k: len(v) for k, v in by.items()} == {"good.zip": 2, "long.zip": 25_000}
+    first, second = sorted(by["good.zip"], key=lambda r: r.Extras is None)
+    assert first.Extras == "v26" and (second.DATE, second.SourceCollectionIdentifier, second.Extras) == ("2024\xe9", None, None)
+    assert list(first.asDict()) == ["path", *GKG_COLUMNS]
+    assert {r.path.rsplit("/", 1)[1] for r in bad.collect()} == {"wide.zip", "empty.zip", "cut.zip", "flip.zip"}  # Spark lists no file of no bytes
+
+
 def test_bulletin_and_nested_scans(spark, tmp_path):
     for name, text in (("AFDIND.txt", "body"), ("EMPTY.txt", " \n"), ("ERR.txt", "ERROR: no")):
         (tmp_path / "b").mkdir(exist_ok=True)
