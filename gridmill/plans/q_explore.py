@@ -90,9 +90,9 @@ def _(spark, sf):
     return V.table(spark, sf, "customer").join(ids, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
-@query("regex_filter", r"SELECT p_partkey, p_type FROM part WHERE regexp_matches(lower(p_type), '\b(brass|steel)\b')")
+@query("regex_filter", r"SELECT p_partkey, p_type FROM part WHERE regexp_matches(lower(p_type), '\b(promo|small)\b')")
 def _(spark, sf):
-    return V.table(spark, sf, "part").filter(A.matches_any(F.col("p_type"), ["brass", "Steel"])).select("p_partkey", "p_type")
+    return V.table(spark, sf, "part").filter(A.matches_any(F.col("p_type"), ["promo", "Small"])).select("p_partkey", "p_type")
 
 
 @query("url_keywords", "SELECT page_id, contains(lower(url), '/fr/') OR contains(lower(url), 'page=2') AS hit FROM pages")
@@ -100,9 +100,9 @@ def _(spark, sf):
     return V.table(spark, sf, "pages").select("page_id", A.any_term(F.col("url"), ["/fr/", "page=2"]).alias("hit"))
 
 
-@query("relevance_score", "SELECT p_partkey, CAST(p_size > 20 AS INTEGER) + CAST(contains(p_type, 'BRASS') AS INTEGER) + CAST(p_retailprice > 1000 AS INTEGER) AS score FROM part WHERE p_brand <> 'Brand#11'")
+@query("relevance_score", "SELECT p_partkey, CAST(p_size > 20 AS INTEGER) + CAST(contains(p_type, 'PROMO') AS INTEGER) + CAST(p_retailprice > 1000 AS INTEGER) AS score FROM part WHERE p_brand <> 'Brand#11'")
 def _(spark, sf):
-    flags = [F.col("p_size") > 20, F.col("p_type").contains("BRASS"), F.col("p_retailprice") > 1000]
+    flags = [F.col("p_size") > 20, F.col("p_type").contains("PROMO"), F.col("p_retailprice") > 1000]
     return V.table(spark, sf, "part").filter("p_brand <> 'Brand#11'").select("p_partkey", A.relevance_score(*flags).alias("score"))
 
 

@@ -120,8 +120,8 @@ def _(spark, sf):
     return _lists(spark, sf).select("p_partkey", F.array_join(S.parse_locations(F.col("locations")), "|").alias("places"))
 
 
-TARGET_THEMES, TARGET_ORGS, TARGET_PLACES = ["brass", "ECONOMY", "large "], ["brand#11", "STANDARD"], ["c1", "C2-A3"]
-_TM = f"len(list_intersect({_THEMES}, ['BRASS', 'ECONOMY', 'LARGE']))"
+TARGET_THEMES, TARGET_ORGS, TARGET_PLACES = ["promo", "ECONOMY", "large "], ["brand#11", "STANDARD"], ["c1", "C2-A3"]
+_TM = f"len(list_intersect({_THEMES}, ['PROMO', 'ECONOMY', 'LARGE']))"
 _OM = f"len(list_intersect({_ORGS}, ['BRAND#11', 'STANDARD'])) > 0"
 _LM = f"len(list_intersect({_PLACES}, ['C1', 'C2-A3'])) > 0"
 
