@@ -1,9 +1,12 @@
 """Queries of the text records (P18 to P29, C09, A11, A26): the given tables in the shapes of landed notices, articles, alerts, bulletins and graph rows."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gridmill.functions import scalars as S
 from gridmill.functions import text as T
+from gridmill.functions.user import SqlFunctions
 from gridmill.operators import bulletins as B
 from gridmill.operators import enrich as C
 from gridmill.operators import explore as A
@@ -197,3 +200,37 @@ def _(spark, sf):
     k = F.col("event_id") % 3
     m = F.when(k == 0, F.create_map(F.lit("b"), F.lit("1"), F.lit("a"), F.lit("2"))).when(k == 1, F.create_map(F.lit("b"), F.lit("1"))).otherwise(F.create_map().cast("map<string,string>"))
     return A.key_set_counts(V.table(spark, sf, "events").select(m.alias("m")), "m")
+
+
+def _functions(spark):
+    """The session's user functions, under names of this call's own."""
+    return SqlFunctions(spark), f"u{uuid.uuid4().hex[:12]}"
+
+
+@query("user_parser", "SELECT p_partkey, CAST(i - 1 AS INTEGER) AS at, string_split(p_name, ' ')[i] AS word FROM part, range(1, 50) t(i) WHERE i <= len(string_split(p_name, ' '))")
+def _(spark, sf):
+    functions, name = _functions(spark)
+
+    def words(text):
+        for i, word in enumerate((text or "").split(" ")):
+            yield {"word": word, "at": i}
+
+    functions.parser(name, words, "at int, word string")
+    V.table(spark, sf, "part").select("p_partkey", "p_name").createOrReplaceTempView(f"{name}_part")
+    return spark.sql(f"SELECT p_partkey, w.at, w.word FROM {name}_part, LATERAL {name}(p_name) w")
+
+
+@query("user_aggregate", "SELECT event_type, round(max(value) - min(value), 6) AS spread FROM events GROUP BY 1")
+def _(spark, sf):
+    functions, name = _functions(spark)
+    functions.aggregate(name, lambda column: float(column.max() - column.min()), "double")
+    V.events(spark, sf).createOrReplaceTempView(f"{name}_events")
+    return spark.sql(f"SELECT event_type, round({name}(value), 6) AS spread FROM {name}_events GROUP BY event_type")
+
+
+@query("user_table_function", "SELECT date_trunc('hour', ts) AS observed_at, event_type, count(*) AS n, count(*) FILTER (value >= 70) AS severe FROM events GROUP BY ALL HAVING count(*) FILTER (value >= 70) > 0")
+def _(spark, sf):
+    functions, name = _functions(spark)
+    V.events(spark, sf).createOrReplaceTempView(f"{name}_events")
+    functions.table(name, "least DOUBLE", "observed_at TIMESTAMP, event_type STRING, n BIGINT, severe BIGINT", f"SELECT hour, event_type, count(*), count_if(severe) FROM (SELECT date_trunc('hour', ts) AS hour, event_type, value >= {name}.least AS severe FROM {name}_events) GROUP BY hour, event_type")
+    return spark.sql(f"SELECT * FROM {name}(70.0D) WHERE severe > 0")
