@@ -67,24 +67,11 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
-def cosine_topk(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, block: int = 64) -> DataFrame:
-    """The k nearest rows of ``base`` for each row of the stated query set, ties by key; similarities have nine digits, so that ties are ties.
+def products(k: int):
+    """Of arrays ``qs`` (query, qv) and ``rows`` (match, v) the cosines of each query with the rows: its best ``k`` and what ties with them.
 
-    Queries are packed into blocks of ``block`` rows and the base into chunks; every
-    block meets every chunk once, as a product of two matrices of rows of length one.
-    Of each product the best k for a query (and what ties with them) go to the ranking's
-    shuffle. Vectors without length, empty or with nulls are near to nothing and left out.
+    Vectors without length, empty or with nulls are left out, and so is a row met by itself.
     """
-    spark = base.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(1, -(-queries.count() // block))
-    chunks = max(1, -(-base.count() // (parts * CHUNK)))
-    kind = base.schema[key].dataType.simpleString()
-    packed = queries.groupBy(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")).agg(F.collect_list(F.struct(F.col(key).alias("query"), F.col(vector).cast("array<double>").alias("qv"))).alias("qs"))
-    everywhere = packed.select("_block", "qs", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
-    dealt = base.select(F.col(key).alias("match"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("_part"))
-    # Rows of one chunk of the base, once for each block of queries.
-    chunked = dealt.groupBy("_part", F.pmod(F.xxhash64("match", F.lit(1)), F.lit(chunks)).alias("_chunk")).agg(F.collect_list(F.struct("match", "v")).alias("rows"))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,7 +89,29 @@ def cosine_topk(queries: DataFrame, base: DataFrame, key: str, vector: str, k: i
                 names = ["query", "match", "similarity"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field(0).type.value_type.field(0).type if n != "similarity" else pa.float64()) for n, c in zip(names, columns)], names)
 
-    pairs = chunked.join(everywhere, "_part").select("qs", "rows").mapInArrow(nearest, f"query {kind}, match {kind}, similarity double")
+    return nearest
+
+
+def cosine_topk(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, block: int = 64) -> DataFrame:
+    """The k nearest rows of ``base`` for each row of the stated query set, ties by key; similarities have nine digits, so that ties are ties.
+
+    Queries are packed into blocks of ``block`` rows and the base into chunks; every
+    block meets every chunk once, as a product of two matrices of rows of length one.
+    Of each product the best k for a query (and what ties with them) go to the ranking's
+    shuffle. Vectors without length, empty or with nulls are near to nothing and left out.
+    """
+    spark = base.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-queries.count() // block))
+    chunks = max(1, -(-base.count() // (parts * CHUNK)))
+    kind = base.schema[key].dataType.simpleString()
+    packed = queries.groupBy(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_block")).agg(F.collect_list(F.struct(F.col(key).alias("query"), F.col(vector).cast("array<double>").alias("qv"))).alias("qs"))
+    everywhere = packed.select("_block", "qs", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"))
+    dealt = base.select(F.col(key).alias("match"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("_part"))
+    # Rows of one chunk of the base, once for each block of queries.
+    chunked = dealt.groupBy("_part", F.pmod(F.xxhash64("match", F.lit(1)), F.lit(chunks)).alias("_chunk")).agg(F.collect_list(F.struct("match", "v")).alias("rows"))
+
+    pairs = chunked.join(everywhere, "_part").select("qs", "rows").mapInArrow(products(k), f"query {kind}, match {kind}, similarity double")
     return numbered(pairs, ["query"], F.desc("similarity"), F.asc("match")).filter(F.col("rn") <= k).withColumnRenamed("rn", "rank")
 
 

@@ -7,7 +7,8 @@ from gridmill.operators import dedupe as D
 from gridmill.operators import explore as A
 from gridmill.operators import vectors as E
 from gridmill.plans import views as V
-from gridmill.plans.registry import query
+from gridmill.plans.registry import query, shared
+from gridmill.sources.cells import CellIndex, recall
 
 
 def _r(df, *columns, places=6):
@@ -190,13 +191,40 @@ def _(spark, sf):
     return per.select("source", E.embed_status(F.col("t"), F.col("f")).alias("status"))
 
 
-@query("cosine_topk", """WITH p AS (SELECT q.vec_id AS query, b.vec_id AS match, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id WHERE q.vec_id % 50 = 0)
-SELECT query, match, CAST(rank AS INTEGER) AS rank, round(s, 5) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY s DESC, match) AS rank FROM p) WHERE rank <= 5""")
+NEAREST = """WITH p AS (SELECT q.vec_id AS query, b.vec_id AS match, list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query, match, CAST(rank AS INTEGER) AS rank, round(s, 5) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY s DESC, match) AS rank FROM p) WHERE rank <= 5"""
+
+
+@query("cosine_topk", NEAREST)
 def _(spark, sf):
     e = V.table(spark, sf, "embeddings")
     return _r(E.cosine_topk(e.filter("vec_id % 50 = 0"), e, "vec_id", "embedding", 5), "similarity", places=5).select("query", "match", "rank", "similarity")
 
 
+def _cells(spark, e):
+    """A new index of the embeddings, in two runs."""
+    index = CellIndex(spark, shared(spark), "vec_id", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    index.fit(e, "embedding")
+    for run in (0, 1):
+        index.add(e.filter(F.pmod(F.xxhash64("vec_id"), F.lit(2)) == run), "embedding", run)
+    return index
+
+
+@query("cell_topk_exact", NEAREST)
+def _(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    return _r(_cells(spark, e).search(e.filter("vec_id % 50 = 0"), "embedding", 5, exact=True), "similarity", places=5).select("query", "match", "rank", "similarity")
+
+
+@query("cell_recall")
+def _(spark, sf):
+    e = V.table(spark, sf, "embeddings")
+    queries = e.filter("vec_id % 50 = 0")
+    index = _cells(spark, e)
+    found = index.search(queries, "embedding", 5, index.calibrate(e, "embedding", 5))
+    return recall(found, E.cosine_topk(queries, e, "vec_id", "embedding", 5))
+
+
 @query("pca_project")
 def _(spark, sf):
     return E.pca(V.table(spark, sf, "embeddings"), "embedding").select("vec_id", "projection")
