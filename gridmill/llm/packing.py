@@ -5,8 +5,10 @@ its first piece may be short. The pieces are dealt by hash into blocks of bounde
 size. Every block is evolved on several islands that start from different seeds. The
 genes of the algorithm are whole bins: crossover injects well-filled bins of one
 parent into the other, drops the bins that hold the same pieces, and best-fits the
-displaced pieces again. Fewer bins are fitter; of as many, those are whose room is left
-in as few bins as can be. After each epoch the best packing of every island migrates
+displaced pieces again, after those that fill an open bin better in place of one or two
+of its pieces have changed places with them. Fewer bins are fitter; of as many, those are
+whose room is left in as few bins as can be. An island ends when a stated number of
+generations has not saved a bin. After each epoch the best packing of every island migrates
 to the next island of its block, and at the end the best of all islands is taken.
 
 A block's last bins may be half empty. The bins that are not all but full are therefore
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,7 +39,12 @@ BLOCK = 8192
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
+#: Generations of a packing that cannot have fewer bins, and those without fewer bins after which the others end.
 GENERATIONS = 5
+PATIENCE = 12
+MOST_GENERATIONS = 400
+#: Of the displaced pieces so many are tried in pairs.
+PAIRED = 48
 #: A bin is well filled, and may be injected, from this share of the room on.
 WELL = 0.98
 #: A bin filled less than this is taken up again with those of other blocks.
@@ -140,6 +148,16 @@ class Bins:
         self.left.append(left)
         self._offer(len(self.bins) - 1)
 
+    def replace(self, b: int, out, into: list[int], left: int) -> None:
+        """Pieces of a bin by others."""
+        at = self.by_left[self.left[b]]
+        at.remove(b)
+        if not at:
+            self.mask &= ~(1 << self.left[b])
+        self.bins[b] = [i for i in self.bins[b] if i not in out] + into
+        self.left[b] = left
+        self._offer(b)
+
     def best_fit(self, items) -> None:
         """Each item into the fullest bin that it fits, or else into a new one."""
         sizes = self.sizes
@@ -165,8 +183,10 @@ def crossed(a: Bins, b: Bins, rng: np.random.Generator) -> Bins:
     well = [k for k, left in enumerate(b.left) if left <= most]
     chosen = [k for k, yes in zip(well, rng.random(len(well)) < rng.uniform(0.2, 0.6)) if yes]
     taken = {i for k in chosen for i in b.bins[k]}
-    # The worst-filled bins of a are broken up, too, as a mutation.
-    worst = set(sorted(range(len(a.bins)), key=lambda k: -a.left[k])[: max(2, len(a.bins) // 50)])
+    # The worst-filled bins of a are broken up, too, as a mutation, and some of those that are not full.
+    order = sorted((k for k, left in enumerate(a.left) if left), key=lambda k: -a.left[k])
+    least = max(2, len(a.bins) // 50)
+    worst = {*order[:least], *(k for k, yes in zip(order, rng.random(len(order)) < rng.uniform(0, 0.4)) if yes)}
     child, displaced = Bins(a.sizes, a.room), []
     for k in chosen:
         child.take(list(b.bins[k]), b.left[k])
@@ -175,10 +195,49 @@ def crossed(a: Bins, b: Bins, rng: np.random.Generator) -> Bins:
             displaced += [i for i in items if i not in taken]
         else:
             child.take(list(items), a.left[k])
-    child.best_fit(sorted(displaced, key=lambda i: -a.sizes[i]))
+    child.best_fit(sorted(exchanged(child, displaced, rng), key=lambda i: -a.sizes[i]))
     return child
 
 
+def exchanged(p: Bins, displaced: list[int], rng: np.random.Generator) -> list[int]:
+    """Puts displaced pieces for pieces of open bins where that leaves less room; gives the pieces displaced then.
+
+    In each bin one or two pieces go out and one comes in, or two go out and two of a
+    bounded draw of the displaced come in, whichever fits best. A bin is looked at once.
+    """
+    sizes = p.sizes
+    loose = sorted((sizes[i], i) for i in displaced)
+    drawn = [loose[k] for k in sorted(rng.choice(len(loose), min(PAIRED, len(loose)), replace=False))] if loose else []
+    pairs = sorted((x[0] + y[0], x, y) for k, x in enumerate(drawn) for y in drawn[:k])
+    gone: set[int] = set()
+    for b, items in enumerate(p.bins):
+        if not loose or not p.left[b]:
+            continue
+        outs = [(i,) for i in items] + [(i, j) for k, i in enumerate(items) for j in items[:k]]
+        best = (p.left[b], None, None)
+        for out in outs:
+            freed = sum(sizes[i] for i in out)
+            most = freed + p.left[b]
+            at = bisect_right(loose, (most, len(sizes))) - 1
+            if at >= 0 and most - loose[at][0] < best[0]:
+                best = (most - loose[at][0], out, (loose[at],))
+            at = bisect_right(pairs, most, key=lambda pair: pair[0]) - 1 if len(out) == 2 else -1
+            while at >= 0 and most - pairs[at][0] < best[0] and not gone.isdisjoint((pairs[at][1][1], pairs[at][2][1])):
+                at -= 1
+            if at >= 0 and most - pairs[at][0] < best[0]:
+                best = (most - pairs[at][0], out, pairs[at][1:])
+        left, out, into = best
+        if out is None:
+            continue
+        p.replace(b, out, [i for _, i in into], left)
+        for piece in into:
+            loose.remove(piece)
+            gone.add(piece[1])
+        for i in out:
+            insort(loose, (sizes[i], i))
+    return [i for _, i in loose]
+
+
 def fitness(p: Bins) -> tuple[int, float]:
     """Fewer bins first, then fuller ones (the mean square of the fill)."""
     fill = 1 - np.array(p.left, float) / p.room
@@ -208,9 +267,11 @@ def settled(p: Bins, total: int) -> bool:
     return len(p.bins) * p.room - total < p.room and sum(1 for left in p.left if left) <= 1
 
 
-def evolved(sizes: list[int], room: int, seed: int, migrants: list[bytes], population: int = POPULATION, generations: int = GENERATIONS) -> tuple[Bins, int]:
+def evolved(sizes: list[int], room: int, seed: int, migrants: list[bytes], population: int = POPULATION, generations: int = MOST_GENERATIONS, patience: int = PATIENCE) -> tuple[Bins, int]:
     """The best packing after some generations, and how many crossovers were made.
 
+    It ends after ``patience`` generations without fewer bins (``GENERATIONS`` where there cannot be fewer).
+
     The first members are the migrants, best fit in falling order, and best fit in
     orders near it. Sizes are taken in falling order, so a packing of the same sizes
     is found again whatever their order was.
@@ -225,8 +286,10 @@ def evolved(sizes: list[int], room: int, seed: int, migrants: list[bytes], popul
         members.append(first)
     total, crossings = sum(sizes), 0
     members.sort(key=fitness, reverse=True)
+    fewest = -(-total // room)
+    best, since = len(members[0].bins), 0
     for _ in range(generations):
-        if settled(members[0], total):
+        if settled(members[0], total) or since >= (GENERATIONS if best == fewest else patience):
             break
         a, b = rng.choice(len(members), 2, replace=len(members) < 2)
         child = crossed(members[a], members[b], rng)
@@ -235,6 +298,7 @@ def evolved(sizes: list[int], room: int, seed: int, migrants: list[bytes], popul
             members.pop()
         members.append(child)
         members.sort(key=fitness, reverse=True)
+        best, since = len(members[0].bins), since + 1 if len(members[0].bins) == best else 0
     return members[0], crossings
 
 
@@ -311,8 +375,8 @@ def packed(parts: DataFrame, room: int = ROOM, block: int = BLOCK, islands: int
         blocks = max(1, -(-n // block))
         dealt = left.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32", F.lit(round_)), F.lit(blocks)).cast("int")).select(*[f.split(" ")[0] for f in ITEM.split(", ")])
         chosen = evolution(dealt, room, islands, epochs).groupBy("block").agg(F.min_by("genome", F.struct("bins", -F.col("fill"), "island")).alias("genome"))
-        # A round in one block is the last, and so is one that had more than half of the pieces of the round before it.
-        last = blocks == 1 or (before is not None and 2 * n > before)
+        # A round in one block is the last, and so is one whose pieces fell by less than a tenth: those bins stay open for want of fitting pieces.
+        last = blocks == 1 or (before is not None and 10 * n > 9 * before)
         placed = dealt.groupBy("block").cogroup(chosen.groupBy("block")).applyInArrow(_placed(room, round_, last), PLACED)
         if last:
             return placed if done is None else done.unionByName(placed)

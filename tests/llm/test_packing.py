@@ -91,3 +91,63 @@ def test_evolution_keeps_every_piece_and_uses_few_bins():
     assert packing.fitness(b) >= packing.fitness(a)
     assert len(b.bins) <= 1.03 * -(-sum(sizes) // 2048) + 1
     assert packing.genome(packing.from_genome(sizes, 2048, packing.genome(a)))
+
+
+def fewest(sizes, room):
+    """The least number of bins, by trying every place for each piece."""
+    best, order = [len(sizes)], sorted(sizes, reverse=True)
+
+    def place(i, left):
+        if len(left) >= best[0]:
+            return
+        if i == len(order):
+            best[0] = len(left)
+            return
+        for k, have in enumerate(left):
+            if have >= order[i] and have not in left[:k]:
+                place(i + 1, [*left[:k], have - order[i], *left[k + 1 :]])
+        place(i + 1, [*left, room - order[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_small_sets_against_every_packing():
+    rng = np.random.default_rng(3)
+    plain_more, more, sets = 0, 0, 0
+    for n in [0, 1, 2, *range(8, 13)] * 12:
+        # Sizes around a third and a half of the room, where best fit is often not the least.
+        sizes = rng.integers(15, 60, n).tolist()
+        found, _ = packing.evolved(sizes, 100, n, [])
+        plain = packing.Bins(sizes, 100)
+        plain.best_fit(sorted(range(n), key=lambda i: -sizes[i]))
+        least = fewest(sizes, 100)
+        assert least <= len(found.bins) <= min(least + 1, len(plain.bins))
+        plain_more, more, sets = plain_more + len(plain.bins) - least, more + len(found.bins) - least, sets + 1
+    assert more <= 0.05 * sets and more < plain_more
+
+
+def test_generations_beat_best_fit_where_three_pieces_fill_a_sequence():
+    rng = np.random.default_rng(1)
+    sizes = []
+    for a, b in rng.integers(520, 800, (300, 2)).tolist():
+        sizes += [a, b, packing.ROOM - a - b]
+    sizes = rng.permutation(sizes).tolist()
+    plain = packing.Bins(sizes, packing.ROOM)
+    plain.best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]))
+    found, crossings = packing.evolved(sizes, packing.ROOM, 0, [])
+    assert len(plain.bins) >= 325 and len(found.bins) <= 306 and crossings <= packing.MOST_GENERATIONS
+    assert sorted(i for items in found.bins for i in items) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in items) + left == packing.ROOM for items, left in zip(found.bins, found.left))
+
+
+def test_rounds_go_on_over_blocks_whose_bins_stay_open(spark):
+    rng = np.random.default_rng(2)
+    sizes = [int(n) for a, b in rng.integers(520, 800, (150, 2)).tolist() for n in (a, b, packing.ROOM - a - b)]
+    parts = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(sizes)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.packed(parts, block=60).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(450))
+    full = {}
+    for r in rows:
+        full[r.sequence_id] = full.get(r.sequence_id, 0) + r.length
+    assert max(full.values()) <= packing.ROOM and len(full) <= 157
