@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,27 +68,39 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)), F.lit(0.0))
 
 
+def directions(items: pa.StructArray, width: int) -> tuple[pa.Array, np.ndarray]:
+    """Ids and vectors at length one, of those with ``width`` entries, none null or not finite, not all zero."""
+    ids, v = items.flatten()
+    fits = pc.equal(pc.list_value_length(v), width).fill_null(False)
+    ids, m = ids.filter(fits), v.filter(fits).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    with np.errstate(all="ignore"):
+        m = m / np.linalg.norm(m, axis=1, keepdims=True)
+    fine = np.isfinite(m).all(axis=1)
+    return ids.filter(pa.array(fine)), m[fine]
+
+
 def products(k: int):
     """Of arrays ``qs`` (query, qv) and ``rows`` (match, v) the cosines of each query with the rows: its best ``k`` and what ties with them.
 
-    Vectors without length, empty or with nulls are left out, and so is a row met by itself.
+    Vectors without length, empty, with nulls or not finite are left out, and so is a row
+    met by itself; vectors of different lengths are not compared.
     """
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for qs, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                qs, rows = ([r for r in side if r[v] and None not in r[v] and any(r[v])] for side, v in ((qs, "qv"), (rows, "v")))
-                if not qs or not rows:
-                    continue
-                a, b = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (np.array([q["qv"] for q in qs]), np.array([r["v"] for r in rows])))
-                scores = np.round(a @ b.T, 9)
-                found = []
-                for q, row in zip(qs, scores):
-                    least = np.partition(row, -k - 1)[-k - 1] if len(row) > k + 1 else -np.inf
-                    found += [(q["query"], rows[i]["match"], float(row[i])) for i in np.flatnonzero(row >= least) if rows[i]["match"] != q["query"]]
-                columns = list(zip(*found)) or [(), (), ()]
-                names = ["query", "match", "similarity"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, batch.schema.field(0).type.value_type.field(0).type if n != "similarity" else pa.float64()) for n, c in zip(names, columns)], names)
+            for qs, rows in zip(*([item.values for item in column] for column in batch.columns)):
+                widths = [set(pc.unique(pc.list_value_length(side.field(1))).to_pylist()) for side in (qs, rows)]
+                for width in (widths[0] & widths[1]) - {0, None}:
+                    (queries, a), (matches, b) = directions(qs, width), directions(rows, width)
+                    if not len(a) or not len(b):
+                        continue
+                    scores = np.round(a @ b.T, 9)
+                    # One more than k, as a row may meet itself.
+                    least = np.partition(scores, -k - 1, axis=1)[:, [-k - 1]] if len(b) > k + 1 else -np.inf
+                    q, m = np.nonzero(scores >= least)
+                    made = pa.RecordBatch.from_arrays([queries.take(pa.array(q)), matches.take(pa.array(m)), pa.array(scores[q, m])], ["query", "match", "similarity"])
+                    same = pc.or_(pc.equal(made[0], made[1]).fill_null(False), pc.and_(made[0].is_null(), made[1].is_null()))
+                    yield made.filter(pc.invert(same))
 
     return nearest
 

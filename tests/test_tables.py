@@ -410,7 +410,7 @@ def test_quantiles_clusters_and_large_values(spark):
 def test_nearest_rows_match_brute_force(spark):
     rng = np.random.default_rng(6)
     v = rng.normal(size=(300, 8)).round(1)
-    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)] + [(900, [0.0] * 8), (901, None), (902, [])]
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)] + [(900, [0.0] * 8), (901, None), (902, []), (950, [1.0] * 7), (951, [1.0, None] * 4), (952, [float("nan")] * 8)]
     df = spark.createDataFrame(rows, "k long, v array<double>")
     got = {}
     for r in vectors.cosine_topk(df.filter("k % 50 = 0"), df, "k", "v", 4, block=3).collect():
