@@ -45,3 +45,7 @@ def test_clean_text(spark, pages):
     for text in ("<b>&eacute;&#8217;&#x2019;&eacute &#8217 &notit; &amp</b>", "<b>&lt &lt;&ampx;</b>"):
         row = spark.range(1).select(T.clean_text(F.lit(text), closed=True).alias("a"), T.normalize_whitespace(T.strip_html(F.lit(text), T.decode_closed)).alias("b")).first()
         assert row.a == row.b
+
+
+def test_clean_if_success(spark, pages):
+    assert differing(spark, pages, "clean_if_success") == set()
