@@ -49,3 +49,7 @@ def test_clean_text(spark, pages):
 
 def test_clean_if_success(spark, pages):
     assert differing(spark, pages, "clean_if_success") == set()
+
+
+def test_extract_article(spark, pages):
+    assert differing(spark, pages, "extract_article") == set()
