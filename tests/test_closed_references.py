@@ -53,3 +53,7 @@ def test_clean_if_success(spark, pages):
 
 def test_extract_article(spark, pages):
     assert differing(spark, pages, "extract_article") == set()
+
+
+def test_scrape_result(spark, pages):
+    assert differing(spark, pages, "scrape_result") == set()
