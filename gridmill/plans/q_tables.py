@@ -62,8 +62,9 @@ def _(spark, sf):
 def _(spark, sf):
     root = shared(spark)
     tables.write_dataset(_orders(spark, sf), root, "gold:load:orders", "replace", rows_per_file=1000)
-    files = tables.read_dataset(spark, root, "gold:load:orders").groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("ids"), F.sum(F.col("o_orderkey") * F.col("o_custkey")).alias("both"))
-    return files.agg(F.sum("n").alias("n_rows"), F.sum("ids").alias("ids"), F.sum("both").alias("both"), F.count_if(F.col("n") > 1000).cast("int").alias("files_too_large"), (F.count("*") >= F.ceil(F.sum("n") / 1000)).alias("enough_files"))
+    files = tables.read_dataset(spark, root, "gold:load:orders").groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("ids"), F.sum((F.col("o_orderkey") * F.col("o_custkey")).cast("decimal(20,0)")).alias("both"))
+    # Over millions of orders the products can add up to more than a long holds: they are added as decimals, and such a total is null.
+    return files.agg(F.sum("n").alias("n_rows"), F.sum("ids").alias("ids"), F.sum("both").try_cast("bigint").alias("both"), F.count_if(F.col("n") > 1000).cast("int").alias("files_too_large"), (F.count("*") >= F.ceil(F.sum("n") / 1000)).alias("enough_files"))
 
 
 @query("dataset_deduped", "SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1")
