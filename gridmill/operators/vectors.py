@@ -112,6 +112,8 @@ def cosine_topk(queries: DataFrame, base: DataFrame, key: str, vector: str, k: i
     block meets every chunk once, as a product of two matrices of rows of length one.
     Of each product the best k for a query (and what ties with them) go to the ranking's
     shuffle. Vectors without length, empty or with nulls are near to nothing and left out.
+    Both sides are shuffled: the blocks are small, but as many times as there are chunks
+    they are not, and nothing of them passes the driver.
     """
     spark = base.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -124,7 +126,7 @@ def cosine_topk(queries: DataFrame, base: DataFrame, key: str, vector: str, k: i
     # Rows of one chunk of the base, once for each block of queries.
     chunked = dealt.groupBy("_part", F.pmod(F.xxhash64("match", F.lit(1)), F.lit(chunks)).alias("_chunk")).agg(F.collect_list(F.struct("match", "v")).alias("rows"))
 
-    pairs = chunked.join(everywhere, "_part").select("qs", "rows").mapInArrow(products(k), f"query {kind}, match {kind}, similarity double")
+    pairs = chunked.hint("merge").join(everywhere.hint("merge"), "_part").select("qs", "rows").mapInArrow(products(k), f"query {kind}, match {kind}, similarity double")
     return numbered(pairs, ["query"], F.desc("similarity"), F.asc("match")).filter(F.col("rn") <= k).withColumnRenamed("rn", "rank")
 
 
