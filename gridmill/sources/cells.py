@@ -52,6 +52,14 @@ def unit(vectors: list, width: int) -> tuple[np.ndarray, np.ndarray]:
     return good, out[fine]
 
 
+def slices(frames: Iterator[pd.DataFrame], entries: int) -> Iterator[pd.DataFrame]:
+    """The rows of the frames, so many at a time that ``entries`` numbers for each of them take ``MOST_BYTES`` at most."""
+    step = max(1, MOST_BYTES // (8 * max(1, entries)))
+    for pdf in frames:
+        for at in range(0, len(pdf), step):
+            yield pdf.iloc[at : at + step].reset_index(drop=True)
+
+
 class CellIndex:
     """Vectors under ``path``: centres, and rows by cell in numbered runs.
 
@@ -106,7 +114,7 @@ class CellIndex:
         centres = self.centres
 
         def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in frames:
+            for pdf in slices(frames, len(centres)):
                 good, u = unit(pdf["v"].tolist(), centres.shape[1])
                 if len(u) and len(centres):
                     cosines = u @ centres.T
@@ -180,7 +188,7 @@ class CellIndex:
         centres = self.centres
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in frames:
+            for pdf in slices(frames, centres.size):
                 good, u = unit(pdf["qv"].tolist(), centres.shape[1])
                 if len(u) and len(centres):
                     first = np.argsort(-(u @ centres.T), axis=1, kind="stable")[:, :probes]
@@ -196,7 +204,8 @@ class CellIndex:
             width[r.cell] = np.arccos(min(1.0, max(-1.0, r.least)))
 
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in frames:
+            # A query may be sent to every cell, with its vector.
+            for pdf in slices(frames, centres.size):
                 good, u = unit(pdf["qv"].tolist(), centres.shape[1])
                 if not len(u) or not len(centres):
                     continue

@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 
 from gridmill.operators.vectors import cosine_topk
+from gridmill.sources.cells import MOST_BYTES, CellIndex, unit
 
 
 def test_blocks_of_queries_are_not_broadcast(spark):
@@ -13,3 +14,21 @@ def test_blocks_of_queries_are_not_broadcast(spark):
     assert len(found.collect()) == 90
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def unspread(spark):
+    """An index of 4 096 cells that was fitted on nothing, and 64 queries."""
+    rng = np.random.default_rng(4)
+    index = CellIndex.__new__(CellIndex)
+    index.spark, index.centres = spark, unit(list(rng.normal(size=(4096, 64))), 64)[1]
+    index.cells = lambda: spark.createDataFrame([(c, -1.0) for c in range(4096)], "cell int, least double")
+    return index, pd.DataFrame({"query": range(64), "qv": list(rng.normal(size=(64, 64))), "worst": 0.5})
+
+
+def test_queries_for_many_cells_leave_in_slices(spark):
+    index, queries = unspread(spark)
+    for run, cells in ((index._nearest_cells(3000), 3000), (index._open_cells(96), 4000)):
+        made = list(run(iter([queries])))
+        assert max(len(d) for d in made) * 64 * 8 <= MOST_BYTES
+        rows = pd.concat(made)
+        assert len(rows) == 64 * cells and not rows[["query", "cell"]].duplicated().any()
