@@ -51,6 +51,41 @@ def assign_windows(rows: DataFrame, windows: DataFrame, ts: str) -> DataFrame:
     return placed.join(cut, ["_level", "_bin"]).filter((F.col("_at") >= F.col("_a")) & (F.col("_at") < F.col("_b"))).drop("_at", "_level", "_bin", "_a", "_b")
 
 
+#: Steps that windows' bounds may keep to, in microseconds: day, hour, minute, second, millisecond.
+STEPS = (86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000)
+
+
+def window_totals(rows: DataFrame, windows: DataFrame, ts: str, value: str, *by: str) -> DataFrame:
+    """``by``, n, first and last (least and greatest value) of the rows in the windows of a key, without a pair of a row and a window; keys without rows are left out.
+
+    Time is counted in the widest of ``STEPS`` that all bounds keep to, else in
+    microseconds. Rows are added up by step, and the steps by bins of one, two, four and
+    so on. A window is cut into the bins that make it up, at most two of each width:
+    its total is theirs, however many rows they hold.
+    """
+    micros = windows.filter("window_start < window_end").select(*by, F.unix_micros("window_start").alias("_a"), F.unix_micros("window_end").alias("_b"))
+    uneven = [F.max((F.col("_a") % s != 0) | (F.col("_b") % s != 0)).alias(f"s{s}") for s in STEPS]
+    seen = micros.agg(F.min("_a").alias("a"), F.max("_b").alias("b"), F.max(F.col("_b") - F.col("_a")).alias("width"), *uneven).first()
+    step = next((s for s in STEPS if seen[f"s{s}"] is False), 1)
+    levels = F.sequence(F.lit(0), F.lit(max(1, (seen.width or 1) // step).bit_length() - 1))
+    shift = lambda at, level: F.call_function("shiftright", at, level)  # noqa: E731  floor, for stamps before 1970, too
+
+    def cut(level):
+        # Bins of this width from the first that begins in the window to the last that ends in it: an odd one at either end is no half of a wider one within.
+        a, b = -shift(-F.col("_a"), level), shift(F.col("_b"), level)
+        odd = lambda x: F.pmod(x, F.lit(2)) == 1
+        bins = lambda at, holds: F.struct(level.alias("_level"), F.when((a < b) & holds, at).alias("_bin"))
+        return F.array(bins(a, odd(a)), bins(b - 1, odd(b)))
+
+    made = micros.withColumns({"_a": F.expr(f"_a div {step}"), "_b": F.expr(f"_b div {step}")})
+    cuts = made.select(*by, F.explode(F.filter(F.flatten(F.transform(levels, cut)), lambda c: c["_bin"].isNotNull())).alias("c")).select(*by, "c._level", "c._bin")
+    totals = lambda n: (F.sum(n).alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+    stamped = rows.select(F.unix_micros(ts).alias("_at"), F.col(value).alias("first"), F.col(value).alias("last"), F.lit(1).cast("long").alias("n")).filter((F.col("_at") >= F.lit(seen.a)) & (F.col("_at") < F.lit(seen.b)))
+    steps = stamped.groupBy(F.expr(f"(_at - pmod(_at, {step})) div {step}").alias("_step")).agg(*totals("n"))
+    bins = steps.withColumn("_level", F.explode(levels)).groupBy("_level", shift(F.col("_step"), F.col("_level")).alias("_bin")).agg(*totals("n"))
+    return cuts.join(bins, ["_level", "_bin"]).groupBy(*by).agg(*totals("n"))
+
+
 def backfill_summary(runs: DataFrame) -> DataFrame:
     """Windows done, and what was fetched, written and skipped, over the window rows of a backfill."""
     return runs.agg(F.count("*").alias("windows"), F.count_if(F.col("status") == "success").alias("windows_done"), *[F.sum(c).alias(c) for c in ("fetched", "written", "skipped")])
