@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 
 from gridmill.operators.vectors import cosine_topk
+from gridmill.plans import catalog
 from gridmill.sources.cells import MOST_BYTES, CellIndex, unit
 
 
@@ -32,3 +33,11 @@ def test_queries_for_many_cells_leave_in_slices(spark):
         assert max(len(d) for d in made) * 64 * 8 <= MOST_BYTES
         rows = pd.concat(made)
         assert len(rows) == 64 * cells and not rows[["query", "cell"]].duplicated().any()
+
+
+def test_exact_side_of_recall_is_not_broadcast(spark, sf):
+    found = catalog.QUERIES["cell_recall"](spark, sf)
+    assert found.first()["recall"] >= 0.9
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_part" in plan and "BroadcastHashJoin [_part" not in plan
