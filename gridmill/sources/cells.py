@@ -97,7 +97,10 @@ class CellIndex:
         if common:
             k = max(1, min(wanted, MOST_BYTES // (8 * common.width)))
             points = sample.filter(F.size("x") == common.width).select(array_to_vector("x").alias("features"))
-            centres = KMeans(k=k, seed=seed, distanceMeasure="cosine", maxIter=20).fit(points).clusterCenters() if k > 1 else [np.asarray(points.first()[0].toArray())]
+            # By blocks: by rows, each round has a task for each cell and sends all pairs of centres to the driver. A block's products with the centres are bounded, too.
+            block = min(1.0, MOST_BYTES / (1 << 20) * common.width / k)
+            means = KMeans(k=k, seed=seed, distanceMeasure="cosine", maxIter=20, solver="block", maxBlockSizeInMB=block)
+            centres = means.fit(points).clusterCenters() if k > 1 else [np.asarray(points.first()[0].toArray())]
             centres = [c.tolist() for c in centres if np.any(c)]
         self.spark.createDataFrame(list(enumerate(centres)), "cell int, centre array<double>").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/centres")
         self.__dict__.pop("centres", None)

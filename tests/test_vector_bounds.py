@@ -41,3 +41,16 @@ def test_exact_side_of_recall_is_not_broadcast(spark, sf):
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [_part" in plan and "BroadcastHashJoin [_part" not in plan
+
+
+def test_rounds_of_the_fit_have_no_task_for_each_cell(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 64)))], "k long, v array<double>").repartition(4)
+    context, status = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("fit", "")
+    try:
+        assert CellIndex(spark, f"{tmp_path}/c", "k", buckets=4).fit(df, "v", 140) == 140
+    finally:
+        context._jsc.clearJobGroup()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("fit") for s in status.getJobInfo(j).stageIds]
+    assert len(stages) > 20 and max(s.numTasks for s in stages if s) < 140
